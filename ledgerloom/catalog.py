@@ -8,10 +8,14 @@ states and edge cases; no row is left out of the channels to save work.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.operators.windows import ensure_checkpoint_dir
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
                "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -213,14 +217,42 @@ def dependencies(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"\{(\w+)\}", text)))
 
 
+# Written out once per session, as the warehouse tables that the reports read.
+LANDED = (
+    "orders_master", "shopify_payouts", "stripe_payouts", "stripe_api", "amazon_pay", "transaction_view",
+    "order_central", "rakuten_orders", "rakuten_2020", "rakuten_payment_main", "combined_sku", "raw_text",
+)
+
+_CATALOGS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def catalog(spark: SparkSession, folder: str) -> Catalog:
+    """The catalog of a folder, kept per session so that its plans are analysed once."""
+    return _CATALOGS.setdefault(spark, {}).setdefault(folder, Catalog(spark, folder))
+
+
 class Catalog:
-    """Canonical tables of one data folder as lazy frames."""
+    """Canonical tables of one data folder; the large ones are written on first use."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
         self._frames: dict[str, DataFrame] = {}
 
+    def _land(self, name: str, frame: DataFrame) -> DataFrame:
+        """Write a canonical table to the session's shared folder and read it back.
+
+        The reports then scan typed tables with column pruning and filter pushdown, and do not
+        derive them again and again.  Given tables in fewer files than cores would be read and
+        written by few tasks, so those are spread first; many files are written as they come.
+        """
+        folder = f"{ensure_checkpoint_dir(self.spark)}/tables-{self.spark.sparkContext.applicationId}"
+        path = f"{folder}/{hashlib.md5(self.folder.encode()).hexdigest()}/{name}"
+        cores = self.spark.sparkContext.defaultParallelism
+        spread = frame.repartition(cores) if len(frame.inputFiles()) < cores else frame
+        spread.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES and name not in BASE_TABLES:
             raise AttributeError(name)
@@ -231,7 +263,8 @@ class Catalog:
             if name in TABLES:
                 text = text_for(name, "spark")
                 inputs = {dep: self.table(dep) for dep in dependencies(text)}
-                self._frames[name] = self.spark.sql(text, **inputs)
+                frame = self.spark.sql(text, **inputs)
+                self._frames[name] = self._land(name, frame) if name in LANDED else frame
             else:
                 self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._frames[name]

@@ -1 +1,516 @@
-"""Operator queries."""
+"""Registered queries of single operators over the canonical tables."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ledgerloom.catalog import Catalog
+from ledgerloom.documents import order_documents, raw_event_json, transaction_pages
+from ledgerloom.functions import dates, money, rules, text
+from ledgerloom.functions.nested import find_tokens
+from ledgerloom.operators import aggregates as agg
+from ledgerloom.operators import expand as ex
+from ledgerloom.operators import joins, maintenance, nested, windows
+from ledgerloom.plans import amazon, amazonpay, dashboard, rakuten, shopify, stripe
+from ledgerloom.queries import query, rpt_amazon_full, rpt_shopify_full, rpt_stripe_full
+from ledgerloom.schemas import schema
+
+# ---------------------------------------------------------------- joins
+
+
+@query
+def inner_payout_orders(c: Catalog) -> DataFrame:
+    joined = joins.join_lines(
+        c.shopify_payouts.select(F.col("id").alias("payout_row"), "source_order_id", "type", "amount"),
+        c.orders_master.select("id", "name", "lineitem_name", "lineitem_quantity"),
+    )
+    return joined.select("payout_row", "type", "amount", "name", "lineitem_name", "lineitem_quantity")
+
+
+@query
+def left_distinct_dim(c: Catalog) -> DataFrame:
+    rows = c.shopify_payouts.where("source_type <> 'payout'").select("id", "payout_id", "amount")
+    paid = c.shopify_payouts.where("source_type = 'payout'")
+    return joins.join_distinct(rows, paid, [("payout_id", "payout_id")], {"paid_at": F.col("processed_at")})
+
+
+@query
+def contains_join(c: Catalog) -> DataFrame:
+    lines = c.orders_master.select("checkout_id", "name", "lineitem_sku", "lineitem_quantity")
+    pay = c.amazon_pay.select("amazontransactionid", "sellerorderid")
+    return joins.contains_join(pay, "sellerorderid", lines, "checkout_id")
+
+
+@query
+def time_window_join(c: Catalog) -> DataFrame:
+    placed = c.orders_master.where(F.col("payment_gateway_names") == "stripe").select("name", "email", "processed_at").distinct()
+    paid = c.stripe_payouts.select("balance_transaction_id", "customer_email", "created_utc")
+    return joins.time_window_join(
+        placed, paid, [("email", "customer_email")], "processed_at", "created_utc", stripe.MATCH_SECONDS
+    ).drop("customer_email")
+
+
+@query
+def positional_join(c: Catalog) -> DataFrame:
+    return stripe.charges_by_position(c.stripe_api, c.orders_master)
+
+
+@query
+def right_distinct_join(c: Catalog) -> DataFrame:
+    charges = c.stripe_api.where(F.col("reporting_category") == "charge").select("charge_id", "gross")
+    paid = c.stripe_payouts.select("charge_id", "reporting_category", "automatic_payout_id")
+    return joins.right_distinct(charges, paid, "charge_id")
+
+
+@query
+def validated_lookup_join(c: Catalog) -> DataFrame:
+    """References of one gateway are unique and fill in; the other's repeat and are voided."""
+    orders = c.orders_master.select(
+        "id", "payment_gateway_names", "lineitem_sku", F.lit(None).cast("string").alias("reference")
+    )
+    charges = c.stripe_api.where(F.col("reporting_category") == "charge").select(
+        F.substring("charge_id", 4, 20).alias("order_id"), F.col("charge_id").alias("charge_ref")
+    )
+    komoju = c.orders_master.where(F.col("payment_gateway_names") == "Komoju - card").select(
+        F.col("id").alias("order_id"), F.concat(F.lit("pay_"), "id").alias("charge_ref")
+    )
+    return joins.attach_charge_refs(orders, charges.unionByName(komoju))
+
+
+@query
+def semi_gateway(c: Catalog) -> DataFrame:
+    names = c.orders_master.where(joins.gateway_matches(F.col("payment_gateway_names"), "stripe")).select("name")
+    return joins.semi_in(c.orders_master.select("name", "email", "lineitem_name", "total_price"), "name", names)
+
+
+@query
+def null_aware_anti_ledger(c: Catalog) -> DataFrame:
+    rows = c.shopify_payouts.select("id", F.col("payout_id").cast("bigint").alias("control_number"), "amount")
+    return joins.not_booked(rows, c.ledger_shopify, "control_number")
+
+
+@query
+def null_aware_anti_empty_ledger(c: Catalog) -> DataFrame:
+    """A ledger without any key drops nothing, not even rows without a key."""
+    rows = c.shopify_payouts.select("id", F.col("payout_id").cast("bigint").alias("control_number"), "amount")
+    return joins.not_booked(rows, c.ledger_shopify.where("control_number IS NULL"), "control_number")
+
+
+@query
+def rule_key_join(c: Catalog) -> DataFrame:
+    return joins.apply_rules(agg.fee_preagg(c.transaction_view), c.nomenclature)
+
+
+def _sold(c: Catalog) -> DataFrame:
+    return c.orders_master.select("name", F.col("lineitem_sku").alias("sku"), F.lit("Shopify").alias("SOURCE"), "lineitem_quantity")
+
+
+@query
+def sku_store_join(c: Catalog) -> DataFrame:
+    return joins.attach_item(_sold(c), c.combined_sku)
+
+
+@query
+def sku_only_join(c: Catalog) -> DataFrame:
+    return joins.attach_item(_sold(c), c.combined_sku, with_store=False)
+
+
+@query
+def cast_key_join(c: Catalog) -> DataFrame:
+    sums = c.transaction_view.groupBy(F.round("settlement_id").cast("bigint").cast("string").alias("sett_text")).agg(
+        F.sum("amount").alias("amount")
+    )
+    dates_ = c.transaction_view.where("deposit_date IS NOT NULL").select("settlement_id", "deposit_date").distinct()
+    return joins.join_cast_key(sums, dates_, "sett_text", "settlement_id")
+
+
+@query
+def scalar_max_per_group(c: Catalog) -> DataFrame:
+    rows = c.amazon_pay.select("amazontransactionid", "settlementid")
+    return joins.with_group_max(rows, c.amazon_pay, "settlementid", "transactionposteddate", "last_updated")
+
+
+@query
+def scalar_lookup(c: Catalog) -> DataFrame:
+    rows = c.shopify_payouts.select("id", "payout_id")
+    paid = c.shopify_payouts.where("source_type = 'payout'").select(F.col("payout_id").alias("pid"), "processed_at")
+    return joins.scalar_lookup(rows, paid, ("payout_id", "pid"), "processed_at", "paid_at")
+
+
+@query
+def scalar_bound_filter(c: Catalog) -> DataFrame:
+    rows = c.orders_master.select("name", "lineitem_sku", "created_at")
+    return joins.scalar_bound(rows, F.col("created_at"), c.stripe_payouts, F.max("created_utc") - F.expr("interval 365 day"))
+
+
+# ---------------------------------------------------------------- expansion and classification
+
+
+def _trim(lines: DataFrame, *extra: str) -> DataFrame:
+    return lines.select("order_number", "mail", "date_transaction", "subtotal", "tax", "total", "product_count", "product", *extra)
+
+
+@query
+def expand_sh(c: Catalog) -> DataFrame:
+    return _trim(shopify.shopify_lines(c.shopify_payouts, c.orders_master), "control_number", "sku", "source_type")
+
+
+@query
+def expand_sh_v1(c: Catalog) -> DataFrame:
+    settled = shopify.settle_line_v1(shopify.payout_lines(c.shopify_payouts, c.orders_master))
+    return _trim(shopify.expand_sh_v1(settled), "control_number")
+
+
+@query
+def expand_ss(c: Catalog) -> DataFrame:
+    return _trim(stripe.expand_ss(c.orders_master), "sku")
+
+
+@query
+def expand_sa(c: Catalog) -> DataFrame:
+    return _trim(amazonpay.expand_sa(amazonpay.matched_payments(c.amazon_pay, c.orders_master)), "settlement_id", "unit_price")
+
+
+@query
+def expand_rk(c: Catalog) -> DataFrame:
+    return rakuten.expand_rk(c.rakuten_orders, c.rakuten_2020)
+
+
+@query
+def classify_sh(c: Catalog) -> DataFrame:
+    return rpt_shopify_full(c).groupBy("account", "tax_distinction", "item", "balance").agg(
+        F.count("*").alias("n"), F.sum("amount").alias("amount"), F.sum("tax_total").alias("tax")
+    )
+
+
+@query
+def classify_ss(c: Catalog) -> DataFrame:
+    return rpt_stripe_full(c).groupBy("account", "tax_distinction", "item", "balance", "reporting_category").agg(
+        F.count("*").alias("n"), F.sum("amount").alias("amount"), F.sum("real_amount").alias("real_amount")
+    )
+
+
+def _classified(c: Catalog, ruleset: str) -> DataFrame:
+    lines = c.orders_master.select(
+        F.col("lineitem_name").alias("product"), F.col("name").alias("order_number"),
+        (F.col("lineitem_price") * F.col("lineitem_quantity")).alias("total"),
+    )
+    labels = rules.classify(F.col("product"), F.col("order_number"), F.col("total"), rules.RULESETS[ruleset])
+    return lines.select("product", "total", *[v.alias(k) for k, v in labels.items()])
+
+
+@query
+def classify_sa(c: Catalog) -> DataFrame:
+    return _classified(c, "sa")
+
+
+@query
+def classify_sa_old(c: Catalog) -> DataFrame:
+    return _classified(c, "sa_old")
+
+
+@query
+def classify_rk(c: Catalog) -> DataFrame:
+    lines = rakuten.expand_rk(c.rakuten_orders, c.rakuten_2020)
+    labels = rules.classify_marketplace(F.col("product_name"), F.col("order_number"), F.col("unit_per_price"))
+    return lines.select("product_name", "unit_per_price", *[v.alias(k) for k, v in labels.items()])
+
+
+@query
+def tax_split(c: Catalog) -> DataFrame:
+    total = F.round("l_extendedprice")
+    return c.lineitem.select(
+        "l_orderkey", "l_linenumber", total.alias("total"), money.net_of_tax(total).alias("net"),
+        money.tax_part(total).alias("tax"), money.net_of_eleventh(total).alias("net11"), money.eleventh(total).alias("tax11"),
+    )
+
+
+@query
+def gateway_fee(c: Catalog) -> DataFrame:
+    return c.orders.select("o_orderkey", money.gateway_fee(F.round("o_totalprice")).alias("fee"))
+
+
+@query
+def signed_qty(c: Catalog) -> DataFrame:
+    lines = joins.attach_item(
+        c.orders_master.select(
+            "name", F.col("lineitem_sku").alias("sku"), F.lit("Shopify").alias("SOURCE"), F.col("lineitem_quantity").alias("q"),
+            F.when(F.col("financial_status") == "refunded", -F.col("lineitem_price")).otherwise(F.col("lineitem_price")).alias("amount"),
+            F.when(F.col("shipping_shop_amount") > 0, "Sales").otherwise("Delivery").alias("item"),
+        ),
+        c.combined_sku,
+    )
+    quantity = dashboard.signed_quantity(
+        F.col("item"), F.lit(rules.SALES_ACCOUNT), F.col("sku"), F.col("item_name"), F.col("amount"), F.col("q")
+    )
+    return lines.select("name", "sku", "item", "amount", "q", quantity.alias("quantity"))
+
+
+@query
+def norm_sku(c: Catalog) -> DataFrame:
+    return c.rakuten_orders.select(
+        "order_number", "item_number", text.normalize_sku(F.col("item_number")).alias("sku"),
+        text.short_sku(F.col("item_number")).alias("short"),
+    )
+
+
+@query
+def zip_code(c: Catalog) -> DataFrame:
+    parts = ("destination_postal_code_1", "mailing_address_postal_code_2")
+    return c.rakuten_orders.select("order_number", text.zip_code(*[F.col(p) for p in parts]).alias("zip_code"))
+
+
+@query
+def tax_from_label(c: Catalog) -> DataFrame:
+    report = rpt_amazon_full(c)
+    rate = money.tax_rate_of_label(F.col("tax_distiction"))
+    return report.select(
+        "settlement_id", "order_id", "tax_distiction", "total_real", rate.alias("rate"),
+        money.included_tax(F.col("total_real"), rate).alias("tax"),
+    )
+
+
+@query
+def business_date(c: Catalog) -> DataFrame:
+    dated = joins.join_distinct(
+        agg.fee_preagg(c.transaction_view), c.order_central, [("order_id", "amazon_order_id")],
+        {"purchase_date": dates.to_local(F.col("purchase_date"))},
+    )
+    return amazon.business_date(dated).select("settlement_id", "order_id", "sku", "amount_type", "main_time", "DATE_TYPE")
+
+
+# ---------------------------------------------------------------- aggregates and windows
+
+
+@query
+def fee_preagg(c: Catalog) -> DataFrame:
+    return agg.fee_preagg(c.transaction_view)
+
+
+@query
+def report_agg(c: Catalog) -> DataFrame:
+    lines = amazon.classified_lines(c.transaction_view, c.order_central, c.nomenclature)
+    return agg.report_agg(lines, ["settlement_id", "account", "remarks", "item", "DATE_TYPE"], "total_amount")
+
+
+@query
+def having_nonzero(c: Catalog) -> DataFrame:
+    return agg.sheet_agg(rpt_amazon_full(c), "0")
+
+
+def _delivery():
+    return amazon.delivery_lines(rules.SALES_ACCOUNT, "Delivery", "Shipping")
+
+
+@query
+def running_sum(c: Catalog) -> DataFrame:
+    return amazon.adjust_running_sum(rpt_amazon_full(c), _delivery())
+
+
+@query
+def running_sum_shipdate(c: Catalog) -> DataFrame:
+    rows = c.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", F.round("l_extendedprice").alias("price"))
+    return windows.running_sum(rows, "l_shipdate", "price")
+
+
+@query
+def last_seen_by_amount(c: Catalog) -> DataFrame:
+    return agg.last_seen_by(rpt_amazon_full(c), _delivery(), "total_real", "order_full_date")
+
+
+@query
+def control_total(c: Catalog) -> DataFrame:
+    return agg.control_total(rpt_amazon_full(c), _delivery())
+
+
+@query
+def latest_k_settlements(c: Catalog) -> DataFrame:
+    rows = c.transaction_view.select(F.col("settlement_id").cast("bigint").cast("string").alias("sett"), "order_id", "amount")
+    return windows.latest_k(rows, "sett", 5)
+
+
+@query
+def scalar_extreme(c: Catalog) -> DataFrame:
+    return agg.scalar_extreme(c.orders_master, "order_number", "max")
+
+
+@query
+def global_row_number(c: Catalog) -> DataFrame:
+    return windows.global_row_number(c.events.select("event_id", "user_id", "ts"), ["user_id", "ts", "event_id"])
+
+
+@query
+def order_report(c: Catalog) -> DataFrame:
+    lines = c.orders_master.select("name", "lineitem_sku", "lineitem_quantity", "total_price")
+    return windows.order_report(lines, [("total_price", False), ("name", True), ("lineitem_sku", True)])
+
+
+@query
+def distinct_rows(c: Catalog) -> DataFrame:
+    return c.orders_master.select("name", "ship_zip").distinct()
+
+
+@query
+def union_channels(c: Catalog) -> DataFrame:
+    shop = c.orders_master.select("lineitem_sku", F.lit("Shopify").alias("SOURCE")).toDF("sku", "SOURCE")
+    market = c.transaction_view.select("sku", F.lit("Amazon").alias("SOURCE"))
+    rows = ex.union_channels(shop, market)
+    return rows.groupBy("SOURCE", "sku").agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- maintenance
+
+
+@query
+def replace_by_key(c: Catalog) -> DataFrame:
+    """Orders of the last half year come again with a new status and replace the stored lines."""
+    kept = c.orders_master.select("id", "lineitem_name", "financial_status", "created_at")
+    batch = kept.where(F.col("created_at") >= dates.ntz("2001-02-01")).withColumn("financial_status", F.lit("archived"))
+    return maintenance.replace_by_key(kept, batch, "id")
+
+
+@query
+def trim_recent(c: Catalog) -> DataFrame:
+    rows = c.orders_master.select("id", "order_number", "created_at", "lineitem_sku")
+    return maintenance.trim_recent(rows, 1500, date(2001, 8, 1))
+
+
+@query
+def trim_from_first_pending(c: Catalog) -> DataFrame:
+    return maintenance.trim_from_first_pending(c.shopify_payouts.select("id", "payout_status", "amount"))
+
+
+def _file_rows(c: Catalog) -> DataFrame:
+    return c.lineitem.select(
+        "l_orderkey", "l_linenumber", F.concat(F.lit("TV_"), F.date_format("l_shipdate", "yyyy_MM"), F.lit(".txt")).alias("FILE_NAME")
+    )
+
+
+@query
+def new_files_only(c: Catalog) -> DataFrame:
+    rows = _file_rows(c)
+    return maintenance.new_files_only(rows, rows.where(F.col("FILE_NAME") < "TV_1999_01.txt"))
+
+
+@query
+def high_water_mark(c: Catalog) -> DataFrame:
+    return maintenance.high_water_mark(c.orders_master, "order_number", "name", maintenance.NO_ORDER_CURSOR)
+
+
+@query
+def incremental_window(c: Catalog) -> DataFrame:
+    return maintenance.incremental_window(
+        c.stripe_payouts.select("balance_transaction_id", "created_utc", "gross"), "created_utc",
+        dates.ntz("1999-06-30 23:59:59"), date(2000, 1, 1), "balance",
+    )
+
+
+@query
+def adjust_rows(c: Catalog) -> DataFrame:
+    report = amazon.move_back_one_month(rpt_amazon_full(c), _delivery())
+    return report.select("settlement_id", "order_id", "sku", "item", "main_date", "order_full_date", "tax_calc_distinction", "total_real")
+
+
+@query
+def null_tokens(c: Catalog) -> DataFrame:
+    raw = c.raw_text.select("line_id", "flag_text", F.col("flag_text").alias("order_text"), F.col("flag_text").alias("payout_text"))
+    market = text.null_tokens(raw, text.MARKETPLACE_NULLS, True, ["flag_text"])
+    orders = text.null_tokens(market, text.ORDER_NULLS, True, ["order_text"])
+    return text.null_tokens(orders, text.PAYOUT_NULLS, False, ["payout_text"])
+
+
+@query
+def parse_ts_fallback(c: Catalog) -> DataFrame:
+    formats = ("dd.MM.yyyy HH:mm:ss z", "yyyy-MM-dd'T'HH:mm:ssXXX", "dd.MM.yyyy")
+    return c.raw_text.select("line_id", "date_text", dates.parse_ts(F.col("date_text"), formats).alias("parsed"))
+
+
+@query
+def clean_number(c: Catalog) -> DataFrame:
+    return c.raw_text.select("line_id", "price_text", text.clean_number(F.col("price_text"), (",",)).alias("price"))
+
+
+@query
+def canonical_id(c: Catalog) -> DataFrame:
+    raw = F.col("id_text")
+    return c.raw_text.select(
+        "line_id", "id_text", text.canonical_id(raw).alias("canonical"), text.strip_dot_zero(raw).alias("stripped"),
+        text.strip_dot_zero(raw, anywhere=True).alias("stripped_anywhere"),
+    )
+
+
+_CONFORMED = schema("line_id:s id_text:d price_text:d token:s note:s")
+
+
+@query
+def conform_schema(c: Catalog) -> DataFrame:
+    return maintenance.conform(c.raw_text, _CONFORMED, ("token",))
+
+
+_STRICT = schema("line_id:s id_text:l price_text:d")
+
+
+@query
+def quarantine_good(c: Catalog) -> DataFrame:
+    raw = c.raw_text.select("line_id", "id_text", F.replace("price_text", F.lit(","), F.lit("")).alias("price_text"))
+    return maintenance.quarantine(raw, _STRICT)[0]
+
+
+@query
+def quarantine_bad(c: Catalog) -> DataFrame:
+    raw = c.raw_text.select("line_id", "id_text", F.replace("price_text", F.lit(","), F.lit("")).alias("price_text"))
+    return maintenance.quarantine(raw, _STRICT)[1]
+
+
+@query
+def epoch_to_ts(c: Catalog) -> DataFrame:
+    return c.events.select("event_id", dates.epoch_to_ts(F.unix_timestamp("ts")).alias("created"))
+
+
+# ---------------------------------------------------------------- nested documents
+
+
+@query
+def explode_lines(c: Catalog) -> DataFrame:
+    docs = order_documents(c.orders).select("id", "name", "line_items")
+    return nested.explode_lines(docs)
+
+
+@query
+def first_discount(c: Catalog) -> DataFrame:
+    docs = order_documents(c.orders).select("id", "discount_codes", "payment_gateway_names", "note_attributes")
+    return nested.first_discount(docs)
+
+
+@query
+def refund_total(c: Catalog) -> DataFrame:
+    return nested.with_refund_total(order_documents(c.orders).select("id", "refunds"))
+
+
+@query
+def refund_lines(c: Catalog) -> DataFrame:
+    return nested.refund_lines(order_documents(c.orders))
+
+
+@query
+def flatten_prefix(c: Catalog) -> DataFrame:
+    return nested.flatten_order(order_documents(c.orders).select("id", "total_shipping_price_set", "shipping_address"))
+
+
+@query
+def find_tokens_json(c: Catalog) -> DataFrame:
+    return raw_event_json(c.events).select("event_id", F.array_join(find_tokens(F.col("body"), "ch_"), ",").alias("tokens"))
+
+
+@query
+def charge_refs(c: Catalog) -> DataFrame:
+    return nested.charge_refs(transaction_pages(c.orders))
+
+
+@query
+def order_ids(c: Catalog) -> DataFrame:
+    return nested.distinct_ids(c.orders_master)

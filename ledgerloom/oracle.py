@@ -459,3 +459,217 @@ WHERE SOURCE='Amazon' AND transaction_date >= '1998-01-01' AND transaction_date
 QUERIES["yearly_sales_by_source"] = """
 SELECT SOURCE, cast(year(transaction_date) as int) AS year, sum(amount) AS total FROM {rpt_dashboard} WHERE item='Sales' GROUP BY 1, 2
 """
+
+# ================================================================ single operators
+
+# ---------------------------------------------------------------- joins
+
+QUERIES["inner_payout_orders"] = """
+SELECT p.id AS payout_row, type, amount, name, lineitem_name, lineitem_quantity FROM {shopify_payouts} p, {orders_master} o WHERE o.id=p.source_order_id
+"""
+QUERIES["left_distinct_dim"] = """
+SELECT id, p.payout_id, amount, paid AS paid_at FROM {shopify_payouts} p LEFT JOIN {sh_dates} d USING (payout_id) WHERE source_type<>'payout'
+"""
+QUERIES["contains_join"] = """
+SELECT amazontransactionid, a.sellerorderid, o.checkout_id, name, lineitem_sku, lineitem_quantity
+FROM {amazon_pay} a JOIN {sa_contained} t ON t.sellerorderid=a.sellerorderid JOIN {orders_master} o ON o.checkout_id=t.checkout_id
+"""
+QUERIES["time_window_join"] = """
+SELECT name, email, processed_at, balance_transaction_id, created_utc FROM (SELECT DISTINCT name, email, processed_at FROM {orders_master} WHERE payment_gateway_names='stripe')
+LEFT JOIN {stripe_payouts} ON customer_email=email AND processed_at<created_utc AND epoch(date_trunc('second',created_utc))-epoch(date_trunc('second',processed_at))<=7
+"""
+QUERIES["positional_join"] = "SELECT charge_id, name, verify FROM {ss_matched}"
+QUERIES["right_distinct_join"] = """
+SELECT charge_id, reporting_category, automatic_payout_id, gross FROM (SELECT DISTINCT charge_id, reporting_category, automatic_payout_id FROM {stripe_payouts})
+LEFT JOIN (SELECT charge_id, gross FROM {stripe_api} WHERE reporting_category='charge') USING (charge_id)
+"""
+QUERIES["validated_lookup_join"] = """
+SELECT id, payment_gateway_names, lineitem_sku, CASE WHEN payment_gateway_names='stripe' THEN 'ch_' || id END AS reference FROM {orders_master}
+"""
+QUERIES["semi_gateway"] = """
+SELECT name, email, lineitem_name, total_price FROM {orders_master} WHERE name IN (SELECT name FROM {orders_master} WHERE lower(payment_gateway_names) LIKE '%stripe%')
+"""
+_PAID_ROWS = "SELECT id, cast(payout_id as bigint) AS control_number, amount FROM {shopify_payouts}"
+QUERIES["null_aware_anti_ledger"] = f"SELECT * FROM ({_PAID_ROWS}) WHERE control_number NOT IN (SELECT control_number FROM {{ledger_shopify}} WHERE control_number IS NOT NULL)"
+QUERIES["null_aware_anti_empty_ledger"] = _PAID_ROWS
+QUERIES["fee_preagg"] = """
+SELECT sett AS settlement_id, posted AS posted_date_time, transaction_type, amount_type, amount_description, order_id, sku, total_amount, total_purchased,
+ CASE WHEN transaction_type='CouponRedemptionFee' THEN transaction_type || amount_type ELSE transaction_type || amount_type || amount_description END AS concat_fields FROM {az_sums}
+"""
+QUERIES["rule_key_join"] = """
+SELECT f.*, remarks, coalesce(account,'MISSING NOMENCLATURE') AS account, item, tax_distiction FROM {fee_preagg} f LEFT JOIN {nomenclature} ON concatenated_fields=concat_fields
+"""
+QUERIES["sku_store_join"] = """
+SELECT name, lineitem_sku AS sku, 'Shopify' AS SOURCE, lineitem_quantity, item_name FROM {orders_master} LEFT JOIN {combined_sku} ON sku_item=lineitem_sku AND store_name='Shopify'
+"""
+QUERIES["sku_only_join"] = """
+SELECT name, lineitem_sku AS sku, 'Shopify' AS SOURCE, lineitem_quantity, item_name FROM {orders_master} LEFT JOIN {combined_sku} ON sku_item=lineitem_sku
+"""
+QUERIES["cast_key_join"] = """
+SELECT sett_text, amount, deposit_date FROM (SELECT cast(cast(settlement_id as bigint) as varchar) AS sett_text, sum(amount) AS amount FROM {transaction_view} GROUP BY 1)
+LEFT JOIN (SELECT DISTINCT settlement_id, deposit_date FROM {transaction_view} WHERE deposit_date IS NOT NULL) ON cast(sett_text as double)=settlement_id
+"""
+QUERIES["scalar_max_per_group"] = "SELECT amazontransactionid, settlementid, max(transactionposteddate) OVER (PARTITION BY settlementid) AS last_updated FROM {amazon_pay}"
+QUERIES["scalar_lookup"] = "SELECT id, payout_id, (SELECT paid FROM {sh_dates} d WHERE d.payout_id=p.payout_id) AS paid_at FROM {shopify_payouts} p"
+QUERIES["scalar_bound_filter"] = "SELECT name, lineitem_sku, created_at FROM {orders_master} WHERE created_at < (SELECT max(created_utc) FROM {stripe_payouts}) - interval 365 day"
+
+# ---------------------------------------------------------------- expansion and classification
+
+_LINE = "order_number, mail, sold AS date_transaction, subtotal+0 AS subtotal, tax+0 AS tax, total, pieces AS product_count, product"
+QUERIES["expand_sh"] = f"SELECT {_LINE}, control_number, sku, source_type FROM {{sh_lines}}"
+QUERIES["expand_sh_v1"] = f"SELECT {_LINE}, control_number FROM {{sh_lines_v1}}"
+QUERIES["expand_ss"] = f"SELECT {_LINE}, sku FROM {{ss_lines}}"
+QUERIES["expand_sa"] = f"SELECT {_LINE}, settlementid AS settlement_id, unit_price FROM {{sa_lines}}"
+QUERIES["expand_rk"] = "SELECT * FROM {rk_lines}"
+QUERIES["classify_sh"] = "SELECT account, tax_distinction, item, balance, count(*) AS n, sum(amount) AS amount, sum(tax_total) AS tax FROM {rpt_shopify_full} GROUP BY ALL"
+QUERIES["classify_ss"] = """
+SELECT account, tax_distinction, item, balance, reporting_category, count(*) AS n, sum(amount) AS amount, sum(real_amount) AS real_amount FROM {rpt_stripe_full} GROUP BY ALL
+"""
+for _name, _ten in (("classify_sa", TEN_NEW), ("classify_sa_old", TEN_OLD)):
+    QUERIES[_name] = "SELECT product, total, " + _select("account tax_distinction tax_total remarks item", _labels(_ten, FEE, True)) + (
+        " FROM (SELECT lineitem_name AS product, name AS order_number, lineitem_price*lineitem_quantity AS total FROM {orders_master})")
+QUERIES["classify_rk"] = f"""
+SELECT product_name, unit_per_price, CASE WHEN {_RK_TEN} THEN '課税売上10%' WHEN product_name IS NOT NULL THEN '課税売上8%（軽）' END AS tax_distinction,
+ abs(trunc(unit_per_price * CASE WHEN {_RK_TEN} THEN 0.1::double WHEN product_name IS NOT NULL THEN 0.08::double END)) AS tax_amount,
+ CASE product_name WHEN 'delivery' THEN 'Delivery' WHEN 'points' THEN 'Points issued' ELSE 'Product Charges' END || ' (#' || order_number || ')' AS remarks,
+ CASE WHEN product_name='delivery' THEN 'Delivery' ELSE 'Sales' END AS item FROM {{rk_lines}}
+"""
+QUERIES["tax_split"] = """
+SELECT l_orderkey, l_linenumber, t AS total, round(t/1.08) AS net, t-round(t/1.08) AS tax, round(t-t/11) AS net11, round(t/11) AS tax11
+FROM (SELECT l_orderkey, l_linenumber, round(l_extendedprice) AS t FROM {lineitem})
+"""
+QUERIES["gateway_fee"] = "SELECT o_orderkey, -(round(round(o_totalprice)*0.036)+round(round(o_totalprice)*0.01)) AS fee FROM {orders}"
+QUERIES["signed_qty"] = """
+SELECT name, lineitem_sku AS sku, item, amount, lineitem_quantity AS q, CASE WHEN item='Sales' AND item_name IS NOT NULL AND amount<>0 THEN sign(amount)*lineitem_quantity ELSE 0 END AS quantity
+FROM (SELECT *, CASE financial_status WHEN 'refunded' THEN -lineitem_price ELSE lineitem_price END AS amount, CASE WHEN shipping_shop_amount>0 THEN 'Sales' ELSE 'Delivery' END AS item FROM {orders_master})
+LEFT JOIN {combined_sku} ON sku_item=lineitem_sku AND store_name='Shopify'
+"""
+QUERIES["norm_sku"] = f"SELECT order_number, item_number, {_SKU13} AS sku, substr(item_number,1,13) AS short FROM {{rakuten_orders}}"
+QUERIES["zip_code"] = f"SELECT order_number, {_ZIP} AS zip_code FROM {{rakuten_orders}}"
+QUERIES["tax_from_label"] = f"""
+SELECT *, total_real-round(total_real/(1+rate)) AS tax FROM (SELECT settlement_id, order_id, tax_distiction, total_real, {_RATE.format("tax_distiction")} AS rate FROM {{rpt_amazon_full}})
+"""
+QUERIES["business_date"] = """
+SELECT sett AS settlement_id, order_id, sku, amount_type, CASE DATE_TYPE WHEN 'ORDER_DATE' THEN bought ELSE posted END AS main_time, DATE_TYPE FROM {az_dated}
+"""
+
+# ---------------------------------------------------------------- aggregates and windows
+
+QUERIES["report_agg"] = f"""
+SELECT sett AS settlement_id, coalesce(account,'MISSING NOMENCLATURE') AS account, remarks, item, DATE_TYPE, sum(total_amount) AS total_real, abs(sum(total_amount)) AS total_sum,
+ {_AZ_SIDE.format("sum(total_amount)")} AS balance FROM {{az_dated}} LEFT JOIN {{nomenclature}} ON concatenated_fields=rule
+WHERE CASE DATE_TYPE WHEN 'ORDER_DATE' THEN bought ELSE posted END IS NOT NULL GROUP BY 1, 2, 3, 4, 5
+"""
+QUERIES["having_nonzero"] = QUERIES["rpt_amazon_sheet"].replace("11000000010", "0")
+_DELIVERY = "account='売上高' AND item='Delivery' AND remarks='Shipping'"
+QUERIES["running_sum"] = f"""
+SELECT item, remarks, account, order_full_date, total_real, sum(total_real) OVER (ORDER BY order_full_date NULLS FIRST) AS running_sum FROM {{rpt_amazon_full}} WHERE {_DELIVERY}
+"""
+QUERIES["running_sum_shipdate"] = """
+SELECT l_orderkey, l_linenumber, l_shipdate, price, sum(price) OVER (ORDER BY l_shipdate) AS running_sum FROM (SELECT *, round(l_extendedprice) AS price FROM {lineitem})
+"""
+QUERIES["last_seen_by_amount"] = f"SELECT total_real, max(order_full_date) AS first_appearance_date FROM {{rpt_amazon_full}} WHERE {_DELIVERY} GROUP BY 1"
+QUERIES["control_total"] = f"SELECT sum(total_real) AS total_to_update FROM {{rpt_amazon_full}} WHERE {_DELIVERY}"
+QUERIES["latest_k_settlements"] = """
+SELECT sett, order_id, amount FROM (SELECT cast(cast(settlement_id as bigint) as varchar) AS sett, order_id, amount FROM {transaction_view})
+QUALIFY dense_rank() OVER (ORDER BY sett DESC) <= 5
+"""
+QUERIES["scalar_extreme"] = "SELECT max(cast(order_number as bigint)) AS value FROM {orders_master}"
+QUERIES["global_row_number"] = "SELECT event_id, user_id, ts, row_number() OVER (ORDER BY user_id, ts, event_id) AS row_number FROM {events}"
+QUERIES["order_report"] = "SELECT name, lineitem_sku, lineitem_quantity, total_price FROM {orders_master} ORDER BY total_price DESC NULLS LAST, name NULLS FIRST, lineitem_sku NULLS FIRST"
+QUERIES["distinct_rows"] = "SELECT name, ship_zip FROM {orders_master} GROUP BY ALL"
+QUERIES["union_channels"] = """
+SELECT SOURCE, sku, count(*) AS n FROM (SELECT 'Shopify' AS SOURCE, lineitem_sku AS sku FROM {orders_master} UNION ALL SELECT 'Amazon', sku FROM {transaction_view}) GROUP BY ALL
+"""
+
+# ---------------------------------------------------------------- maintenance
+
+QUERIES["replace_by_key"] = """
+SELECT id, lineitem_name, CASE WHEN created_at >= '2001-02-01' THEN 'archived' ELSE financial_status END AS financial_status, created_at FROM {orders_master}
+"""
+QUERIES["trim_recent"] = """
+SELECT id, order_number, created_at, lineitem_sku FROM {orders_master} WHERE cast(order_number as bigint) <=
+ (SELECT max(cast(order_number as bigint)) FROM {orders_master} WHERE created_at < timestamp '2001-08-01' - interval 1500 day)
+"""
+QUERIES["trim_from_first_pending"] = """
+SELECT id, payout_status, amount FROM {shopify_payouts} WHERE cast(id as bigint) < (SELECT min(cast(id as bigint)) FROM {shopify_payouts} WHERE payout_status IN ('pending','in_transit'))
+"""
+QUERIES["new_files_only"] = """
+SELECT l_orderkey, l_linenumber, 'TV_' || strftime(l_shipdate,'%Y_%m') || '.txt' AS FILE_NAME FROM {lineitem} WHERE l_shipdate >= '1999-01-01'
+"""
+QUERIES["high_water_mark"] = "SELECT DISTINCT name AS cursor FROM {orders_master} WHERE cast(order_number as bigint) = (SELECT max(cast(order_number as bigint)) FROM {orders_master})"
+QUERIES["incremental_window"] = """
+SELECT balance_transaction_id, created_utc, gross FROM {stripe_payouts} WHERE created_utc > '1999-06-30 23:59:59' AND created_utc <= '1999-12-29 23:59:59'
+"""
+QUERIES["adjust_rows"] = f"""
+SELECT settlement_id, order_id, sku, item, CASE WHEN {_DELIVERY} THEN cast(main_date - interval 1 month as date) ELSE main_date END AS main_date,
+ CASE WHEN {_DELIVERY} THEN order_full_date - interval 1 month ELSE order_full_date END AS order_full_date,
+ CASE WHEN {_DELIVERY} THEN 'ONE MONTH SUBSTRACTED' ELSE tax_calc_distinction END AS tax_calc_distinction, total_real FROM {{rpt_amazon_full}}
+"""
+QUERIES["null_tokens"] = """
+SELECT line_id, CASE WHEN flag_text IN ('NaN','null','',' ','<NA>') THEN NULL ELSE flag_text END AS flag_text,
+ CASE WHEN flag_text IN ('NaN','null','','<NA>','None') THEN NULL ELSE flag_text END AS order_text,
+ CASE WHEN flag_text IN ('NaN','null','','None') THEN NULL ELSE flag_text END AS payout_text FROM {raw_text}
+"""
+QUERIES["parse_ts_fallback"] = """
+SELECT line_id, date_text, l_shipdate + CASE WHEN date_text LIKE '%UTC' THEN interval 37230 seconds WHEN date_text LIKE '%T%' THEN interval 4830 seconds ELSE interval 0 seconds END AS parsed FROM {raw_text}
+"""
+QUERIES["clean_number"] = "SELECT line_id, price_text, try_cast(replace(price_text, ',', '') as double) AS price FROM {raw_text}"
+QUERIES["canonical_id"] = """
+SELECT line_id, id_text, CASE WHEN id_text LIKE 'x%' THEN NULL ELSE split_part(id_text, '.', 1) END AS canonical, split_part(id_text, '.', 1) AS stripped,
+ replace(id_text, '.0', '') AS stripped_anywhere FROM {raw_text}
+"""
+QUERIES["conform_schema"] = f"""
+SELECT line_id, try_cast(id_text as double) AS id_text, try_cast(price_text as double) AS price_text, 'DEPRECATED' AS token, {NUL} AS note FROM {{raw_text}}
+"""
+QUERIES["quarantine_good"] = """
+SELECT line_id, cast(id_text as bigint) AS id_text, cast(replace(price_text, ',', '') as double) AS price_text FROM {raw_text}
+WHERE price_text<>'n/a' AND id_text NOT LIKE 'x%' AND id_text NOT LIKE '%.0'
+"""
+QUERIES["quarantine_bad"] = """
+SELECT line_id, id_text, replace(price_text, ',', '') AS price_text FROM {raw_text} WHERE price_text='n/a' OR id_text LIKE 'x%' OR id_text LIKE '%.0'
+"""
+QUERIES["epoch_to_ts"] = "SELECT event_id, date_trunc('second', ts) AS created FROM {events}"
+
+# ---------------------------------------------------------------- nested documents, from the same formulas without nesting
+
+VIEWS["keys"] = "SELECT o_orderkey AS k, o_custkey, o_orderdate FROM {orders}"
+QUERIES["explode_lines"] = """
+SELECT k AS id, '#' || k AS name, cast((k+i)%5+1 as double) AS lineitem_quantity, 'Item ' || ((k*7+i)%50) AS lineitem_name, cast(100+(k*13+i*17)%900 as double) AS lineitem_price,
+ CASE WHEN (k+i)%6<>0 THEN 'SKU' || ((k+i)%90) END AS lineitem_sku,
+ CASE WHEN i IS NULL THEN 0 ELSE CASE WHEN (k+i)%3>0 THEN (k+i)%40 ELSE 0 END + CASE WHEN (k+i)%3>1 THEN (k+i+1)%40 ELSE 0 END END::double AS lineitem_discount
+FROM {keys} LEFT JOIN (SELECT unnest([0,1,2]) AS i) ON i < k%4
+"""
+QUERIES["first_discount"] = """
+SELECT k AS id, CASE k%4 WHEN 0 THEN 'shopify_payments' WHEN 1 THEN 'stripe, gift_card' WHEN 2 THEN 'Komoju - card' END AS payment_gateway_names,
+ CASE WHEN k%5<>0 THEN 'name: gift, value: Its ' || k END AS note_attributes, CASE WHEN k%3>0 THEN 'C' || (k%10) END AS discount_code,
+ CASE WHEN k%3>0 THEN (k%500)::double END AS discount_amount, CASE WHEN k%3>0 THEN 'fixed_amount' END AS discount_type FROM {keys}
+"""
+VIEWS["refund_rows"] = """
+SELECT * FROM {keys}, (SELECT unnest([0,1]) AS x), (SELECT unnest([0,1]) AS y) WHERE x < k%3 AND y < (k+x)%3
+"""
+QUERIES["refund_total"] = """
+SELECT k AS id, coalesce(s, 0) AS refund FROM {keys} LEFT JOIN (SELECT k, sum(((k*3+x*5+y*7)%1000)::double) AS s FROM {refund_rows} GROUP BY k) USING (k)
+"""
+QUERIES["refund_lines"] = """
+SELECT k*100+x*10+y AS id, k*10+y AS line_item_id, CASE WHEN k%4<>0 THEN cast(k%7 as varchar) END AS location_id, ((k+y)%3+1)::double AS quantity, 'return' AS restock_type,
+ ((k*3+x*5+y*7)%1000)::double AS subtotal, ((k+y)%80)::double AS total_tax, '#' || k AS name, strftime(o_orderdate,'%Y-%m-%d') || 'T10:00:00Z' AS order_date,
+ CASE WHEN k%20=0 THEN strftime(o_orderdate,'%Y-%m-%d') || 'T12:00:00Z' END AS cancel_date, CASE WHEN k%3=0 THEN 'paid' ELSE 'refunded' END AS financial_status,
+ CASE WHEN k%9=0 THEN 0 ELSE (k%3)*300 END::double AS shipping_amount, CASE WHEN k%11<>0 AND k%2=0 THEN 'fulfilled' END AS fulfillment_status,
+ CASE WHEN k%11<>0 THEN 'Item ' || ((k*7+y)%50) END AS product_name, CASE WHEN k%11<>0 THEN 'SKU' || ((k+y)%90) END AS sku,
+ CASE WHEN k%11<>0 THEN 100+k%900 END::double AS line_price, CASE WHEN k%11<>0 THEN k%30 END::double AS line_discount FROM {refund_rows}
+"""
+QUERIES["flatten_prefix"] = """
+SELECT k AS id, CASE WHEN k%9<>0 THEN cast((k%3)*300 as varchar) END AS shipping_shop_amount, CASE WHEN k%9<>0 THEN cast((k%3)*2 as varchar) END AS shipping_presentment_amount,
+ 'City ' || (o_custkey%20) AS ship_city, cast(o_custkey%1000 as varchar) AS ship_zip, CASE WHEN o_custkey%13<>0 THEN 'JP' END AS ship_country FROM {keys}
+"""
+QUERIES["find_tokens_json"] = """
+SELECT event_id, CASE WHEN a=b THEN a ELSE least(a,b) || ',' || greatest(a,b) END AS tokens FROM (SELECT event_id, 'ch_' || (event_id%7) AS a, 'ch_' || user_id AS b FROM {events})
+"""
+VIEWS["good_moves"] = "SELECT k, j FROM {keys}, (SELECT unnest([0,1,2]) AS j) WHERE j < k%4 AND (k+j)%3<>0"
+QUERIES["charge_refs"] = """
+SELECT cast(k as varchar) AS order_id, 'pay_' || k || '_' || j AS charge_ref FROM {good_moves} WHERE k%5<2
+UNION ALL SELECT cast(k as varchar), string_agg(t, '-' ORDER BY t) FROM (
+ SELECT k, 'ch_' || k AS t FROM {good_moves} WHERE k%5>=2 UNION SELECT k, 'ch_' || (k%5+j) FROM {good_moves} WHERE k%5>=2) GROUP BY k
+"""
+QUERIES["order_ids"] = "SELECT DISTINCT id FROM {orders_master}"

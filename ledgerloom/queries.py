@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog import Catalog
+from ledgerloom.catalog import Catalog, catalog
 from ledgerloom.operators import aggregates as agg
 from ledgerloom.plans import amazon, amazonpay, dashboard, rakuten, shopify, stripe
 
@@ -31,7 +31,7 @@ def all_queries() -> dict[str, Query]:
     from ledgerloom import operator_queries  # noqa: F401  registers the operator queries
 
     def bind(function: Callable[[Catalog], DataFrame]) -> Query:
-        return lambda spark, folder: function(Catalog(spark, folder))
+        return lambda spark, folder: function(catalog(spark, folder))
 
     return {name: bind(function) for name, function in _REGISTRY.items()}
 
