@@ -673,3 +673,59 @@ UNION ALL SELECT cast(k as varchar), string_agg(t, '-' ORDER BY t) FROM (
  SELECT k, 'ch_' || k AS t FROM {good_moves} WHERE k%5>=2 UNION SELECT k, 'ch_' || (k%5+j) FROM {good_moves} WHERE k%5>=2) GROUP BY k
 """
 QUERIES["order_ids"] = "SELECT DISTINCT id FROM {orders_master}"
+
+# ---------------------------------------------------------------- feeds, ingestion, streaming
+
+_LOADED = "timestamp '2023-01-01 00:00:00'"
+QUERIES["feed_settlement_txt"] = f"""
+SELECT transactionposteddate, settlementid, amazontransactionid, {NUL} AS sellerreferenceid, transactiontype, {NUL} AS amazonorderreferenceid, sellerorderid,
+ {NUL} AS storename, 'JPY' AS currencycode, {NUL} AS transactiondescription, transactionamount, transactionpercentagefee+0 AS transactionpercentagefee, 0::double AS transactionfixedfee,
+ transactionpercentagefee+0 AS totaltransactionfee, nettransactionamount, timestamp '2002-01-31 00:00:00' AS settlement_end_date FROM {{amazon_pay}}
+"""
+QUERIES["feed_preamble_tsv"] = f"""
+SELECT settlement_id, deposit_date, transaction_type, order_id, amount_type, amount_description, amount, posted_date_time, sku, quantity_purchased, {NUL} AS promotion_id FROM {{transaction_view}}
+"""
+QUERIES["feed_payment_main"] = f"""
+SELECT timestamp '2002-01-05' AS order_confirmation_date, order_number, 'P' || order_number AS payment_number, 'L1' AS payment_institution_link_number, {NUL} AS onquiry_number,
+ timestamp '2002-01-06' AS payment_confirmation_date, (cast(order_number as bigint)%100000)::double AS rakuten_pay_money, 'card' AS payment_method, {NUL} AS summary,
+ substr(report_id, 2) AS report_id FROM {{rakuten_payment_main}}
+"""
+QUERIES["feed_payment_coupon"] = """
+SELECT DISTINCT order_number, date_trunc('day', order_date_time)::timestamp AS order_confirmation_date, '値引, クーポン' AS coupon_name, store_issued_coupon_usage_amount AS coupon_amount,
+ timestamp '2002-01-07' AS coupon_confirmation_date, '77' AS report_id FROM {rakuten_orders} WHERE store_issued_coupon_usage_amount>0
+"""
+QUERIES["feed_rakuten_orders"] = f"""
+SELECT order_number, order_date_time, status, product_name, item_number, unit_price, quantity, shipping_total, {NUL} AS delivery_location FROM {{rakuten_orders}}
+"""
+QUERIES["feed_order_list"] = f"""
+SELECT amazon_order_id, merchant_order_id, purchase_date, '①番 サプリ' AS product_name, sku, cast(quantity as bigint) AS quantity, {NUL} AS promotion_ids FROM {{order_central}}
+"""
+QUERIES["feed_stripe_payouts"] = "SELECT * FROM {stripe_payouts}"
+QUERIES["ingest_orders"] = f"""
+SELECT cast(id as varchar) AS id, cast(id as varchar) AS checkout_id, o_orderdate + interval 10 hours AS created_at, CASE WHEN id%20=0 THEN o_orderdate + interval 12 hours END AS cancelled_at,
+ CASE WHEN id%3=0 THEN 'paid' ELSE 'refunded' END AS financial_status, refund, payment_gateway_names,
+ CASE WHEN id%4 IN (1,2) AND gateway_ok THEN charge_ref END AS reference, 'DEPRECATED' AS cart_token,
+ cast(shipping_shop_amount as double) AS shipping_shop_amount, cast(shipping_presentment_amount as double) AS shipping_presentment_amount, ship_zip,
+ lineitem_quantity, lineitem_name, lineitem_price, lineitem_sku, lineitem_discount, discount_code, discount_amount, round(o_totalprice) AS total_price, {_LOADED} AS UPDATED_FROM_API
+FROM {{explode_lines}} JOIN {{first_discount}} USING (id) JOIN {{refund_total}} USING (id) JOIN {{flatten_prefix}} USING (id) JOIN {{orders}} ON o_orderkey=id
+LEFT JOIN (SELECT order_id, min(charge_ref) AS charge_ref FROM {{charge_refs}} GROUP BY 1) ON order_id=cast(id as varchar)
+LEFT JOIN (SELECT cast(order_id as bigint)%4 AS g, max(n)=1 AS gateway_ok FROM (SELECT order_id, count(*) AS n FROM {{charge_refs}} GROUP BY 1) GROUP BY 1) ON g=id%4
+"""
+QUERIES["ingest_refund_lines"] = """
+SELECT id, line_item_id, quantity, subtotal, name, cast(replace(order_date,'Z','') as timestamp) AS order_date, cast(replace(cancel_date,'Z','') as timestamp) AS cancel_date,
+ shipping_amount, product_name FROM {refund_lines} WHERE financial_status='refunded'
+"""
+VIEWS["settled_payouts"] = "SELECT * FROM {shopify_payouts} WHERE cast(id as bigint) < (SELECT min(cast(id as bigint)) FROM {shopify_payouts} WHERE payout_status IN ('pending','in_transit'))"
+QUERIES["ingest_payouts"] = f"""
+SELECT p.id, type, source_order_id, payout_id, payout_status, amount, fee, net, processed_at, CASE WHEN s.id IS NULL THEN {_LOADED} END AS UPDATED_FROM_API
+FROM {{shopify_payouts}} p LEFT JOIN (SELECT id FROM {{settled_payouts}}) s ON s.id=p.id
+"""
+QUERIES["stream_load_files"] = "SELECT balance_transaction_id, created_utc, gross FROM {stripe_payouts}"
+QUERIES["stream_replace_by_key"] = """
+SELECT id, lineitem_sku, CASE WHEN created_at >= '2001-02-01' THEN 'archived' ELSE financial_status END AS financial_status, created_at FROM {orders_master}
+"""
+QUERIES["stream_book_once"] = "SELECT control_number, order_id, item, amount FROM {rpt_rakuten_full}"
+QUERIES["stream_daily_totals"] = """
+SELECT cast(created_at as date) AS day, payment_gateway_names, sum(lineitem_price*lineitem_quantity) AS total FROM {orders_master}
+WHERE date_trunc('day', created_at) + interval 1 day <= (SELECT max(created_at) FROM {orders_master}) - interval 14 day GROUP BY 1, 2
+"""

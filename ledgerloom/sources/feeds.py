@@ -14,7 +14,7 @@ from ledgerloom.functions.text import (
 )
 from ledgerloom.operators.maintenance import conform
 from ledgerloom.sources.files import (
-    JAPANESE, first_pos, numbered_lines, per_file, read_delimited, read_headed_text, read_preamble, typed,
+    JAPANESE, first_pos, numbered_lines, per_file, read_delimited, read_headed_text, read_preamble, split_cells, typed,
 )
 from ledgerloom.sources.rakuten_headers import BULK_COLUMN_COUNT, NUMBER_COLUMNS, ORDER_HEADERS, TIME_COLUMNS
 
@@ -98,40 +98,33 @@ def read_payment_sections(spark: SparkSession, path: str | Sequence[str]) -> tup
     lines = lines.withColumn("_lead", lead)
     is_header, is_total = F.col("_lead") == schemas.SECTION_HEADER, F.col("_lead") == schemas.SECTION_TOTAL
     one = per_file(lines, _main=first_pos(is_header), _total=first_pos(is_total))
+    in_coupon = is_header & (F.col("pos") > F.col("_total"))
+    translation = F.create_map(*[F.lit(x) for pair in schemas.COUPON_HEADERS.items() for x in pair])
+    names = F.transform(
+        split_cells(F.col("_coupon_header"), ","), lambda name: F.coalesce(F.element_at(translation, name), F.lit("error"))
+    )
     two = per_file(
         one,
-        _coupon=first_pos(is_header & (F.col("pos") > F.col("_total"))),
-        _coupon_header=F.min_by(
-            F.when(is_header & (F.col("pos") > F.col("_total")), F.col("line")),
-            F.when(is_header & (F.col("pos") > F.col("_total")), F.col("pos")),
-        ),
+        {"_names": names},
+        _coupon=first_pos(in_coupon),
+        _coupon_header=F.min_by(F.when(in_coupon, F.col("line")), F.when(in_coupon, F.col("pos"))),
     )
     three = per_file(two, _end=first_pos(is_total & (F.col("pos") > F.col("_coupon"))))
     width = len(schemas.PAYMENT_MAIN.fields)
-    record = F.from_csv("line", ", ".join(f"c{i} string" for i in range(width)))
-    cells = F.array(*[record[f"c{i}"] for i in range(width)])
 
     def cell(raw: Column, field: T.StructField) -> Column:
+        raw = null_token(raw, ("", "nan"), True)
         if isinstance(field.dataType, T.DoubleType):
             return clean_number(raw, (",",)).alias(field.name)
         if field.name == "report_id":
-            return strip_dot_zero(null_token(raw, ("nan",), True)).alias(field.name)
+            return strip_dot_zero(raw).alias(field.name)
         return typed(raw, field.dataType, ("yyyy/MM/dd", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")).alias(field.name)
 
-    data = three.where(F.col("line") != "").withColumn("_cells", cells)
+    data = three.where(F.col("line") != "").withColumn("_cells", split_cells(F.col("line"), ","))
     main = data.where((F.col("pos") > F.col("_main")) & (F.col("pos") < F.col("_total"))).select(
         *[cell(F.get("_cells", F.lit(i)), f) for i, f in enumerate(schemas.PAYMENT_MAIN.fields) if f.name != "number"],
         "FILE_NAME",
     )
-    header = F.from_csv("_coupon_header", ", ".join(f"c{i} string" for i in range(width)))
-    translated = F.transform(
-        F.array(*[header[f"c{i}"] for i in range(width)]),
-        lambda name: F.coalesce(
-            F.element_at(F.create_map(*[F.lit(x) for pair in schemas.COUPON_HEADERS.items() for x in pair]), name),
-            F.lit("error"),
-        ),
-    )
-
     def coupon_cell(field: T.StructField) -> Column:
         # the unnamed last column of the whole file is the report id
         at = F.lit(width) if field.name == "report_id" else F.array_position("_names", field.name)
@@ -139,7 +132,7 @@ def read_payment_sections(spark: SparkSession, path: str | Sequence[str]) -> tup
 
     after = F.col("_coupon").isNotNull() & (F.col("pos") > F.col("_coupon"))
     before = F.col("_end").isNull() | (F.col("pos") < F.col("_end"))
-    coupon = data.where(after & before).withColumn("_names", translated).select(
+    coupon = data.where(after & before).select(
         *[coupon_cell(f) for f in schemas.PAYMENT_COUPON.fields], "FILE_NAME"
     )
     return main, coupon

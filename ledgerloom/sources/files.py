@@ -82,12 +82,33 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def per_file(lines: DataFrame, **facts: Column) -> DataFrame:
-    """Attach aggregates of each file's lines to its lines (one small row per file)."""
+def per_file(lines: DataFrame, derived: dict[str, Column] | None = None, **facts: Column) -> DataFrame:
+    """Attach aggregates of each file's lines to its lines (one small row per file).
+
+    ``derived`` columns are computed from the aggregates, once per file.
+    """
     summary = lines.groupBy(F.col("file_path").alias("_path")).agg(*[c.alias(n) for n, c in facts.items()])
+    for name, column in (derived or {}).items():
+        summary = summary.withColumn(name, column)
     return lines.join(summary, F.col("file_path") == F.col("_path")).drop("_path")
 
 
+_QUOTED_CELLS = r'(?:^|,)("(?:[^"]|"")*"|[^,"]*)'
+
+
+def split_cells(line: Column, sep: str) -> Column:
+    """Cells of a line in one pass; comma cells may be quoted and then hold commas."""
+    if sep != ",":
+        return F.split(line, sep)
+    cells = F.regexp_extract_all(line, F.lit(_QUOTED_CELLS), F.lit(1))
+
+    def unquote(cell: Column) -> Column:
+        inner = F.replace(cell.substr(F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"'))
+        return F.when(F.startswith(cell, F.lit('"')), inner).otherwise(cell)
+
+    return F.transform(cells, unquote)
+
+
 def first_pos(condition: Column) -> Column:
     return F.min(F.when(condition, F.col("pos")))
 
@@ -121,27 +142,23 @@ def read_preamble(
     lines = numbered_lines(spark, path)
     is_header = F.contains(F.col("line"), F.lit(header_key))
     header = F.min_by(F.when(is_header, F.col("line")), F.when(is_header, F.col("pos")))
-    marked = per_file(lines, _header_pos=first_pos(is_header), _header=header, **(facts or {}))
-    parse = {"sep": sep, "mode": "PERMISSIVE"}
-
-    def cells(line: str) -> Column:
-        # quoted cells may hold the separator, so the split is left to the CSV parser
-        width = 64
-        fields = ", ".join(f"c{i} string" for i in range(width))
-        record = F.from_csv(F.col(line), fields, parse)
-        return F.array(*[record[f"c{i}"] for i in range(width)])
 
     def clean_header(name: Column) -> Column:
         return F.replace(F.lower(F.trim(F.replace(name, F.lit(","), F.lit("")))), F.lit("-"), F.lit("_"))
 
+    names = F.transform(split_cells(F.col("_header"), sep), clean_header)
+    places = F.struct(*[F.array_position("_names", n).alias(n) for n in wanted])
     rows = (
-        marked.where((F.col("pos") > F.col("_header_pos")) & (F.trim("line") != ""))
-        .withColumn("_names", F.transform(cells("_header"), clean_header))
-        .withColumn("_cells", cells("line"))
+        per_file(
+            lines, {"_names": names, "_places": places},
+            _header_pos=first_pos(is_header), _header=header, **(facts or {}),
+        )
+        .where((F.col("pos") > F.col("_header_pos")) & (F.trim("line") != ""))
+        .withColumn("_cells", split_cells(F.col("line"), sep))
     )
 
     def column(field: T.StructField) -> Column:
-        at = F.array_position("_names", field.name)
+        at = F.col(f"_places.{field.name}")
         raw = F.when(at > 0, F.get("_cells", (at - 1).cast("int")))
         raw = null_token(raw, nulls, fold_case=True) if nulls else raw
         return typed(raw, field.dataType, formats).alias(field.name)
@@ -149,9 +166,14 @@ def read_preamble(
     return rows.select(*[column(columns[n]) for n in wanted], *(facts or {}), "FILE_NAME")
 
 
-def read_json_pages(spark: SparkSession, path: str | Sequence[str], key: str, document: str) -> DataFrame:
-    """Rows of all landed API pages: each page holds a list of documents under ``key``."""
-    pages = spark.read.schema(f"`{key}` array<struct<{document}>>").option("multiLine", True).json(path)
+def read_json_pages(
+    spark: SparkSession, path: str | Sequence[str], key: str, document: str, page_per_file: bool = True
+) -> DataFrame:
+    """Rows of all landed API pages: each page holds a list of documents under ``key``.
+
+    A page is a whole file, or one line of a file with ``page_per_file=False``.
+    """
+    pages = spark.read.schema(f"`{key}` array<struct<{document}>>").option("multiLine", page_per_file).json(path)
     return pages.select(F.explode(key).alias("_row")).select("_row.*")
 
 
