@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 import weakref
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -253,6 +254,12 @@ class Catalog:
         spread.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A report that others read as a table (a ledger, the dashboard feed), written on first use."""
+        if name not in self._frames:
+            self._frames[name] = self._land(name, build())
+        return self._frames[name]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES and name not in BASE_TABLES:
             raise AttributeError(name)

@@ -16,7 +16,7 @@ from ledgerloom.operators import aggregates as agg
 from ledgerloom.operators import expand as ex
 from ledgerloom.operators import joins, maintenance, nested, windows
 from ledgerloom.plans import amazon, amazonpay, dashboard, rakuten, shopify, stripe
-from ledgerloom.queries import query, rpt_amazon_full, rpt_shopify_full, rpt_stripe_full
+from ledgerloom.queries import booked, query, rpt_amazon_full, rpt_shopify_full, rpt_stripe_full
 from ledgerloom.schemas import schema
 
 # ---------------------------------------------------------------- joins
@@ -266,7 +266,7 @@ def zip_code(c: Catalog) -> DataFrame:
 
 @query
 def tax_from_label(c: Catalog) -> DataFrame:
-    report = rpt_amazon_full(c)
+    report = booked(c, rpt_amazon_full)
     rate = money.tax_rate_of_label(F.col("tax_distiction"))
     return report.select(
         "settlement_id", "order_id", "tax_distiction", "total_real", rate.alias("rate"),
@@ -308,7 +308,7 @@ def _delivery():
 
 @query
 def running_sum(c: Catalog) -> DataFrame:
-    return amazon.adjust_running_sum(rpt_amazon_full(c), _delivery())
+    return amazon.adjust_running_sum(booked(c, rpt_amazon_full), _delivery())
 
 
 @query
@@ -319,12 +319,12 @@ def running_sum_shipdate(c: Catalog) -> DataFrame:
 
 @query
 def last_seen_by_amount(c: Catalog) -> DataFrame:
-    return agg.last_seen_by(rpt_amazon_full(c), _delivery(), "total_real", "order_full_date")
+    return agg.last_seen_by(booked(c, rpt_amazon_full), _delivery(), "total_real", "order_full_date")
 
 
 @query
 def control_total(c: Catalog) -> DataFrame:
-    return agg.control_total(rpt_amazon_full(c), _delivery())
+    return agg.control_total(booked(c, rpt_amazon_full), _delivery())
 
 
 @query
@@ -411,7 +411,7 @@ def incremental_window(c: Catalog) -> DataFrame:
 
 @query
 def adjust_rows(c: Catalog) -> DataFrame:
-    report = amazon.move_back_one_month(rpt_amazon_full(c), _delivery())
+    report = amazon.move_back_one_month(booked(c, rpt_amazon_full), _delivery())
     return report.select("settlement_id", "order_id", "sku", "item", "main_date", "order_full_date", "tax_calc_distinction", "total_real")
 
 

@@ -27,19 +27,26 @@ def join_lines(payouts: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def join_distinct(
-    left: DataFrame, dim: DataFrame, keys: Sequence[tuple[str, str]], columns: dict[str, Column]
+    left: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[tuple[str, str]],
+    columns: dict[str, Column],
+    sparse: bool = False,
 ) -> DataFrame:
     """Left join with the DISTINCT projection of ``dim``.
 
     ``keys`` pairs left and dimension columns; ``columns`` names the attached expressions.
-    Several distinct rows of one key still repeat the left row.
+    Several distinct rows of one key still repeat the left row.  ``sparse`` says that the
+    first left key is NULL on many rows, see :func:`join_sparse_left`.
     """
     picked = dim.select(
         *[F.col(dk).alias(f"_k{i}") for i, (_, dk) in enumerate(keys)],
         *[c.alias(name) for name, c in columns.items()],
     ).distinct()
-    matched = _same(left, picked, [(lk, f"_k{i}") for i, (lk, _) in enumerate(keys)])
-    return left.join(picked, matched, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    pairs = [(lk, f"_k{i}") for i, (lk, _) in enumerate(keys)]
+    if sparse:
+        return join_sparse_left(left, picked, pairs)
+    return left.join(picked, _same(left, picked, pairs), "left").drop(*[k for _, k in pairs])
 
 
 def join_sparse_left(

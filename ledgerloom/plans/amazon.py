@@ -45,7 +45,8 @@ def classified_lines(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame) -> D
     Adding up comes before the joins, so the joins see far fewer rows.
     """
     dated = join_distinct(
-        fee_preagg(tv), oc, [("order_id", "amazon_order_id")], {"purchase_date": to_local(F.col("purchase_date"))}
+        fee_preagg(tv), oc, [("order_id", "amazon_order_id")], {"purchase_date": to_local(F.col("purchase_date"))},
+        sparse=True,  # account-level fees have no order
     )
     return apply_rules(business_date(dated).where(F.col("main_time").isNotNull()), nomenclature)
 

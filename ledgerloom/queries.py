@@ -126,13 +126,18 @@ def rpt_rakuten(c: Catalog) -> DataFrame:
     return rakuten.rakuten_report(c.rakuten_orders, c.rakuten_2020, c.rakuten_payment_main, c.ledger_rakuten)
 
 
+def booked(c: Catalog, report: Callable[[Catalog], DataFrame]) -> DataFrame:
+    """A full report as the table that later reports read: ledgers are stored, not derived again."""
+    return c.stored(f"booked_{report.__name__}", lambda: report(c))
+
+
 def _ledgers(c: Catalog) -> dashboard.Ledgers:
     return dashboard.Ledgers(
-        amazon=rpt_amazon_full(c),
-        rakuten=rpt_rakuten_full(c),
-        amazonpay=rpt_amazonpay_full(c),
-        stripe=rpt_stripe_full(c),
-        shopify=rpt_shopify_full(c),
+        amazon=booked(c, rpt_amazon_full),
+        rakuten=booked(c, rpt_rakuten_full),
+        amazonpay=booked(c, rpt_amazonpay_full),
+        stripe=booked(c, rpt_stripe_full),
+        shopify=booked(c, rpt_shopify_full),
         order_central=c.order_central,
         orders_master=c.orders_master,
     )
@@ -167,24 +172,24 @@ def rpt_sales_feed_v2(c: Catalog) -> DataFrame:
 
 @query
 def sku_monthly_amazon(c: Catalog) -> DataFrame:
-    return agg.sku_monthly(rpt_amazon_full(c), "amazon")
+    return agg.sku_monthly(booked(c, rpt_amazon_full), "amazon")
 
 
 @query
 def sku_monthly_rakuten(c: Catalog) -> DataFrame:
-    return agg.sku_monthly(rpt_rakuten_full(c), "rakuten")
+    return agg.sku_monthly(booked(c, rpt_rakuten_full), "rakuten")
 
 
 @query
 def sku_monthly_shopify(c: Catalog) -> DataFrame:
-    return agg.sku_monthly(rpt_shopify_full(c), "shopify")
+    return agg.sku_monthly(booked(c, rpt_shopify_full), "shopify")
 
 
 @query
 def sales_by_sku(c: Catalog) -> DataFrame:
-    return agg.sales_by_sku(rpt_dashboard(c), "Amazon", 1998, 1)
+    return agg.sales_by_sku(booked(c, rpt_dashboard), "Amazon", 1998, 1)
 
 
 @query
 def yearly_sales_by_source(c: Catalog) -> DataFrame:
-    return agg.yearly_sales_by_source(rpt_dashboard(c))
+    return agg.yearly_sales_by_source(booked(c, rpt_dashboard))
