@@ -156,7 +156,8 @@ def _trim(lines: DataFrame, *extra: str) -> DataFrame:
 
 @query
 def expand_sh(c: Catalog) -> DataFrame:
-    return _trim(shopify.shopify_lines(c.shopify_payouts, c.orders_master), "control_number", "sku", "source_type")
+    settled = shopify.settle_line(shopify.payout_lines(c.shopify_payouts, c.orders_master))
+    return _trim(shopify.expand_sh(settled), "control_number", "sku", "source_type")
 
 
 @query

@@ -51,6 +51,11 @@ def classified_lines(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame) -> D
     return apply_rules(business_date(dated).where(F.col("main_time").isNotNull()), nomenclature)
 
 
+def _text_id() -> Column:
+    """The settlement id of the transaction view, which loads it as a double, as text."""
+    return F.round("settlement_id").cast("bigint").cast("string")
+
+
 def _core(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, as_of: date) -> DataFrame:
     """Report lines with the deposit date; several deposit dates of a settlement repeat its lines."""
     keys = ["settlement_id", "main_time", "account", "tax_distiction", "remarks", "item", "DATE_TYPE", "sku",
@@ -85,8 +90,12 @@ def _core(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, as_of: date) ->
 def amazon_report(
     tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, ledger: DataFrame | None = None, *, as_of: date
 ) -> DataFrame:
-    """All settlements not yet booked; ``ledger=None`` rebuilds everything."""
-    return not_booked(_core(tv, oc, nomenclature, as_of), ledger, "settlement_id")
+    """All settlements not yet booked; ``ledger=None`` rebuilds everything.
+
+    The settlement is part of every key that follows, so booked ones drop out at the scan.
+    """
+    fresh = not_booked(tv.withColumn("_sett", _text_id()), ledger, "_sett", "settlement_id").drop("_sett")
+    return _core(fresh, oc, nomenclature, as_of)
 
 
 def amazon_report_latest(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, k: int = 5, *, as_of: date) -> DataFrame:
@@ -94,8 +103,7 @@ def amazon_report_latest(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame,
 
     The settlements are picked before anything is joined or added up.
     """
-    text_id = F.round("settlement_id").cast("bigint").cast("string")
-    recent = latest_k(tv.withColumn("_sett", text_id), "_sett", k).drop("_sett")
+    recent = latest_k(tv.withColumn("_sett", _text_id()), "_sett", k).drop("_sett")
     return _core(recent, oc, nomenclature, as_of)
 
 
@@ -103,7 +111,8 @@ def amazon_sheet_report(
     tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, min_settlement: str, *, as_of: date
 ) -> DataFrame:
     """Condensed report of the settlements after ``min_settlement``, zero sums left out."""
-    return sheet_agg(_core(tv, oc, nomenclature, as_of), min_settlement)
+    later = tv.where(_text_id() > min_settlement)
+    return sheet_agg(_core(later, oc, nomenclature, as_of), min_settlement)
 
 
 def delivery_lines(
