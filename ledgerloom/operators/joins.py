@@ -218,9 +218,10 @@ def not_booked(df: DataFrame, ledger: DataFrame | None, key: str, ledger_key: st
     """
     if ledger is None:
         return df
-    booked = ledger.select(F.col(ledger_key or key).alias("_booked")).where("_booked IS NOT NULL").distinct()
+    booked = ledger.select(F.col(ledger_key or key).alias("_booked")).where("_booked IS NOT NULL")
     kept = df.where(F.col(key).isNotNull() | ~booked.exists())
-    return kept.join(booked, kept[key] == booked["_booked"], "left_anti")
+    keys = booked.distinct()
+    return kept.join(keys, kept[key] == keys["_booked"], "left_anti")
 
 
 def apply_rules(df: DataFrame, nomenclature: DataFrame, key: str = "concat_fields") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import first_match, null_of
 from ledgerloom.functions.dates import to_local
-from ledgerloom.functions.rules import TAX_INCLUDED, balance_by_sign
+from ledgerloom.functions.rules import TAX_INCLUDED
 from ledgerloom.operators.aggregates import fee_preagg, report_agg, sheet_agg
 from ledgerloom.operators.joins import apply_rules, join_cast_key, join_distinct, not_booked
 from ledgerloom.operators.maintenance import adjust_rows
