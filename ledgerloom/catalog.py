@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.operators.windows import ensure_checkpoint_dir
+from ledgerloom.storage import checkpoint_dir
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
                "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -247,7 +247,7 @@ class Catalog:
         derive them again and again.  Given tables in fewer files than cores would be read and
         written by few tasks, so those are spread first; many files are written as they come.
         """
-        folder = f"{ensure_checkpoint_dir(self.spark)}/tables-{self.spark.sparkContext.applicationId}"
+        folder = f"{checkpoint_dir(self.spark)}/tables-{self.spark.sparkContext.applicationId}"
         path = f"{folder}/{hashlib.md5(self.folder.encode()).hexdigest()}/{name}"
         cores = self.spark.sparkContext.defaultParallelism
         spread = frame.repartition(cores) if len(frame.inputFiles()) < cores else frame

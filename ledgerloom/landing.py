@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import Catalog
-from ledgerloom.operators.windows import ensure_checkpoint_dir
+from ledgerloom.storage import checkpoint_dir
 from ledgerloom.schemas import STRIPE_PAYOUTS
 from ledgerloom.sources.files import JAPANESE, allow_encoding
 from ledgerloom.sources.rakuten_headers import ORDER_HEADERS
@@ -19,7 +19,7 @@ from ledgerloom.sources.rakuten_headers import ORDER_HEADERS
 
 def new_folder(c: Catalog, name: str) -> str:
     """A fresh folder in the session's shared folder."""
-    return f"{ensure_checkpoint_dir(c.spark)}/feeds/{name}-{uuid.uuid4().hex}"
+    return f"{checkpoint_dir(c.spark)}/feeds/{name}-{uuid.uuid4().hex}"
 
 
 def write_reports(lines: DataFrame, folder: str) -> str:

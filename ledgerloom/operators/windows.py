@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_POSITION_BITS = 33  # monotonically_increasing_id: partition number above, row number below
-
+from ledgerloom.storage import checkpoint_dir
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder of the session; a temporary one only where none is configured."""
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
-    return context.getCheckpointDir()
+_POSITION_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
 def _frozen_layout(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -28,7 +18,7 @@ def _frozen_layout(df: DataFrame, order: Sequence[str]) -> DataFrame:
     Range bounds are sampled, so a second evaluation could cut elsewhere; the checkpoint
     fixes them and lets later stages survive lost executors.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    checkpoint_dir(df.sparkSession)
     laid_out = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.text import null_token
 from ledgerloom.functions.dates import parse_ts
-from ledgerloom.operators.windows import ensure_checkpoint_dir
+from ledgerloom.storage import checkpoint_dir
 
 # Spark decodes this name right; its aliases map some vendor characters wrongly.
 JAPANESE = "windows-31j"
@@ -66,7 +66,7 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     Large files are still split among tasks.  A position is (block start, row number of the
     scan); the checkpoint fixes it, because another scan could be cut into other blocks.
     """
-    ensure_checkpoint_dir(spark)
+    checkpoint_dir(spark)
     return (
         spark.read.text(path)
         .select(
