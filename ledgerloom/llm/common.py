@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 <
     """The batches cut so that the strings of ``column`` take about ``most_bytes`` each (one row at least)."""
     for batch in batches:
         start, n = 0, batch.num_rows
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         filled = 0
         for i in range(n):
             if i > start and filled + sizes[i] > most_bytes:
