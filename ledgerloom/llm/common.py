@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 WORDS_KEPT = 200_000  # entries of a task's word cache before it starts anew
 
@@ -66,3 +68,23 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 <
             filled += sizes[i]
         if n > start:
             yield batch.slice(start)
+
+
+def append(docs: DataFrame, text_col: str, fields: str, make: Callable[[], Callable[[list], list]], most_bytes: int = 2 << 20) -> DataFrame:
+    """``docs`` with new columns that depend on the text of the row alone.
+
+    ``make()`` runs once per task and returns a function from a list of texts (None for null) to one
+    list or array per column of ``fields`` (DDL); the new names must not be in ``docs`` yet.
+    """
+    new = T.StructType.fromDDL(fields)
+    schema = T.StructType([*docs.schema.fields, *new.fields])
+    at, types = docs.columns.index(text_col), to_arrow_schema(new).types
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = make()
+        for batch in slices(batches, at, most_bytes):
+            values = function(batch.column(at).to_pylist())
+            columns = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(values, types)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.names)
+
+    return docs.mapInArrow(run, schema)

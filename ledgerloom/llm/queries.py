@@ -7,8 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import piece_codec
+from ledgerloom.llm import feistel_shards, hyper_profiles, isolation_rules, line_spread, multi_index, piece_codec, separator_scan, token_table, window_join
 from ledgerloom.llm.common import table
+from ledgerloom.storage import new_folder
+
+END_OF_TEXT = 49407  # of the word_bpe_49k vocabulary
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,9 +26,53 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def sql() -> dict[str, str]:
-    return {}
+    return {"op4_line_spread": line_spread.sql()}
+
+
+@query
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "flat")
+    return separator_scan.counts(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), END_OF_TEXT)
+
+
+@query
+def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feistel_shards.placement(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_token_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "tokens")
+    token_table.write(token_table.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2), path)
+    return token_table.digest(spark, path)
+
+
+@query
+def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_spread.dedup(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("source")
 
 
 @query
 def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op7_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_join.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = multi_index.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", multi_index.hexed(found["fp"]).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_hyper_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyper_profiles.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return isolation_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
