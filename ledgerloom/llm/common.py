@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-WORDS_KEPT = 200_000  # entries of a task's word cache before it starts anew
+WORDS_KEPT = 400_000  # entries of a task's word cache
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,23 +36,32 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-class WordCache(dict):
-    """Word to value for one task; filled by ``make(words)``, dropped when it has grown too large.
+class WordCache:
+    """Word to value for one task, made by ``make(words)`` in batches; holds ``limit`` words, about.
 
-    Common words stay at hand at once after a drop, so memory is bounded and little is made twice.
+    Two generations: words in use move to the young one, and when that is half full, it becomes the old
+    one and what the old one still held goes.  So common words stay and memory is bounded.
     """
 
     def __init__(self, make: Callable[[list], list], limit: int = WORDS_KEPT):
-        super().__init__()
         self.make, self.limit = make, limit
-
-    def fill(self, words) -> None:
-        """Make the values that ``words`` (a set) lack."""
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.limit:
-            self.clear()
-            new = list(words)
-        self.update(zip(new, self.make(new)))
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def of(self, words: set) -> dict:
+        """A table that has at least ``words``; good until the next call."""
+        new = [w for w in words if w not in self.young]
+        if self.young and len(self.young) + len(new) > self.limit // 2:
+            self.old, self.young, new = self.young, {}, list(words)
+        old, young, missing = self.old, self.young, []
+        for w in new:
+            if w in old:
+                young[w] = old[w]
+            else:
+                missing.append(w)
+        if missing:
+            young.update(zip(missing, self.make(missing)))
+        return young
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ left neighbour by re-merging the two (remembered per pair), and goes back one pi
 fits, noting the place in a bitfield so that it is never tried again.
 
 Text is cut before each run of spaces, and between letters and other characters, where the
-vocabulary has no piece across such a cut; merges can't cross it either.  Each word is encoded once
+vocabulary has no piece across such a cut; merges can't cross it either.  Each run is encoded once
 per task while it stays in the bounded cache.
 """
 
@@ -20,7 +20,6 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,9 +27,6 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import WordCache, id_and_text, slices
 
 SPACE = "▁"
-_WORDS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-_RUNS = regex.compile(r"\p{L}+|\P{L}+")
-
 
 class PieceEncoder:
     """Ids of a text under a SentencePiece BPE model with byte fallback."""
@@ -48,16 +44,22 @@ class PieceEncoder:
         for piece in self.ids:
             self.matcher.add_word(piece, len(piece))
         self.matcher.make_automaton()
-        inner = [p.lstrip(SPACE) if p.startswith(SPACE) else p for p in self.ids]
-        # Where pieces have spaces in front only, and never letters beside other characters, no merge crosses these cuts.
-        self.by_word = all(SPACE not in p for p in inner)
-        self.by_run = self.by_word and all(len(_RUNS.findall(p)) <= 1 for p in inner if p)
+        # Where pieces have spaces in front only, and never letters beside other characters, no merge crosses these
+        # cuts; characters of no piece may lie on either side.
+        inner = [p.lstrip(SPACE) for p in self.ids]
+        letters = re.escape("".join(sorted({c for p in inner for c in p if c.isalpha()})))
+        spaced = all(SPACE not in p for p in inner)
+        if spaced and letters and all(p.isalpha() or not any(map(str.isalpha, p)) for p in inner):
+            self.cut = re.compile(f"{SPACE}*[{letters}]+|{SPACE}*[^{letters}{SPACE}]+|{SPACE}+").findall
+        elif spaced:
+            self.cut = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
+        else:
+            self.cut = lambda text: [text] if text else []
         self.packed = {p: np.array([i], "<i4").tobytes() for p, i in self.ids.items()}
         self.widest = max(map(len, self.ids))
         self.pairs: dict[tuple[str, str], bool] = {}
         self.prefixes: dict[str, str] = {}
-        self.parts = WordCache(lambda words: [self._ids(w) for w in words], 300_000)
-        self.words = WordCache(lambda words: [self._word(w) for w in words], 500_000)
+        self.words = WordCache(lambda words: [self._ids(w) for w in words])
 
     def remerge(self, text: str) -> list[str]:
         """The plain merge procedure: always the best pair, the leftmost among equals."""
@@ -78,45 +80,51 @@ class PieceEncoder:
             found = self.pairs[left, right] = self.remerge(left + right) == ([left, right] if left else [right])
         return found
 
-    def longest(self, text: str, pos: int) -> str:
-        """The longest piece at ``pos``; a character without a piece stands alone."""
-        ahead = text[pos : pos + self.widest]
-        ahead = ahead[: self.matcher.longest_prefix(ahead) or 1]
-        return ahead if len(ahead) == 1 or ahead in self.ids else self.shorter(ahead)
-
     def shorter(self, piece: str) -> str:
-        """The longest piece that is a proper prefix ('' if there is none)."""
-        found = self.prefixes.get(piece)
-        if found is None:
-            found = piece[:-1]
-            while len(found) > 1 and found not in self.ids:
-                found = found[:-1]
-            if len(self.prefixes) > 300_000:
-                self.prefixes.clear()
-            self.prefixes[piece] = found
+        """The longest piece, or single character, that is a proper prefix; remembered, as prefixes of pieces are few."""
+        found = piece[:-1]
+        while len(found) > 1 and found not in self.ids:
+            found = found[:-1]
+        self.prefixes[piece] = found
         return found
 
     def pieces(self, text: str) -> list[str]:
         """The encoding of ``text`` by backtracking."""
         n, pos, left = len(text), 0, ""
-        failed = bytearray(n // 8 + 1)
-        out: list[str] = []
-        pairs = self.pairs
-        piece = self.longest(text, 0) if n else ""
+        pairs, out = self.pairs, []
+        # The longest matches, one behind the other, up to the first that doesn't fit its neighbour.
+        for last, length in self.matcher.iter_long(text):
+            if last + 1 - length != pos:
+                break
+            piece = text[pos : last + 1]
+            found = pairs.get((left, piece))
+            if not (self.fits(left, piece) if found is None else found):
+                break
+            out.append(piece)
+            pos, left = last + 1, piece
+        failed = 0  # bitfield of the places from which the rest can't be encoded
+        ids, prefixes, reach, widest = self.ids, self.prefixes, self.matcher.longest_prefix, self.widest
+        piece = ""
+        fresh = True  # no piece has been tried at this place yet
         while pos < n:
+            if fresh:
+                piece = text[pos : pos + widest]
+                piece = piece[: reach(piece) or 1]
+                if piece not in ids and len(piece) > 1:
+                    piece = prefixes.get(piece) or self.shorter(piece)
             while piece:
                 end = pos + len(piece)
-                if not failed[end >> 3] & (1 << (end & 7)):
+                if not failed or not failed >> end & 1:
                     found = pairs.get((left, piece))
                     if self.fits(left, piece) if found is None else found:
                         break
-                piece = self.shorter(piece)
-            if piece:
+                piece = (prefixes.get(piece) or self.shorter(piece)) if len(piece) > 1 else ""
+            fresh = bool(piece)
+            if fresh:
                 out.append(piece)
                 pos, left = end, piece
-                piece = self.longest(text, pos) if pos < n else ""
             else:  # go back: the place has failed, and so has the piece that led here
-                failed[pos >> 3] |= 1 << (pos & 7)
+                failed |= 1 << pos
                 piece = out.pop()
                 pos -= len(piece)
                 left = out[-1] if out else ""
@@ -129,27 +137,12 @@ class PieceEncoder:
     def _spelled(self, char: str) -> bytes:
         return np.array([self.bytes[b] for b in char.encode()], "<i4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        if not self.by_run or word[1:].isalpha():
-            return self._ids(word)
-        # The spaces in front belong to the first run.
-        body = word.lstrip(SPACE)
-        runs = _RUNS.findall(body)
-        if len(runs) < 2:
-            return self._ids(word)
-        runs[0] = word[: len(word) - len(body)] + runs[0]
-        self.parts.fill(set(runs))
-        return b"".join([self.parts[r] for r in runs])
-
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids with the end id, per text."""
-        cut = []
-        for text in texts:
-            plain = self.model.normalize(text)
-            cut.append(_WORDS.findall(plain) if self.by_word else [plain] if plain else [])
-        self.words.fill(set().union(*cut))
+        cut = [self.cut(self.model.normalize(text)) for text in texts]
+        known = self.words.of(set().union(*cut))
         end = np.array([self.end_id], "<i4").tobytes()
-        return [np.frombuffer(b"".join([self.words[w] for w in words]) + end, "<i4") for words in cut]
+        return [np.frombuffer(b"".join([known[w] for w in words]) + end, "<i4") for words in cut]
 
 
 @lru_cache(maxsize=2)
@@ -162,7 +155,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model_path)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 1 << 20):
             ids = encoder.encode(batch.column(1).fill_null("").to_pylist())
             ends = np.cumsum([0, *map(len, ids)]).astype("i4")
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
@@ -178,7 +171,8 @@ def decode(tokens: DataFrame, model_path: str) -> DataFrame:
         model = _encoder(model_path).model
         for batch in batches:
             ids = batch.column(1)
-            texts = [None if x is None else model.decode(x) for x in (ids[i].as_py() for i in range(len(ids)))]
+            ends, values, known = ids.offsets.to_numpy(), ids.values.to_numpy(), ids.is_valid().to_pylist()
+            texts = [model.decode(values[a:b].tolist()) if k else None for a, b, k in zip(ends, ends[1:], known)]
             yield pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")

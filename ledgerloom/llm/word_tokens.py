@@ -27,7 +27,7 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = dtype
-        self.words = WordCache(self._encode, 500_000)
+        self.words = WordCache(self._encode)
 
     def _encode(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
@@ -36,8 +36,7 @@ class WordTokens:
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Packed ids with ``end_id`` behind, per text."""
         cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        self.words.fill(set().union(*cut))
-        end, words = np.array([end_id], self.dtype).tobytes(), self.words
+        end, words = np.array([end_id], self.dtype).tobytes(), self.words.of(set().union(*cut))
         return [b"".join([words[w] for w in ws]) + end for ws in cut]
 
 
