@@ -86,14 +86,16 @@ def append(docs: DataFrame, text_col: str, fields: str, make: Callable[[], Calla
     list or array per column of ``fields`` (DDL); the new names must not be in ``docs`` yet.
     """
     new = T.StructType.fromDDL(fields)
-    schema = T.StructType([*docs.schema.fields, *new.fields])
     at, types = docs.columns.index(text_col), to_arrow_schema(new).types
+    # Plain names on the way, as Python operators can't address a column with a dot in its name.
+    plain = [f"c{i}" for i in range(len(docs.columns) + len(new))]
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(plain, [*docs.schema.fields, *new.fields])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for batch in slices(batches, at, most_bytes):
             values = function(batch.column(at).to_pylist())
             columns = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in zip(values, types)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], plain)
 
-    return docs.mapInArrow(run, schema)
+    return docs.toDF(*plain[: len(docs.columns)]).mapInArrow(run, schema).toDF(*docs.columns, *new.names)

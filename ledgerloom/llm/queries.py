@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import feistel_shards, hyper_profiles, isolation_rules, line_spread, multi_index, piece_codec, separator_scan, token_table, window_join
+from ledgerloom.llm import feistel_shards, hyper_profiles, isolation_rules, license_scan, line_spread, multi_index, piece_codec, separator_scan, token_table, window_join
 from ledgerloom.llm.common import table
 from ledgerloom.storage import new_folder
 
@@ -57,6 +58,11 @@ def op5_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return window_join.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -76,3 +82,8 @@ def op9_hyper_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
