@@ -61,7 +61,9 @@ def spread(lines: DataFrame, min_sites: int, lg_k: int) -> DataFrame:
 def removals(docs: DataFrame, site_col: str, min_sites: int = MIN_SITES, lg_k: int = LG_K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(k1, k2, removed): ascending positions of the lines that go, for rows that lose any."""
     lines = _lines(docs, site_col, id_col, text_col)
-    hits = stored(lines.join(spread(lines, min_sites, lg_k), ["h1", "h2"]), "line-hits")
+    # Stored first, so that its real size decides how it is joined, and a shared line can be split where it isn't small.
+    candidates = stored(spread(lines, min_sites, lg_k), "line-spread")
+    hits = stored(lines.join(candidates, ["h1", "h2"]), "line-hits")
     counted = hits.where(~F.col("sure")).groupBy("h1", "h2").agg(F.countDistinct("site").alias("sites"))
     counted = counted.where(F.col("sites") >= min_sites).select("h1", "h2")
     gone = hits.where("sure").unionByName(hits.where(~F.col("sure")).join(counted, ["h1", "h2"], "left_semi"))
