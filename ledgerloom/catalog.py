@@ -222,6 +222,7 @@ def dependencies(text: str) -> list[str]:
 LANDED = (
     "orders_master", "shopify_payouts", "stripe_payouts", "stripe_api", "amazon_pay", "transaction_view",
     "order_central", "rakuten_orders", "rakuten_2020", "rakuten_payment_main", "combined_sku", "raw_text",
+    "ledger_shopify", "ledger_stripe", "ledger_amazonpay", "ledger_amazon", "ledger_rakuten",
 )
 
 _CATALOGS: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
@@ -244,14 +245,12 @@ class Catalog:
         """Write a canonical table to the session's shared folder and read it back.
 
         The reports then scan typed tables with column pruning and filter pushdown, and do not
-        derive them again and again.  Given tables in fewer files than cores would be read and
-        written by few tasks, so those are spread first; many files are written as they come.
+        derive them again and again.  Rows are spread over all cores first, as given tables may
+        come in one file.
         """
         folder = f"{checkpoint_dir(self.spark)}/tables-{self.spark.sparkContext.applicationId}"
         path = f"{folder}/{hashlib.md5(self.folder.encode()).hexdigest()}/{name}"
-        cores = self.spark.sparkContext.defaultParallelism
-        spread = frame.repartition(cores) if len(frame.inputFiles()) < cores else frame
-        spread.write.mode("overwrite").parquet(path)
+        frame.repartition(self.spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def stored(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:

@@ -63,8 +63,17 @@ def strip_dot_zero(text: Column, anywhere: bool = False) -> Column:
 
 
 def canonical_id(text: Column) -> Column:
-    """Whole-number text of an id such as ``1234.0`` or ``1.234E3``; keeps all digits."""
-    return text.try_cast("decimal(38,6)").try_cast("bigint").cast("string")
+    """Whole-number text of an id such as ``1234.0`` or ``1.234E3``.
+
+    Plain numbers of any length are cut on the text and keep all digits.  Exponent forms are read as
+    numbers of up to 32 digits; anything else is NULL.
+    """
+    plain = F.btrim(text)
+    pattern = r"^([+-]?)0*(\d+)(?:\.\d*)?$"
+    digits, sign = F.regexp_extract(plain, pattern, 2), F.regexp_extract(plain, pattern, 1)
+    whole = F.when((sign == "-") & (digits != "0"), F.concat(F.lit("-"), digits)).otherwise(digits)
+    number = F.regexp_replace(plain.try_cast("decimal(38,6)").cast("string"), r"\.\d*$", "")
+    return F.when(digits != "", whole).otherwise(F.when(number == "-0", F.lit("0")).otherwise(number))
 
 
 def clean_text(text: Column) -> Column:

@@ -126,10 +126,10 @@ def payment_sections(c: Catalog) -> str:
             ).alias("line"),
         )
     )
-    reports = paid.select("report").distinct()
+    reports = paid.select("report").unionByName(coupons.select("report")).distinct()
     main_header = "連番,注文確認日,受注番号,決済番号,決済機関連携番号,お問合せ番号,決済確定日,楽天ペイ入金額,決済方法,摘要,"
     coupon_header = "連番,受注番号,課税資産譲渡日,クーポン名,クーポン利用額,クーポン支払額確定日,,,,,"
-    lines = paid.unionByName(coupons.join(reports, "report", "left_semi"))
+    lines = paid.unionByName(coupons)
     for section, text in ((0, "report"), (1, "period"), (2, ""), (3, main_header), (5, "合計,,,,,,,1,,,"),
                           (6, coupon_header), (8, "合計,,,,1,,,,,,")):
         lines = lines.unionByName(_fixed(reports, section, F.lit(text)))

@@ -186,17 +186,27 @@ def lookup_join(
 
 
 def attach_charge_refs(orders: DataFrame, refs: DataFrame) -> DataFrame:
-    """Charge references for the two outside gateways, one lookup after the other.
+    """Charge references for the two outside gateways, all of them in one lookup.
 
-    A repeated key in one gateway's references drops only that gateway's references.
+    A repeated key in one gateway's references drops only that gateway's references.  Where both have
+    one for an order, the first gateway's counts.
     """
-    for gateway in ("stripe", "komoju"):
-        ids = orders.where(gateway_matches(F.col("payment_gateway_names"), gateway)).select(
-            F.col("id").alias("_gid")
-        ).distinct()
-        own = refs.join(ids, refs["order_id"] == ids["_gid"], "left_semi")
-        orders = lookup_join(orders, own, ("id", "order_id"), ("reference", "charge_ref"))
-    return orders
+    gateways = ("stripe", "komoju")
+    tags = F.array(*[F.when(gateway_matches(F.col("payment_gateway_names"), g), F.lit(g)) for g in gateways])
+    ids = orders.select(F.col("id").alias("_gid"), F.explode(F.array_compact(tags)).alias("_gateway")).distinct()
+    lookup = refs.join(ids, refs["order_id"] == ids["_gid"]).groupBy("_gid", "_gateway").agg(
+        F.min("charge_ref").alias("_value"), F.count("*").alias("_n")
+    )
+    broken = lookup.agg(F.collect_set(F.when(F.col("_n") > 1, F.col("_gateway")))).scalar()
+    wide = lookup.groupBy("_gid").agg(
+        *[F.max(F.when(F.col("_gateway") == g, F.col("_value"))).alias(f"_ref_{g}") for g in gateways]
+    )
+    usable = [F.when(~F.array_contains(broken, g), F.col(f"_ref_{g}")) for g in gateways]
+    return (
+        orders.join(wide, orders["id"] == wide["_gid"], "left")
+        .withColumn("reference", F.coalesce("reference", *usable))
+        .drop("_gid", *[f"_ref_{g}" for g in gateways])
+    )
 
 
 def gateway_matches(names: Column, gateway: str) -> Column:

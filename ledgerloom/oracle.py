@@ -727,5 +727,5 @@ SELECT id, lineitem_sku, CASE WHEN created_at >= '2001-02-01' THEN 'archived' EL
 QUERIES["stream_book_once"] = "SELECT control_number, order_id, item, amount FROM {rpt_rakuten_full}"
 QUERIES["stream_daily_totals"] = """
 SELECT cast(created_at as date) AS day, payment_gateway_names, sum(lineitem_price*lineitem_quantity) AS total FROM {orders_master}
-WHERE date_trunc('day', created_at) + interval 1 day <= (SELECT max(created_at) FROM {orders_master}) - interval 14 day GROUP BY 1, 2
+GROUP BY 1, 2
 """

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.utils import AnalysisException
 
 from ledgerloom.functions.dates import instant_to_ntz
 from ledgerloom.operators.joins import not_booked
@@ -46,15 +45,24 @@ def _each_batch(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, i
 
 def read_versions(spark: SparkSession, target: str, name: str, upto: int | None = None) -> DataFrame | None:
     """A table kept in numbered folders, or None before the first write."""
-    try:
-        rows = spark.read.parquet(target)
-    except AnalysisException:
-        return None
-    if name not in rows.columns:
+    numbers = _version_numbers(spark, target, name)
+    if not any(upto is None or n < upto for n in numbers):
         return None
+    rows = spark.read.parquet(target)
     return rows if upto is None else rows.where(F.col(name) < upto)
 
 
+def _version_numbers(spark: SparkSession, target: str, name: str) -> list[int]:
+    """Numbers of the folders ``name=n`` that a finished write has left; any other trouble with the path is an error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [s.getPath() for s in files.listStatus(path) if s.getPath().getName().startswith(f"{name}=")]
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [int(p.getName().split("=")[1]) for p in names if files.exists(done(p, "_SUCCESS"))]
+
+
 def replace_versions(stream: DataFrame, key: str, target: str, checkpoint: str) -> None:
     """Keep the latest rows per key: each batch replaces the keys it brings.
 
@@ -73,11 +81,8 @@ def replace_versions(stream: DataFrame, key: str, target: str, checkpoint: str)
 
 def latest_version(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
     """Newest version of a table written by :func:`replace_versions`."""
-    rows = read_versions(spark, target, "version", before)
-    if rows is None:
-        return None
-    newest = rows.select(F.max("version")).first()[0]
-    return None if newest is None else rows.where(F.col("version") == newest).drop("version")
+    numbers = [n for n in _version_numbers(spark, target, "version") if before is None or n < before]
+    return spark.read.parquet(f"{target}/version={max(numbers)}") if numbers else None
 
 
 def book_once(stream: DataFrame, key: str, ledger: str, checkpoint: str) -> None:
@@ -101,7 +106,7 @@ def _event_time(stream: DataFrame, ts: str, late_days: int) -> DataFrame:
 
 
 def daily_totals(stream: DataFrame, ts: str, keys: list[str], value: str, late_days: int = 14) -> DataFrame:
-    """Daily sums per key; a day is final when ``late_days`` have passed after it.
+    """Daily sums per key; a day stays open for late records until ``late_days`` have passed after it.
 
     The state holds one row per open day and key.  Repeated records must be removed before,
     see :func:`distinct_records`.
@@ -120,5 +125,19 @@ def distinct_records(stream: DataFrame, ts: str, record_key: list[str], late_day
 
 
 def write_daily_totals(totals: DataFrame, target: str, checkpoint: str) -> None:
-    """Append the days that have become final."""
-    _finish(totals.writeStream.format("parquet").option("path", target).outputMode("append"), checkpoint)
+    """Write the totals that each batch has changed, open days included, to a folder of its own.
+
+    A repeated batch overwrites its folder.  Use :func:`read_daily_totals` to read.
+    """
+    def step(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    _finish(totals.writeStream.foreachBatch(step).outputMode("update"), checkpoint)
+
+
+def read_daily_totals(spark: SparkSession, target: str, keys: list[str]) -> DataFrame | None:
+    """The latest total of each day and key; None before the first write."""
+    rows = read_versions(spark, target, "batch")
+    if rows is None:
+        return None
+    return rows.groupBy("day", *keys).agg(F.max_by("total", "batch").alias("total"))

@@ -122,3 +122,10 @@ def test_points_are_reduced_rate_and_cut(frame):
     assert rows[0].tax_distinction == rules.TAX_8 and rows[0].tax_amount == 15.0 and rows[0].remarks == "Points issued (#7)"
     assert rows[1].tax_amount == 19.0
     assert rows[2].tax_distinction is None and rows[2].tax_amount is None
+
+
+def test_long_ids_keep_all_digits(frame):
+    texts = ["12345678901234567890", "12345678901234567890.0", "0012.0", "-7.9", "-0", "0", "1.234E3", " 5 ", "x", "", "1e50", None, ".5", "+8"]
+    rows = frame([(i, t) for i, t in enumerate(texts)], "i int, x string")
+    got = [r[0] for r in rows.orderBy("i").select(text.canonical_id(F.col("x"))).collect()]
+    assert got == ["12345678901234567890", "12345678901234567890", "12", "-7", "0", "0", "1234", "5", None, None, None, None, "0", "8"]

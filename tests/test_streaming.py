@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from ledgerloom.streaming import jobs
 
 SCHEMA = "id string, v string"
@@ -34,7 +36,7 @@ def test_settlement_is_booked_once(spark, frame, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(ledger).select("id", "v").collect())) == [("1", "a"), ("2", "b")]
 
 
-def test_late_days_close_after_the_tail(spark, frame, tmp_path):
+def test_open_days_count_and_late_days_close_after_the_tail(spark, frame, tmp_path):
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     at = lambda d: dt.datetime(2024, 1, d, 23)
     schema = "src string, at timestamp_ntz, v double"
@@ -44,15 +46,24 @@ def test_late_days_close_after_the_tail(spark, frame, tmp_path):
         df.write.mode("append").parquet(source)
         stream = jobs.file_stream(spark, source, df.schema)
         jobs.write_daily_totals(jobs.daily_totals(stream, "at", ["src"], "v"), target, state)
-        try:
-            return sorted(map(tuple, spark.read.parquet(target).collect()))
-        except Exception:
-            return []
+        return sorted((r.day.day, r.src, r.total) for r in jobs.read_daily_totals(spark, target, ["src"]).collect())
 
-    assert run([("a", at(1), 1.0), ("a", at(2), 2.0)]) == []
-    assert run([("a", at(1), 10.0), ("a", at(16), 3.0)]) == [(dt.date(2024, 1, 1), "a", 11.0)]
+    assert jobs.read_daily_totals(spark, target, ["src"]) is None
+    assert run([("a", at(1), 1.0), ("a", at(2), 2.0)]) == [(1, "a", 1.0), (2, "a", 2.0)]
+    assert run([("a", at(1), 10.0), ("a", at(16), 3.0)]) == [(1, "a", 11.0), (2, "a", 2.0), (16, "a", 3.0)]
     # the first day is closed: a row that comes too late changes nothing
-    assert run([("a", at(1), 100.0), ("a", at(17), 3.0)]) == [(dt.date(2024, 1, 1), "a", 11.0), (dt.date(2024, 1, 2), "a", 2.0)]
+    assert run([("a", at(1), 100.0), ("a", at(17), 3.0)]) == [(1, "a", 11.0), (2, "a", 2.0), (16, "a", 3.0), (17, "a", 3.0)]
+
+
+def test_a_damaged_ledger_is_an_error(spark, frame, tmp_path):
+    ledger = tmp_path / "ledger"
+    assert jobs.read_versions(spark, str(ledger), "batch") is None
+    (ledger / "batch=0").mkdir(parents=True)
+    assert jobs.read_versions(spark, str(ledger), "batch") is None  # nothing finished yet
+    (ledger / "batch=0" / "_SUCCESS").touch()
+    (ledger / "batch=0" / "part-0.parquet").write_bytes(b"damaged")
+    with pytest.raises(Exception):
+        jobs.read_versions(spark, str(ledger), "batch").count()
 
 
 def test_repeated_records_count_once(spark, frame, tmp_path):
