@@ -118,6 +118,12 @@ def high_water_mark(target: DataFrame, order_col: str, return_col: str, default:
     return target.agg(F.coalesce(mark, F.lit(default).cast("string")).alias("cursor"))
 
 
+def time_cursor(target: DataFrame, ts: str, default: Column, after_seconds: int = 0) -> DataFrame:
+    """One row: the latest time in the target, some seconds on; ``default`` where the target has none."""
+    latest = F.max(ts) + F.make_dt_interval(secs=F.lit(after_seconds))
+    return target.agg(F.coalesce(latest, default).alias("cursor"))
+
+
 def last_refunded_order(orders: DataFrame, refunds: DataFrame) -> DataFrame:
     """Order ids under the name that holds the greatest refund id."""
     name = refunds.agg(F.max_by("name", "id")).scalar()

@@ -729,3 +729,48 @@ QUERIES["stream_daily_totals"] = """
 SELECT cast(created_at as date) AS day, payment_gateway_names, sum(lineitem_price*lineitem_quantity) AS total FROM {orders_master}
 GROUP BY 1, 2
 """
+
+_PAYOUTS = "SELECT balance_transaction_id, created_utc, gross FROM {stripe_payouts}"
+for _name in ("append_table", "load_batch", "snapshot_csv"):
+    QUERIES[_name] = _PAYOUTS
+QUERIES["align_to"] = f"SELECT gross, {NUL} AS note, balance_transaction_id FROM {{stripe_payouts}}"
+QUERIES["stamp"] = """
+SELECT balance_transaction_id, created_utc, gross, 'PAY_1.csv' AS FILE_NAME, cast('2023-01-01 00:00:00' as timestamp) AS UPLOADED_DATETIME FROM {stripe_payouts}
+"""
+QUERIES["incremental_windows"] = """
+SELECT balance_transaction_id, created_utc, gross, lag FROM {stripe_payouts},
+ (VALUES ('payouts', '1999-12-30 23:59:59'), ('balance', '1999-12-29 23:59:59'), ('webhook', '1999-12-30 18:59:59'), ('legacy', '1999-12-31 00:00:00')) AS ends(lag, until)
+WHERE created_utc > '1999-06-30 23:59:59' AND created_utc <= cast(until as timestamp)
+"""
+QUERIES["time_cursors"] = """
+SELECT 'balance' AS request, max(created_utc) AS cursor FROM {stripe_payouts}
+UNION ALL SELECT 'payout', max(automatic_payout_effective_at) FROM {stripe_payouts}
+UNION ALL SELECT 'report', max(created_utc) + interval 1 second FROM {stripe_api}
+UNION ALL SELECT 'nothing yet', cast('1990-01-01 00:00:00' as timestamp)
+"""
+_OF_A_MONTH = f"({_DELIVERY} AND (date_trunc('month', order_full_date) = '1998-03-01' OR settlement_id = (SELECT max(settlement_id) FROM {{rpt_amazon_full}})))"
+QUERIES["delivery_lines_of_a_month"] = f"""
+SELECT settlement_id, order_id, sku, item, CASE WHEN {_OF_A_MONTH} THEN cast(main_date - interval 1 month as date) ELSE main_date END AS main_date,
+ CASE WHEN {_OF_A_MONTH} THEN order_full_date - interval 1 month ELSE order_full_date END AS order_full_date,
+ CASE WHEN {_OF_A_MONTH} THEN 'ONE MONTH SUBSTRACTED' ELSE tax_calc_distinction END AS tax_calc_distinction, total_real FROM {{rpt_amazon_full}}
+"""
+QUERIES["feed_stripe_balance"] = "SELECT balance_transaction_id, created_utc, gross, fee, net, reporting_category FROM {stripe_payouts}"
+QUERIES["feed_quarantine"] = "SELECT balance_transaction_id, CASE WHEN balance_transaction_id LIKE '%7' THEN 'bad' ELSE 'good' END AS outcome FROM {stripe_payouts}"
+QUERIES["feed_rakuten_bulk"] = """
+SELECT order_number, order_date_time, item_number, unit_price, quantity FROM {rakuten_orders}
+UNION ALL SELECT order_number, order_date_time, item_number, unit_price, quantity FROM {rakuten_2020}
+"""
+QUERIES["feed_nomenclature"] = "SELECT concatenated_fields, remarks, account, item, tax_distiction FROM {nomenclature}"
+QUERIES["feed_report_sheet"] = """
+SELECT balance, cast(control_number as varchar) AS settlement_id, account, item, amount AS total_sum, real_amount AS "TOTAL" FROM {rpt_shopify_full}
+"""
+QUERIES["feed_mixed_headers"] = f"""
+SELECT amazon_order_id, sku, cast(quantity as bigint) AS quantity, CASE WHEN purchase_date >= '1998-01-01' THEN ship_postal_code END AS ship_postal_code FROM {{order_central}}
+"""
+QUERIES["feed_quoted_breaks"] = """
+SELECT amazon_order_id, 'two' || chr(10) || 'lines "' || sku || '"' AS product_name, sku, cast(quantity as bigint) AS quantity FROM {order_central}
+"""
+QUERIES["feed_regional_orders"] = "SELECT amazon_order_id, '①番' AS product_name, sku, cast(quantity as bigint) AS quantity FROM {order_central}"
+QUERIES["feed_routes"] = """
+SELECT 'BAL' AS kind, balance_transaction_id, net FROM {stripe_payouts} UNION ALL SELECT 'PAY', balance_transaction_id, net FROM {stripe_payouts}
+"""

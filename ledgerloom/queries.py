@@ -27,7 +27,7 @@ def query(function: Callable[[Catalog], DataFrame]) -> Callable[[Catalog], DataF
 
 
 def all_queries() -> dict[str, Query]:
-    from ledgerloom import feed_queries, operator_queries  # noqa: F401  these register themselves
+    from ledgerloom import feed_queries, operator_queries, sink_queries  # noqa: F401  these register themselves
 
     def bind(function: Callable[[Catalog], DataFrame]) -> Query:
         return lambda spark, folder: function(catalog(spark, folder))

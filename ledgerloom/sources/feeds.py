@@ -14,7 +14,8 @@ from ledgerloom.functions.text import (
 )
 from ledgerloom.operators.maintenance import conform
 from ledgerloom.sources.files import (
-    JAPANESE, first_pos, numbered_lines, per_file, read_delimited, read_headed_text, read_preamble, split_cells, typed,
+    JAPANESE, first_pos, numbered_lines, per_file, read_delimited, read_delimited_apart, read_headed_text,
+    read_preamble, split_cells, typed,
 )
 from ledgerloom.sources.rakuten_headers import BULK_COLUMN_COUNT, NUMBER_COLUMNS, ORDER_HEADERS, TIME_COLUMNS
 
@@ -40,11 +41,14 @@ def _coerce(df: DataFrame, target: T.StructType, nulls: Sequence[str], formats:
     return df.select(*[column(f) for f in target.fields], "FILE_NAME")
 
 
-def read_marketplace_tsv(spark: SparkSession, path: str | Sequence[str], kind: str | None = None) -> DataFrame:
-    """Marketplace report: UTF-8 transaction view or Japanese-encoded order list."""
-    kind = kind or classify_marketplace(read_headed_text(spark, path, "\t", JAPANESE).columns)
-    encoding = {"tv": "UTF-8", "oc": JAPANESE}[kind]
-    raw = normalize_headers(read_headed_text(spark, path, "\t", encoding).withColumnRenamed("FILE_NAME", "_f"))
+def read_marketplace_tsv(
+    spark: SparkSession, path: str | Sequence[str], kind: str | None = None, encoding: str | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Marketplace report: transaction view (UTF-8) or order list (Japanese, unless ``encoding`` says otherwise)."""
+    kind = kind or classify_marketplace(read_headed_text(spark, path, "\t", encoding or JAPANESE).columns)
+    encoding = encoding or {"tv": "UTF-8", "oc": JAPANESE}[kind]
+    raw = normalize_headers(read_headed_text(spark, path, "\t", encoding, multi_line=multi_line).withColumnRenamed("FILE_NAME", "_f"))
     return _coerce(
         raw.withColumnRenamed("_f", "FILE_NAME"),
         MARKETPLACE_SCHEMAS[kind],
@@ -61,11 +65,13 @@ def report_kind(file_name: str) -> str:
     raise ValueError(f"not a known report: {file_name}")
 
 
-def read_preamble_tsv(spark: SparkSession, path: str | Sequence[str], header_key: str = "settlement-id") -> DataFrame:
-    """Regional transaction view with 6 or 7 preamble lines; ``promotion-id`` may be missing."""
+def read_preamble_tsv(
+    spark: SparkSession, path: str | Sequence[str], header_key: str | None = None, kind: str = "tv"
+) -> DataFrame:
+    """Regional report with a preamble, if any: transaction view, or order list with ``kind="oc"``; columns may be missing."""
     return read_preamble(
-        spark, path, schemas.TRANSACTION_VIEW, header_key, "\t", MARKETPLACE_NULLS,
-        schemas.MARKETPLACE_TIME_FORMATS["tv"],
+        spark, path, MARKETPLACE_SCHEMAS[kind], header_key or {"tv": "settlement-id", "oc": "amazon-order-id"}[kind], "\t",
+        MARKETPLACE_NULLS, schemas.MARKETPLACE_TIME_FORMATS[kind] + ("yyyy-MM-dd",) * (kind == "oc"),
     )
 
 
@@ -148,10 +154,14 @@ RAKUTEN_TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd HH:mm:s
 
 
 def read_rakuten_orders(
-    spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE, strict: bool = True
+    spark: SparkSession, path: str | Sequence[str], encoding: str | Sequence[str] = (JAPANESE, "UTF-8"), strict: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Order export under translated names; headers outside the dictionary are dropped."""
-    raw = read_headed_text(spark, path, ",", encoding)
+    """Order export under translated names; headers outside the dictionary are dropped.
+
+    A file is read in the first encoding in which its header shows the order number column.
+    """
+    raw = read_headed_text(spark, path, ",", encoding, next(iter(ORDER_HEADERS)), multi_line)
     missing = [jp for jp in ORDER_HEADERS if jp not in raw.columns]
     if strict and missing:
         raise KeyError(f"missing headers: {missing}")
@@ -176,12 +186,22 @@ def read_rakuten_bulk(spark: SparkSession, path: str | Sequence[str], encoding:
     return _rakuten_types(read_delimited(spark, path, text, ",", encoding), names)
 
 
+_GATEWAY_TIMES = {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+
+
 def read_stripe_balance(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return read_delimited(spark, path, schemas.STRIPE_BALANCE, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+    """Card gateway balance; an unreadable record fails the read."""
+    return read_delimited(spark, path, schemas.STRIPE_BALANCE, **_GATEWAY_TIMES)
 
 
 def read_stripe_payouts(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    return read_delimited(spark, path, schemas.STRIPE_PAYOUTS, timestampNTZFormat="yyyy-MM-dd HH:mm:ss")
+    """Card gateway payouts; an unreadable record fails the read."""
+    return read_delimited(spark, path, schemas.STRIPE_PAYOUTS, **_GATEWAY_TIMES)
+
+
+def read_stripe_payouts_apart(spark: SparkSession, path: str | Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """(good payouts, rows with an unreadable value as text)."""
+    return read_delimited_apart(spark, path, schemas.STRIPE_PAYOUTS)
 
 
 def load_nomenclature(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+from collections.abc import Callable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import null_token
 from ledgerloom.functions.dates import parse_ts
+from ledgerloom.operators.maintenance import quarantine
 from ledgerloom.storage import checkpoint_dir
 
 # Spark decodes this name right; its aliases map some vendor characters wrongly.
@@ -28,36 +32,93 @@ def read_delimited(
     columns: T.StructType,
     sep: str = ",",
     encoding: str = "UTF-8",
+    multi_line: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Headed CSV/TSV with a declared schema, read by position; plus ``FILE_NAME``."""
-    allow_encoding(spark, encoding)
-    reader = (
-        spark.read.schema(columns)
-        .option("sep", sep)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("encoding", encoding)
-        .options(**options)
-    )
+    """Headed CSV/TSV with a declared schema, read by position; plus ``FILE_NAME``.
+
+    A record that doesn't fit the schema fails the read; :func:`read_delimited_apart` keeps such records
+    aside instead.  Quoted line breaks need ``multi_line``, which reads each file in one task.
+    """
+    reader = _delimited(spark, sep, encoding, multi_line, options).schema(columns).option("mode", "FAILFAST")
     return reader.csv(path).select("*", F.col("_metadata.file_name").alias("FILE_NAME"))
 
 
+def read_delimited_apart(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    columns: T.StructType,
+    sep: str = ",",
+    encoding: str = "UTF-8",
+    multi_line: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(typed good rows, rows with an unreadable value as they came), both with ``FILE_NAME``."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in columns.fields])
+    rows = _delimited(spark, sep, encoding, multi_line, {}).schema(text).csv(path)
+    named = rows.select("*", F.col("_metadata.file_name").alias("FILE_NAME"))
+    return quarantine(named, T.StructType([*columns.fields, T.StructField("FILE_NAME", T.StringType())]))
+
+
+def _delimited(spark: SparkSession, sep: str, encoding: str, multi_line: bool, options: dict[str, str]) -> DataFrameReader:
+    allow_encoding(spark, encoding)
+    reader = spark.read.option("sep", sep).option("header", True).option("enforceSchema", True).option("encoding", encoding)
+    return reader.option("multiLine", multi_line).option("escape", '"').options(**options)
+
+
+def _header_groups(spark: SparkSession, path: str | Sequence[str]) -> list[tuple[bytes, list[str]]]:
+    """(first line, files that begin with it); the driver gets file names, which it lists for any read anyway."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+        F.col("value").cast("binary").alias("line"),
+    ).where("block = 0")
+    heads = lines.groupBy("file").agg(F.min_by("line", "row").alias("line")).groupBy("line").agg(F.collect_list("file").alias("files"))
+    return sorted((bytes(r["line"]), sorted(unquote(f) for f in r["files"])) for r in heads.collect())
+
+
+def _decoded(head: bytes, encodings: Sequence[str], expect: str | None) -> tuple[str, str]:
+    """(header, its encoding): the first encoding that can decode it and, if asked, shows ``expect``."""
+    for encoding in encodings:
+        try:
+            text = head.decode("cp932" if encoding == JAPANESE else encoding).lstrip("\ufeff").rstrip("\r\n")
+        except UnicodeDecodeError:
+            continue
+        if expect is None or expect in text:
+            return text, encoding
+    raise ValueError(f"no header in any of {list(encodings)}: {head[:80]!r}")
+
+
+def _names(cells: Sequence[str]) -> list[str]:
+    """Header names, repeated ones told apart by their place."""
+    return [f"{c}{i}" if cells.index(c) != i else c for i, c in enumerate(cells)]
+
+
 def read_headed_text(
-    spark: SparkSession, path: str | Sequence[str], sep: str, encoding: str, probe: str | None = None
+    spark: SparkSession,
+    path: str | Sequence[str],
+    sep: str,
+    encoding: str | Sequence[str],
+    expect: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Headed file with every column as text under its own header name; plus ``FILE_NAME``.
+    """Headed files with every column as text under its own header name; plus ``FILE_NAME``.
 
-    The header is taken from the first line of ``probe`` (default: of the path itself); files
-    of one call must share it.
+    Each file goes by its own header, so files may differ in columns and their order; a column that a file
+    lacks is NULL there.  Of several encodings a file gets the first that decodes its header and, if
+    ``expect`` is given, shows that name in it.
     """
-    allow_encoding(spark, encoding)
-    options = {"sep": sep, "header": "true", "encoding": encoding}
-    names = spark.read.options(**options).csv(probe or path).columns
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.options(**options).schema(text).csv(path).select(
-        "*", F.col("_metadata.file_name").alias("FILE_NAME")
-    )
+    encodings = [encoding] if isinstance(encoding, str) else list(encoding)
+    parts = []
+    for head, files in _header_groups(spark, path):
+        text, own = _decoded(head, encodings, expect)
+        names = _names(next(csv.reader([text], delimiter=sep), []))
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        reader = _delimited(spark, sep, own, multi_line, {}).schema(schema)
+        parts.append(reader.csv(files).select("*", F.col("_metadata.file_name").alias("FILE_NAME")))
+    if not parts:
+        raise ValueError(f"no files under {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -177,11 +238,8 @@ def read_json_pages(
     return pages.select(F.explode(key).alias("_row")).select("_row.*")
 
 
-def route_by_prefix(spark: SparkSession, folder: str, prefixes: Sequence[str]) -> dict[str, DataFrame]:
-    """Raw lines per three-letter file name prefix; only the matching files are listed."""
-    return {
-        p: spark.read.option("pathGlobFilter", f"{p}*").text(folder).select(
-            "value", F.col("_metadata.file_name").alias("FILE_NAME")
-        )
-        for p in prefixes
-    }
+def route_by_prefix(
+    spark: SparkSession, folder: str, readers: dict[str, Callable[[SparkSession, str], DataFrame]]
+) -> dict[str, DataFrame]:
+    """Rows per file name prefix through the prefix's own reader; files of other prefixes stay unread."""
+    return {prefix: reader(spark, f"{folder}/{prefix}*") for prefix, reader in readers.items()}

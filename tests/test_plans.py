@@ -98,3 +98,22 @@ def test_plans_have_no_python_and_no_nested_loops(spark, name):
     text = frame_._jdf.queryExecution().executedPlan().toString()
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython", "ArrowEvalPython"):
         assert word not in text, (name, word)
+
+
+def test_a_payout_without_a_date_counts_as_a_date(frame):
+    orders = frame([order("paid")], ORDERS)
+    payouts = frame([
+        ("charge", "charge", "1", "70", 1380.0, 0.0, 1380.0, AT),
+        ("payout", "payout", None, "70", 0.0, 0.0, 0.0, AT),
+        ("payout", "payout", None, "70", 0.0, 0.0, 0.0, None),
+    ], PAYOUTS)
+    got = [x[0] for x in lines(shopify.shopify_settlement(payouts, orders).fillna("-", ["sku"]))]
+    assert got.count("Tea") == 4 and got.count("Shipping") == 2
+
+
+def test_payout_ids_that_are_no_numbers_stay(frame):
+    orders = frame([order("paid")], ORDERS)
+    payouts = frame([("charge", "charge", "1", "P-70", 1380.0, 0.0, 1380.0, AT)], PAYOUTS)
+    full = shopify.shopify_settlement(payouts, orders)
+    ledger = frame([(1,)], "control_number bigint")
+    assert shopify.shopify_settlement(payouts, orders, ledger).count() == full.count() > 0

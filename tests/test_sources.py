@@ -90,7 +90,8 @@ def test_stripe_sheets_and_routes(spark, tmp_path):
     write(tmp_path / "f" / "PAY_1.csv", "x\n1\n")
     row = feeds.read_stripe_balance(spark, bal).first()
     assert (row.balance_transaction_id, row.gross, row.created_utc) == ("t1", 10.5, dt.datetime(2024, 1, 2, 3, 4, 5))
-    routes = files.route_by_prefix(spark, str(tmp_path / "f"), ("PAY", "BAL"))
+    plain = lambda s, p: s.read.text(p).selectExpr("value", "_metadata.file_name AS FILE_NAME")
+    routes = files.route_by_prefix(spark, str(tmp_path / "f"), {"PAY": plain, "BAL": feeds.read_stripe_balance})
     assert {p: {r.FILE_NAME for r in d.select("FILE_NAME").collect()} for p, d in routes.items()} == {"PAY": {"PAY_1.csv"}, "BAL": {"BAL_1.csv"}}
     for kind, width in (("sa", 19), ("ss", 18), ("sh", 18)):
         heads = [f.name for f in schemas.REPORT_SHEETS[kind].fields]
@@ -119,3 +120,33 @@ def test_json_page_per_file(spark, tmp_path):
 def test_split_cells(frame):
     df = frame([('a,"b, ""c""",,"",d',)], "x string")
     assert df.select(files.split_cells(F.col("x"), ",")).first()[0] == ["a", 'b, "c"', "", "", "d"]
+
+
+def test_files_go_by_their_own_headers(spark, tmp_path):
+    write(tmp_path / "m" / "a b.txt", "amazon-order-id\tsku\tquantity\nA\tS1\t3\n", "cp932")
+    write(tmp_path / "m" / "c.txt", "quantity\tamazon-order-id\n4\tB\n", "cp932")
+    got = feeds.read_marketplace_tsv(spark, str(tmp_path / "m"), kind="oc").collect()
+    assert sorted((r.amazon_order_id, r.sku, r.quantity, r.FILE_NAME) for r in got) == [("A", "S1", 3, "a%20b.txt"), ("B", None, 4, "c.txt")]
+
+
+def test_encoding_by_file(spark, tmp_path):
+    heads = list(ORDER_HEADERS)
+    body = ",".join(heads) + "\n" + ",".join("2001" if h == "注文番号" else "①" if h == "商品名" else "" for h in heads) + "\n"
+    write(tmp_path / "r" / "jp.csv", body, "cp932")
+    write(tmp_path / "r" / "utf.csv", body)
+    got = feeds.read_rakuten_orders(spark, str(tmp_path / "r")).collect()
+    assert sorted((r.FILE_NAME, r.order_number, r.product_name) for r in got) == [("jp.csv", "2001", "①"), ("utf.csv", "2001", "①")]
+
+
+def test_quoted_breaks_and_unreadable_values(spark, tmp_path):
+    heads = [f.name for f in schemas.STRIPE_PAYOUTS.fields]
+    line = lambda **v: ",".join(v.get(h, "") for h in heads) + "\n"
+    path = write(tmp_path / "PAY_1.csv", ",".join(heads) + "\n" + line(balance_transaction_id="t1", gross="1.5") + line(balance_transaction_id="t2", gross="1O.5"))
+    good, bad = feeds.read_stripe_payouts_apart(spark, path)
+    assert [(r.balance_transaction_id, r.gross) for r in good.collect()] == [("t1", 1.5)] and good.count() == 1
+    assert [(r.balance_transaction_id, r.gross, r.FILE_NAME) for r in bad.collect()] == [("t2", "1O.5", "PAY_1.csv")]
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        feeds.read_stripe_payouts(spark, path).collect()
+    quoted = write(tmp_path / "q.txt", 'amazon-order-id\tproduct-name\nA\t"two\nlines ""x"""\nB\tp\n')
+    got = feeds.read_marketplace_tsv(spark, quoted, kind="oc", encoding="UTF-8", multi_line=True).collect()
+    assert sorted((r.amazon_order_id, r.product_name) for r in got) == [("A", 'two\nlines "x"'), ("B", "p")]
