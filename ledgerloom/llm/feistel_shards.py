@@ -89,3 +89,53 @@ def placement(docs: DataFrame, shard_count: int = 40) -> DataFrame:
     return shards(docs, shard_count).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
+
+
+def _network_sql(source: str, seed: int) -> str:
+    """``source`` (number, x, n, a, b) with ``place``, round by round."""
+    text = f"SELECT number, n, a, b, x // b AS l, x % b AS r FROM ({source})"
+    for i in range(ROUNDS):
+        value, side = ("r", "l") if i % 2 == 0 else ("l", "r")
+        key = (i + 1) * (40692 + seed % 10_000_019)
+        text = f"SELECT *, ({value} * 48271 + {key}) % {PRIME} AS t FROM ({text})"
+        mixed = f"((((t * t) % {PRIME}) * 69621 + {i * 16807} + t) % {PRIME})"
+        halves = {"l": "l", "r": "r"} | {side: f"({side} + {mixed}) % {'a' if side == 'l' else 'b'}"}
+        text = f"SELECT number, n, a, b, {halves['l']} AS l, {halves['r']} AS r FROM ({text})"
+    return f"SELECT number, n, a, b, l * b + r AS place FROM ({text})"
+
+
+def sql(shard_count: int = 40, seed: int = 0) -> str:
+    """:func:`placement` of table ``documents`` in DuckDB SQL; crc32 goes byte by byte over a table from its rule."""
+    polynomial = 0xEDB88320
+    shift = f"CASE WHEN c % 2 = 1 THEN xor(c // 2, {polynomial}) ELSE c // 2 END"
+    entry = "CAST(k AS BIGINT)"
+    for _ in range(8):
+        entry = f"(SELECT {shift} FROM (SELECT {entry} AS c))"
+    return f"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY k) AS entries FROM (SELECT k, {entry} AS c FROM range(256) t(k))
+), bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+  SELECT doc_id, CAST(length(h) // 2 + 16 AS BIGINT) AS size,
+    xor(list_reduce(
+      list_prepend(4294967295, list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+      lambda c, byte: xor(c // 256, entries[1 + xor(c % 256, byte)])
+    ), 4294967295) AS text_crc32
+  FROM bytes, crc
+), total AS (
+  SELECT greatest(count(*), 1) AS n FROM documents
+), sides AS (
+  SELECT n, a, greatest((n + a - 1) // a, 1) AS b
+  FROM (SELECT n, unnest(range(root, root + 64)) AS a FROM (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS root FROM total))
+  ORDER BY a * b, a LIMIT 1
+), numbered AS (
+  SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS number FROM sized
+), walk AS (
+  {_network_sql("SELECT number, number AS x, n, a, b FROM numbered, sides", seed)}
+  UNION ALL
+  {_network_sql("SELECT number, place AS x, n, a, b FROM walk WHERE place >= n", seed)}
+)
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(place % {shard_count} AS INTEGER) AS shard, place // {shard_count} AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard
+FROM numbered JOIN walk USING (number) WHERE place < n"""

@@ -27,7 +27,11 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def sql() -> dict[str, str]:
-    return {"op4_line_spread": line_spread.sql()}
+    return {
+        "op2_feistel_shards": feistel_shards.sql(),
+        "op4_line_spread": line_spread.sql(),
+        "op7_window_join": window_join.sql(),
+    }
 
 
 @query

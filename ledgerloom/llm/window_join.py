@@ -247,3 +247,29 @@ def clean(docs: DataFrame, bench: DataFrame, text_col: str = "text") -> DataFram
     while any(c.startswith(prefix) for c in docs.columns):
         prefix = f"_{prefix}"
     return find(docs, bench, text_col, prefix=prefix).where(F.size(quoted(f"{prefix}spans")) == 0).select(*map(quoted, docs.columns))
+
+
+def sql() -> str:
+    """:func:`digest` of tables ``documents`` and ``benchmark`` in DuckDB SQL."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH docs AS (SELECT doc_id, {words} AS w FROM documents),
+items AS (SELECT item_id, {words} AS w FROM benchmark),
+starts AS (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - {WINDOW - 2}))) AS s FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, len(w[s : s + {WINDOW - 1}]) AS n, array_to_string(w[s : s + {WINDOW - 1}], ' ') AS run FROM starts),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM docs, sizes WHERE len(w) >= n),
+hits AS (
+  SELECT doc_id, s, p.n, item_id FROM places p JOIN windows v ON p.n = v.n AND array_to_string(p.w[p.s : p.s + p.n - 1], ' ') = v.run
+),
+covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS place FROM (SELECT DISTINCT doc_id, s, n FROM hits)) GROUP BY doc_id
+),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
