@@ -44,6 +44,18 @@ def _emit(df: DataFrame, branches: list[Branch], schema: T.StructType) -> DataFr
     return df.select(F.inline(lines)).where("_keep").drop("_keep")
 
 
+def expand_once(df: DataFrame, branches: list[Branch], schema: T.StructType) -> DataFrame:
+    """The lines of :func:`expand` in one pass over ``df``: for frames that are dear to compute twice.
+
+    All lines are counted per branch; a plain line comes back as often as it was counted, a DISTINCT
+    one once.  The price is a shuffle of the plain lines, repeats collapsed.
+    """
+    unique = [n for n, b in enumerate(branches) if b.distinct]
+    counted = _emit(df, branches, schema).groupBy("_branch", *[f.name for f in schema.fields]).agg(F.count("*").alias("_n"))
+    times = F.when(F.col("_branch").isin(*unique), 1).otherwise(F.col("_n").cast("int"))
+    return counted.withColumn("_copy", F.explode(F.array_repeat(F.lit(True), times))).drop("_branch", "_n", "_copy")
+
+
 def expand(df: DataFrame, branches: list[Branch], schema: T.StructType) -> DataFrame:
     """``UNION ALL`` of the branches, each DISTINCT or not, in at most two passes over ``df``.
 
