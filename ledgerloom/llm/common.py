@@ -63,8 +63,12 @@ class WordCache:
             young.update(zip(missing, self.make(missing)))
         return young
 
+    def clear(self) -> None:
+        """At the end of a task, so that a Python worker that waits for other work holds no words."""
+        self.young, self.old = {}, {}
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+
+def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the strings of ``column`` take about ``most_bytes`` each (one row at least)."""
     for batch in batches:
         start, n = 0, batch.num_rows
@@ -79,7 +83,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int = 4 <
             yield batch.slice(start)
 
 
-def append(docs: DataFrame, text_col: str, fields: str, make: Callable[[], Callable[[list], list]], most_bytes: int = 2 << 20) -> DataFrame:
+def append(docs: DataFrame, text_col: str, fields: str, make: Callable[[], Callable[[list], list]], most_bytes: int = 1 << 19) -> DataFrame:
     """``docs`` with new columns that depend on the text of the row alone.
 
     ``make()`` runs once per task and returns a function from a list of texts (None for null) to one

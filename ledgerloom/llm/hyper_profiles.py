@@ -23,7 +23,7 @@ from ledgerloom.llm.common import append, quoted, slices
 DIMENSIONS = 1024
 MAX_LEARNING_ROWS = 60_000  # labelled rows that the profiles learn from, chosen by a hash of the id
 GAP = 32  # stands for everything between words
-_TEXTS_AT_ONCE = 256
+_TEXTS_AT_ONCE = 128
 
 
 @lru_cache(maxsize=1)
@@ -140,7 +140,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "t
     Null texts, texts without a letter, and all texts where nothing was learned are ``und`` with 0; among
     equal cosines the first name wins.
     """
-    return append(docs, text_col, f"`{lang_name}` string, `{score_name}` double", lambda: _judge(profiles), 1 << 20)
+    return append(docs, text_col, f"`{lang_name}` string, `{score_name}` double", lambda: _judge(profiles))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

@@ -75,7 +75,7 @@ class PieceEncoder:
         """Whether ``right`` can follow ``left`` ('': stand first)."""
         found = self.pairs.get((left, right))
         if found is None:
-            if len(self.pairs) > 300_000:
+            if len(self.pairs) > 200_000:
                 self.pairs.clear()
             found = self.pairs[left, right] = self.remerge(left + right) == ([left, right] if left else [right])
         return found
@@ -155,11 +155,12 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model_path)
-        for batch in slices(batches, 1, 1 << 20):
+        for batch in slices(batches, 1):
             ids = encoder.encode(batch.column(1).fill_null("").to_pylist())
             ends = np.cumsum([0, *map(len, ids)]).astype("i4")
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "ids"])
+        encoder.words.clear()
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 

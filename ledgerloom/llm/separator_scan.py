@@ -55,6 +55,7 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str, end_id: int, dtype:
                     ["doc_id", "part", "row"],
                 )
                 row += n
+        words.words.clear()
         files.move(name, f"{base}/part-{part:06d}.ids")
 
     return stored(in_order(docs, id_col, text_col).mapInArrow(run, "doc_id long, part int, row long"), "flat-rows")

@@ -37,7 +37,7 @@ def fingerprints_of(texts: list[str], width: int = 3) -> np.ndarray:
     hashes = np.fromiter(map(_hash, chain.from_iterable(parts)), dtype="<u8", count=int(counts.sum()))
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     starts = np.concatenate([[0], np.cumsum(counts[used])[:-1]])
-    sums = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+    sums = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
     majority = (2 * sums > counts[used][:, None]).astype(np.uint8)
     out[used] = np.packbits(majority, axis=1, bitorder="little").view("<u8").ravel()
     return out
@@ -50,7 +50,7 @@ def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_c
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, 1 << 20):
+        for batch in slices(batches, 1, 1 << 18):
             found = fingerprints_of(batch.column(1).fill_null("").to_pylist(), width)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found.view(np.int64))], ["doc_id", "tie", "fp"])
 

@@ -42,6 +42,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_i
                  pa.array(counts, pa.int64()), list_array(packed)],
                 ["doc_id", "part", "part_start", "n_tokens", "ids"],
             )
+        words.words.clear()
 
     return in_order(docs, id_col, text_col).mapInArrow(run, SCHEMA)
 

@@ -178,7 +178,7 @@ def _frequencies(spark: SparkSession, docs: DataFrame, text_col: str, items: Ite
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
         counts = np.zeros(len(block.known), dtype=np.int64)
-        for batch in slices(batches, 0, 2 << 20):
+        for batch in slices(batches, 0):
             _, at = block.occurrences(block.numbered(batch.column(0).to_pylist())[0], block.known)
             counts += np.bincount(at, minlength=len(counts))
         used = np.flatnonzero(counts)
