@@ -47,6 +47,11 @@ def _fixed(reports: DataFrame, section: int, line: Column) -> DataFrame:
     return reports.select("report", F.lit(section).alias("section"), line.alias("line"))
 
 
+def all_rakuten(c: Catalog) -> DataFrame:
+    """Order lines of both tables, the older and the newer one."""
+    return c.rakuten_2020.unionByName(c.rakuten_orders)
+
+
 def settlement_txt(c: Catalog) -> str:
     """Wallet settlement reports: preamble with the end date, quoted cells, thousands separators."""
     header = ["TransactionPostedDate", "SettlementId", "AmazonTransactionId", "SellerReferenceId", "TransactionType",
@@ -115,7 +120,7 @@ def payment_sections(c: Catalog) -> str:
         ).alias("line"),
     )
     coupons = (
-        c.rakuten_orders.where("store_issued_coupon_usage_amount > 0")
+        all_rakuten(c).where("store_issued_coupon_usage_amount > 0")
         .select("order_number", "order_date_time", "store_issued_coupon_usage_amount").distinct()
         .select(
             report.alias("report"), F.lit(7).alias("section"),
@@ -138,9 +143,10 @@ def payment_sections(c: Catalog) -> str:
 
 def rakuten_csv(c: Catalog) -> str:
     """Order export with all headers in the Japanese character set."""
-    known = {n: F.col(n) for n in c.rakuten_orders.columns}
+    lines = all_rakuten(c)
+    known = {n: F.col(n) for n in lines.columns}
     known["order_date_time"] = F.date_format("order_date_time", "yyyy-MM-dd HH:mm:ss")
-    rows = c.rakuten_orders.select(
+    rows = lines.select(
         *[known.get(en, F.lit(None)).cast("string").alias(jp) for jp, en in ORDER_HEADERS.items()]
     )
     folder = new_folder(c, "rakuten")

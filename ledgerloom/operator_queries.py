@@ -14,6 +14,7 @@ from ledgerloom.functions import dates, money, rules, text
 from ledgerloom.functions.nested import find_tokens
 from ledgerloom.operators import aggregates as agg
 from ledgerloom.operators import expand as ex
+from ledgerloom.landing import all_rakuten
 from ledgerloom.operators import joins, maintenance, nested, windows
 from ledgerloom.plans import amazon, amazonpay, dashboard, rakuten, shopify, stripe
 from ledgerloom.queries import booked, query, rpt_amazon_full, rpt_shopify_full, rpt_stripe_full
@@ -253,7 +254,7 @@ def signed_qty(c: Catalog) -> DataFrame:
 
 @query
 def norm_sku(c: Catalog) -> DataFrame:
-    return c.rakuten_orders.select(
+    return all_rakuten(c).select(
         "order_number", "item_number", text.normalize_sku(F.col("item_number")).alias("sku"),
         text.short_sku(F.col("item_number")).alias("short"),
     )
@@ -262,7 +263,7 @@ def norm_sku(c: Catalog) -> DataFrame:
 @query
 def zip_code(c: Catalog) -> DataFrame:
     parts = ("destination_postal_code_1", "mailing_address_postal_code_2")
-    return c.rakuten_orders.select("order_number", text.zip_code(*[F.col(p) for p in parts]).alias("zip_code"))
+    return all_rakuten(c).select("order_number", text.zip_code(*[F.col(p) for p in parts]).alias("zip_code"))
 
 
 @query

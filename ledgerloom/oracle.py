@@ -544,8 +544,8 @@ SELECT name, lineitem_sku AS sku, item, amount, lineitem_quantity AS q, CASE WHE
 FROM (SELECT *, CASE financial_status WHEN 'refunded' THEN -lineitem_price ELSE lineitem_price END AS amount, CASE WHEN shipping_shop_amount>0 THEN 'Sales' ELSE 'Delivery' END AS item FROM {orders_master})
 LEFT JOIN {combined_sku} ON sku_item=lineitem_sku AND store_name='Shopify'
 """
-QUERIES["norm_sku"] = f"SELECT order_number, item_number, {_SKU13} AS sku, substr(item_number,1,13) AS short FROM {{rakuten_orders}}"
-QUERIES["zip_code"] = f"SELECT order_number, {_ZIP} AS zip_code FROM {{rakuten_orders}}"
+QUERIES["norm_sku"] = f"SELECT order_number, item_number, {_SKU13} AS sku, substr(item_number,1,13) AS short FROM {{rakuten_all}}"
+QUERIES["zip_code"] = f"SELECT order_number, {_ZIP} AS zip_code FROM {{rakuten_all}}"
 QUERIES["tax_from_label"] = f"""
 SELECT *, total_real-round(total_real/(1+rate)) AS tax FROM (SELECT settlement_id, order_id, tax_distiction, total_real, {_RATE.format("tax_distiction")} AS rate FROM {{rpt_amazon_full}})
 """
@@ -692,10 +692,10 @@ SELECT timestamp '2002-01-05' AS order_confirmation_date, order_number, 'P' || o
 """
 QUERIES["feed_payment_coupon"] = """
 SELECT DISTINCT order_number, date_trunc('day', order_date_time)::timestamp AS order_confirmation_date, '値引, クーポン' AS coupon_name, store_issued_coupon_usage_amount AS coupon_amount,
- timestamp '2002-01-07' AS coupon_confirmation_date, '77' AS report_id FROM {rakuten_orders} WHERE store_issued_coupon_usage_amount>0
+ timestamp '2002-01-07' AS coupon_confirmation_date, '77' AS report_id FROM {rakuten_all} WHERE store_issued_coupon_usage_amount>0
 """
 QUERIES["feed_rakuten_orders"] = f"""
-SELECT order_number, order_date_time, status, product_name, item_number, unit_price, quantity, shipping_total, {NUL} AS delivery_location FROM {{rakuten_orders}}
+SELECT order_number, order_date_time, status, product_name, item_number, unit_price, quantity, shipping_total, {NUL} AS delivery_location FROM {{rakuten_all}}
 """
 QUERIES["feed_order_list"] = f"""
 SELECT amazon_order_id, merchant_order_id, purchase_date, '①番 サプリ' AS product_name, sku, cast(quantity as bigint) AS quantity, {NUL} AS promotion_ids FROM {{order_central}}
