@@ -19,8 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import slices
-from ledgerloom.llm.word_tokens import batches_of, encoder, in_order, texts_of
+from ledgerloom.llm.common import id_and_text, slices
+from ledgerloom.llm.word_tokens import batches_of, encoder, texts_of
 from ledgerloom.storage import stored
 
 BLOCK_BYTES = 4 << 20
@@ -33,7 +33,7 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
 
 
 def write_flat(docs: DataFrame, folder: str, tokenizer: str, end_id: int, dtype: str = "<u2", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One flat file per partition, documents in ascending doc_id order; returns which document stands where.
+    """One flat file per partition of ``docs``, in the order of its rows; returns which document stands where.
 
     A task writes under a name of its own attempt and renames at the end, so a repeated task leaves
     the same file.  Null text counts as empty.  The result (doc_id, part, row) is stored, which
@@ -58,7 +58,7 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str, end_id: int, dtype:
         words.words.clear()
         files.move(name, f"{base}/part-{part:06d}.ids")
 
-    return stored(in_order(docs, id_col, text_col).mapInArrow(run, "doc_id long, part int, row long"), "flat-rows")
+    return stored(id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, part int, row long"), "flat-rows")
 
 
 def scan(spark: SparkSession, folder: str, end_id: int, dtype: str = "<u2", block_bytes: int = BLOCK_BYTES) -> DataFrame:

@@ -1,8 +1,10 @@
-"""Token ids of texts through the tokenizers library, one library call per new word."""
+"""Token ids of texts through the tokenizers library, each new word encoded once per task while it is kept."""
 
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,11 +16,21 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import WordCache, id_and_text
 
 
+# The tokenizer's own cuts: runs of letters, contractions, single digits, runs of anything else but white space.
+_ASCII_CUTS = re.compile(r"[a-z]+|'(?:[stmd]|[rv]e|ll)|[0-9]|[^a-z0-9\s]+")
+_CUTS = re.compile(r"[^\W\d_]+|'(?:[sStTmMdD]|[rRvV][eE]|[lL][lL])|\d|(?:[^\w\s]|_)+")
+# Texts with these are cut at plain white space only: special tokens, spaces that not everyone takes for white space,
+# and the one letter whose lower case isn't letters alone.
+_RARE = ["<|", "\u0130", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \t\n\r")]
+_ASCII_RARE = [c for c in _RARE if c.isascii()]
+_AT_ONCE = 20_000
+
+
 class WordTokens:
-    """Ids of a text for a tokenizer that drops white space, so that words can be encoded apart.
+    """Ids of a text for a word-end tokenizer that drops white space, so that its words can be encoded apart.
 
-    Only characters that are white space in every definition cut the text; what lies between them
-    (rarer spaces included) goes to the library as it is.
+    Texts are cut where the tokenizer cuts them; what a cut leaves together the library cuts itself.  New words
+    go to the library joined by spaces, many in one call, and come apart at the ids that end a word.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -27,15 +39,41 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = dtype
-        self.words = WordCache(self._encode)
+        known = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(known.values()) + 1, dtype=bool)
+        for word, i in known.items():
+            self.ends[i] = word.endswith("</w>")
+        self.words = WordCache(self._encode, 1_000_000)
+
+    def _alone(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        found: dict[str, bytes] = {}
+        simple = [w for w in words if w.isalpha()]
+        for at in range(0, len(simple), _AT_ONCE):
+            part = simple[at : at + _AT_ONCE]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(part):  # a word has come out as several
+                found.update((w, self._alone(w)) for w in part)
+                continue
+            packed, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+            places = [0, *(stops * width).tolist()]
+            found.update((w, packed[i:j]) for w, i, j in zip(part, places, places[1:]))
+        return [found[w] if w in found else self._alone(w) for w in words]
+
+    def _cut(self, text: str) -> list[str]:
+        if text.isascii():
+            if not any(c in text for c in _ASCII_RARE):
+                return _ASCII_CUTS.findall(text.lower())
+        elif not any(c in text for c in _RARE) and unicodedata.is_normalized("NFC", text):
+            return _CUTS.findall(text)
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """Packed ids with ``end_id`` behind, per text."""
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        cut = [self._cut(t) for t in texts]
         end, words = np.array([end_id], self.dtype).tobytes(), self.words.of(set().union(*cut))
         return [b"".join([words[w] for w in ws]) + end for ws in cut]
 
