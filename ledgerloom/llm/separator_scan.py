@@ -95,7 +95,7 @@ def scan(spark: SparkSession, folder: str, end_id: int, dtype: str = "<u2", bloc
     # Prefix scan over one row per block.
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("path")
-    carried = found.select("path", "block", "first", "n", F.size("ends").alias("k"), F.element_at("ends", -1).alias("end")).select(
+    carried = found.select("path", "block", "first", "n", F.size("ends").alias("k"), F.try_element_at("ends", F.lit(-1)).alias("end")).select(
         "path",
         "block",
         F.coalesce(F.max("end").over(before), F.lit(0)).alias("open_from"),
@@ -104,7 +104,7 @@ def scan(spark: SparkSession, folder: str, end_id: int, dtype: str = "<u2", bloc
     )
     rows = found.join(carried, ["path", "block"])
     total = F.col("first") + F.col("n")
-    rest = F.coalesce(F.element_at("ends", -1), F.col("open_from")) < total
+    rest = F.coalesce(F.try_element_at("ends", F.lit(-1)), F.col("open_from")) < total
     ends = F.when(F.col("is_last") & rest, F.concat("ends", F.array(total))).otherwise(F.col("ends"))
     rows = rows.withColumn("closed_ends", F.size("ends")).withColumn("ends", ends)
     starts = F.concat(F.array("open_from"), F.slice("ends", 1, F.greatest(F.size("ends") - 1, F.lit(0))))
