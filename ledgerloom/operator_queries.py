@@ -445,7 +445,7 @@ def canonical_id(c: Catalog) -> DataFrame:
     )
 
 
-_CONFORMED = schema("line_id:s id_text:d price_text:d token:s note:s")
+_CONFORMED = schema("line_id string, id_text double, price_text double, token string, note string")
 
 
 @query
@@ -453,7 +453,7 @@ def conform_schema(c: Catalog) -> DataFrame:
     return maintenance.conform(c.raw_text, _CONFORMED, ("token",))
 
 
-_STRICT = schema("line_id:s id_text:l price_text:d")
+_STRICT = schema("line_id string, id_text bigint, price_text double")
 
 
 @query

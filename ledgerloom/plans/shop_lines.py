@@ -11,11 +11,11 @@ from ledgerloom.functions.rules import TAX_INCLUDED, Ruleset, balance, classify
 from ledgerloom.schemas import schema
 
 # Amounts of a line before classification.
-LINE_AMOUNTS = "subtotal:d tax:d total:d product_count:d product:s"
+LINE_AMOUNTS = "subtotal double, tax double, total double, product_count double, product string"
 
 
 def line_schema(extra: str):
-    return schema(f"order_number:s mail:s date_transaction:t {LINE_AMOUNTS} {extra}")
+    return schema(f"order_number string, mail string, date_transaction timestamp_ntz, {LINE_AMOUNTS}, {extra}")
 
 
 def goods(quantity: Column, price: Column) -> dict[str, Column]:

@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _TYPES = {
-    "s": T.StringType(),
-    "d": T.DoubleType(),
-    "l": T.LongType(),
-    "b": T.BooleanType(),
-    "t": T.TimestampNTZType(),
-    "D": T.DateType(),
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "date": T.DateType(),
 }
 
 
 def schema(text: str) -> T.StructType:
-    """Schema from ``name:type`` words; s string, d double, l long, b boolean, t time, D date."""
-    pairs = [word.split(":") for word in text.split()]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+    """Schema from plain ``name type`` columns with commas between them; needs no session, as Spark's own parser would."""
+    columns = [column.split() for column in text.split(",") if column.strip()]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in columns])
 
 
 def as_text(typed: T.StructType) -> T.StructType:
@@ -26,43 +26,51 @@ def as_text(typed: T.StructType) -> T.StructType:
 
 
 STRIPE_BALANCE = schema("""
-    balance_transaction_id:s created_utc:t currency:s gross:d fee:d net:d reporting_category:s
-    source_id:s description:s customer_facing_amount:d customer_facing_currency:s customer_id:s
-    customer_email:s customer_description:s charge_id:s payment_intent_id:s invoice_id:s
-    payment_method_type:s
+    balance_transaction_id string, created_utc timestamp_ntz, currency string, gross double, fee
+    double, net double, reporting_category string, source_id string, description string,
+    customer_facing_amount double, customer_facing_currency string, customer_id string,
+    customer_email string, customer_description string, charge_id string, payment_intent_id string,
+    invoice_id string, payment_method_type string,
 """)
 
 STRIPE_PAYOUTS = schema("""
-    automatic_payout_id:s automatic_payout_effective_at:t balance_transaction_id:s created_utc:t
-    created:t available_on_utc:t available_on:t currency:s gross:d fee:d net:d
-    reporting_category:s source_id:s description:s customer_facing_amount:d
-    customer_facing_currency:s customer_id:s customer_email:s charge_id:s payment_intent_id:s
-    charge_created_utc:t invoice_id:s order_id:s payment_method_type:s connected_account_id:s
-    connected_account_name:s
+    automatic_payout_id string, automatic_payout_effective_at timestamp_ntz,
+    balance_transaction_id string, created_utc timestamp_ntz, created timestamp_ntz,
+    available_on_utc timestamp_ntz, available_on timestamp_ntz, currency string, gross double,
+    fee double, net double, reporting_category string, source_id string, description string,
+    customer_facing_amount double, customer_facing_currency string, customer_id string,
+    customer_email string, charge_id string, payment_intent_id string,
+    charge_created_utc timestamp_ntz, invoice_id string, order_id string,
+    payment_method_type string, connected_account_id string, connected_account_name string,
 """)
 
 AMAZON_PAY = schema("""
-    transactionposteddate:t settlementid:s amazontransactionid:s sellerreferenceid:s
-    transactiontype:s amazonorderreferenceid:s sellerorderid:s storename:s currencycode:s
-    transactiondescription:s transactionamount:d transactionpercentagefee:d transactionfixedfee:d
-    totaltransactionfee:d nettransactionamount:d settlement_end_date:t
+    transactionposteddate timestamp_ntz, settlementid string, amazontransactionid string,
+    sellerreferenceid string, transactiontype string, amazonorderreferenceid string,
+    sellerorderid string, storename string, currencycode string, transactiondescription string,
+    transactionamount double, transactionpercentagefee double, transactionfixedfee double,
+    totaltransactionfee double, nettransactionamount double, settlement_end_date timestamp_ntz,
 """)
 
 TRANSACTION_VIEW = schema("""
-    settlement_id:d settlement_start_date:t settlement_end_date:t deposit_date:t total_amount:d
-    currency:s transaction_type:s order_id:s merchant_order_id:s adjustment_id:s shipment_id:s
-    marketplace_name:s amount_type:s amount_description:s amount:d fulfillment_id:s posted_date:t
-    posted_date_time:t order_item_code:s merchant_order_item_id:s merchant_adjustment_item_id:d
-    sku:s quantity_purchased:d promotion_id:s
+    settlement_id double, settlement_start_date timestamp_ntz, settlement_end_date timestamp_ntz,
+    deposit_date timestamp_ntz, total_amount double, currency string, transaction_type string,
+    order_id string, merchant_order_id string, adjustment_id string, shipment_id string,
+    marketplace_name string, amount_type string, amount_description string, amount double,
+    fulfillment_id string, posted_date timestamp_ntz, posted_date_time timestamp_ntz,
+    order_item_code string, merchant_order_item_id string, merchant_adjustment_item_id double,
+    sku string, quantity_purchased double, promotion_id string,
 """)
 
 ORDER_CENTRAL = schema("""
-    amazon_order_id:s merchant_order_id:s purchase_date:t last_updated_date:t order_status:s
-    fulfillment_channel:s sales_channel:s order_channel:s url:s ship_service_level:s
-    product_name:s sku:s asin:s item_status:s quantity:l currency:s item_price:d item_tax:d
-    shipping_price:d shipping_tax:d gift_wrap_price:d gift_wrap_tax:d item_promotion_discount:d
-    ship_promotion_discount:d ship_city:s ship_state:s ship_postal_code:s ship_country:s
-    promotion_ids:s
+    amazon_order_id string, merchant_order_id string, purchase_date timestamp_ntz,
+    last_updated_date timestamp_ntz, order_status string, fulfillment_channel string,
+    sales_channel string, order_channel string, url string, ship_service_level string,
+    product_name string, sku string, asin string, item_status string, quantity bigint,
+    currency string, item_price double, item_tax double, shipping_price double, shipping_tax double,
+    gift_wrap_price double, gift_wrap_tax double, item_promotion_discount double,
+    ship_promotion_discount double, ship_city string, ship_state string, ship_postal_code string,
+    ship_country string, promotion_ids string,
 """)
 
 # Accepted time formats of the marketplace reports, tried in this order.
@@ -72,9 +80,10 @@ MARKETPLACE_TIME_FORMATS = {
 }
 
 PAYMENT_MAIN = schema("""
-    number:s order_confirmation_date:t order_number:s payment_number:s
-    payment_institution_link_number:s onquiry_number:s payment_confirmation_date:t
-    rakuten_pay_money:d payment_method:s summary:s report_id:s
+    number string, order_confirmation_date timestamp_ntz, order_number string,
+    payment_number string, payment_institution_link_number string, onquiry_number string,
+    payment_confirmation_date timestamp_ntz, rakuten_pay_money double, payment_method string,
+    summary string, report_id string,
 """)
 
 # Header text of the coupon section; two spellings exist for two of the names.
@@ -89,47 +98,56 @@ COUPON_HEADERS = {
     "クーポン名": "coupon_name",
 }
 PAYMENT_COUPON = schema("""
-    order_number:s order_confirmation_date:t coupon_name:s coupon_amount:d
-    coupon_confirmation_date:t report_id:s
+    order_number string, order_confirmation_date timestamp_ntz, coupon_name string,
+    coupon_amount double, coupon_confirmation_date timestamp_ntz, report_id string,
 """)
 SECTION_HEADER, SECTION_TOTAL = "連番", "合計"
 
 NOMENCLATURE = schema("""
-    transaction_type:s amount_type:s amount_description:s concatenated_fields:s remarks:s account:s
-    item:s tax_distiction:s
+    transaction_type string, amount_type string, amount_description string,
+    concatenated_fields string, remarks string, account string, item string, tax_distiction string,
 """)
 
 _SHEET = """
-    balance:s settlement_id:s purchase_or_posted_date:t payment_date:t supplier:s account:s
-    tax_distiction:s total_sum:d tax_calc_distinction:s tax_amount:s remarks:s item:s department:s
-    memo:s pay_date:t payment_account:s payment_amount:d
+    balance string, settlement_id string, purchase_or_posted_date timestamp_ntz,
+    payment_date timestamp_ntz, supplier string, account string, tax_distiction string,
+    total_sum double, tax_calc_distinction string, tax_amount string, remarks string, item string,
+    department string, memo string, pay_date timestamp_ntz, payment_account string,
+    payment_amount double,
 """
 REPORT_SHEETS = {
-    "sa": schema(_SHEET + "LAST_UPDATED:s TOTAL:d"),
-    "ss": schema(_SHEET + "TOTAL:d"),
-    "sh": schema(_SHEET + "TOTAL:d"),
+    "sa": schema(_SHEET + "LAST_UPDATED string, TOTAL double"),
+    "ss": schema(_SHEET + "TOTAL double"),
+    "sh": schema(_SHEET + "TOTAL double"),
 }
 
 # Flattened order line, as stored in the order master.
 ORDER_MASTER = schema("""
-    id:s buyer_accepts_marketing:b cancel_reason:s cancelled_at:t cart_token:s checkout_id:s
-    checkout_token:s confirmed:s contact_email:s created_at:t current_subtotal_price:d
-    current_total_discounts:d current_total_price:d current_total_tax:s email:s
-    financial_status:s fulfillment_status:s refund:d name:s note:s note_attributes:s number:s
-    order_number:s payment_gateway_names:s processed_at:t processing_method:s reference:s
-    source_identifier:s source_name:s tags:s token:s total_outstanding:d updated_at:t
-    shipping_shop_amount:d shipping_presentment_amount:d lineitem_quantity:d lineitem_name:s
-    lineitem_price:d lineitem_sku:s discount_code:s discount_amount:d discount_type:s
-    subtotal_price:d total_price:d total_tax:d UPDATED_FROM_API:t ship_address1:s ship_phone:s
-    ship_city:s ship_zip:s ship_province:s ship_country:s ship_first_name:s ship_last_name:s
-    ship_address2:s ship_company:s ship_name:s ship_latitude:d ship_longitude:d
-    ship_country_code:s ship_province_code:s total_discounts:d lineitem_discount:d
+    id string, buyer_accepts_marketing boolean, cancel_reason string, cancelled_at timestamp_ntz,
+    cart_token string, checkout_id string, checkout_token string, confirmed string,
+    contact_email string, created_at timestamp_ntz, current_subtotal_price double,
+    current_total_discounts double, current_total_price double, current_total_tax string,
+    email string, financial_status string, fulfillment_status string, refund double, name string,
+    note string, note_attributes string, number string, order_number string,
+    payment_gateway_names string, processed_at timestamp_ntz, processing_method string,
+    reference string, source_identifier string, source_name string, tags string, token string,
+    total_outstanding double, updated_at timestamp_ntz, shipping_shop_amount double,
+    shipping_presentment_amount double, lineitem_quantity double, lineitem_name string,
+    lineitem_price double, lineitem_sku string, discount_code string, discount_amount double,
+    discount_type string, subtotal_price double, total_price double, total_tax double,
+    UPDATED_FROM_API timestamp_ntz, ship_address1 string, ship_phone string, ship_city string,
+    ship_zip string, ship_province string, ship_country string, ship_first_name string,
+    ship_last_name string, ship_address2 string, ship_company string, ship_name string,
+    ship_latitude double, ship_longitude double, ship_country_code string,
+    ship_province_code string, total_discounts double, lineitem_discount double,
 """)
 DEPRECATED_ORDER_COLUMNS = ("gateway", "cart_token", "checkout_token", "token", "processing_method")
 
 PAYOUTS = schema("""
-    id:s type:s payout_id:s payout_status:s amount:d fee:d net:d source_id:s source_type:s
-    source_order_id:s source_order_transaction_id:s processed_at:t adjustment_order_transactions:s
+    id string, type string, payout_id string, payout_status string, amount double, fee double,
+    net double, source_id string, source_type string, source_order_id string,
+    source_order_transaction_id string, processed_at timestamp_ntz,
+    adjustment_order_transactions string,
 """)
 
 _LINE = """
