@@ -136,14 +136,14 @@ def test_expand_distinct_only_within_branch(frame):
         expand.Branch("some", F.col("x") > 0, same, distinct=True),
         expand.Branch("more", F.col("x") > 0, same, distinct=True),
     ]
-    got = expand.expand(df, branches, schema("o:s x:d"))
+    got = expand.expand(df, branches, schema("o string, x double"))
     assert plan(got).count("Exchange hashpartitioning") == 1  # both DISTINCT branches share it
     assert rows(got) == sorted([("o1", 5.0)] * 5 + [("o2", 0.0)])
 
 
 def test_expand_has_no_negative_zero(frame):
     df = frame([(0.0,)], "x double")
-    got = expand.expand(df, [expand.Branch("a", None, {"x": -F.col("x")})], schema("x:d"))
+    got = expand.expand(df, [expand.Branch("a", None, {"x": -F.col("x")})], schema("x double"))
     assert str(got.first().x) == "0.0"
 
 
@@ -199,10 +199,10 @@ def test_last_refunded_order(frame):
 
 def test_conform_quarantine_align(frame):
     df = frame([("1", "x", "z"), ("bad", "y", "z")], "a string, b string, extra string")
-    target = schema("a:l b:s token:s other:d")
+    target = schema("a bigint, b string, token string, other double")
     assert rows(maintenance.conform(df, target, ("token",))) == sorted(
         [(1, "x", "DEPRECATED", None), (None, "y", "DEPRECATED", None)], key=repr)
-    good, bad = maintenance.quarantine(df, schema("a:l b:s"))
+    good, bad = maintenance.quarantine(df, schema("a bigint, b string"))
     assert rows(good) == [(1, "x")] and rows(bad) == [("bad", "y", "z")]
     with pytest.raises(KeyError):
         maintenance.align_to(df, target)
@@ -247,3 +247,23 @@ def test_charge_refs_cases(frame):
     df = frame([("o1", [ok % 1, ok % 2]), ("o2", [plain % 1, plain % 2]), ("o3", ['{"status": "failure", "x": "ch_9"}'])],
                "order_id string, transactions array<string>")
     assert rows(nested.charge_refs(df)) == [("o1", "ch_1-ch_2"), ("o2", "p1"), ("o2", "p2")]
+
+
+def test_expand_once_gives_the_same_lines(frame):
+    df = frame([("a", 1.0), ("a", 1.0), ("b", 2.0), (None, -0.0)], "k string, v double")
+    branches = [
+        expand.Branch("plain", None, {"o": F.col("k"), "x": F.col("v")}),
+        expand.Branch("once", F.col("v") > 0, {"o": F.col("k"), "x": F.col("v")}, distinct=True),
+    ]
+    target = schema("o string, x double")
+    rows = [sorted(map(tuple, f(df, branches, target).collect()), key=repr) for f in (expand.expand, expand.expand_once)]
+    assert rows[0] == rows[1] and len(rows[0]) == 6
+
+
+def test_a_gateway_with_a_repeated_reference_loses_only_its_own(frame):
+    orders = frame([("1", "stripe", None), ("2", "Komoju - card", None), ("3", "komoju", "kept"), ("4", None, None)],
+                   "id string, payment_gateway_names string, reference string")
+    refs = frame([("1", "ch_1"), ("2", "ch_2"), ("2", "ch_3"), ("3", "ch_4"), (None, "ch_5"), ("9", "ch_9")], "order_id string, charge_ref string")
+    got = joins.attach_charge_refs(orders, refs)
+    assert got.columns == orders.columns
+    assert sorted((r.id, r.reference) for r in got.collect()) == [("1", "ch_1"), ("2", None), ("3", "kept"), ("4", None)]
