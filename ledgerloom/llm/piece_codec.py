@@ -150,6 +150,11 @@ def _encoder(model_path: str) -> PieceEncoder:
     return PieceEncoder(model_path)
 
 
+def _lists(ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, ids)]).astype("i4")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+
+
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids): the ids of each whole text and the end id.  Null text counts as empty; repeated rows stay."""
 
@@ -157,19 +162,22 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
         encoder = _encoder(model_path)
         for batch in slices(batches, 1):
             ids = encoder.encode(batch.column(1).fill_null("").to_pylist())
-            ends = np.cumsum([0, *map(len, ids)]).astype("i4")
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids)], ["doc_id", "ids"])
         encoder.words.clear()
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+@lru_cache(maxsize=2)
+def _model(model_path: str) -> sentencepiece.SentencePieceProcessor:
+    return sentencepiece.SentencePieceProcessor(model_file=model_path)
+
+
 def decode(tokens: DataFrame, model_path: str) -> DataFrame:
     """``tokens`` (doc_id, ids) with ``text``, the library's decoding of the ids; null ids give null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _encoder(model_path).model
+        model = _model(model_path)
         for batch in batches:
             ids = batch.column(1)
             ends, values, known = ids.offsets.to_numpy(), ids.values.to_numpy(), ids.is_valid().to_pylist()
@@ -179,10 +187,23 @@ def decode(tokens: DataFrame, model_path: str) -> DataFrame:
     return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
+def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids, text): :func:`encode` and :func:`decode` in one step, so that a task needs one Python worker."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(model_path)
+        for batch in slices(batches, 1):
+            ids = encoder.encode(batch.column(1).fill_null("").to_pylist())
+            texts = [encoder.model.decode(x.tolist()) for x in ids]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+        encoder.words.clear()
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, text string")
+
+
 def digest(docs: DataFrame, model_path: str) -> DataFrame:
     """Length and hashes of each document's ids, and hash of what they decode to."""
-    back = decode(encode(docs, model_path), model_path)
-    return back.select(
+    return round_trip(docs, model_path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),

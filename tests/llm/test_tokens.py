@@ -38,6 +38,15 @@ def test_pieces_equal_the_library(spark, documents, which):
     assert _sorted(piece_codec.digest(rows, PIECES).collect()) == _sorted(want)
 
 
+def test_encode_and_decode_apart(spark):
+    rows = odd_rows(spark)
+    there = piece_codec.encode(rows, PIECES)
+    back = piece_codec.decode(there.unionByName(spark.createDataFrame([(7, None)], there.schema)), PIECES)
+    both = piece_codec.round_trip(rows, PIECES)
+    assert _sorted((r[0], str(r[1]), r[2]) for r in back.where("ids IS NOT NULL").collect()) == _sorted((r[0], str(r[1]), r[2]) for r in both.collect())
+    assert [r["text"] for r in back.where("ids IS NULL").collect()] == [None]
+
+
 def test_pieces_of_hard_words():
     encoder = piece_codec.PieceEncoder(PIECES)
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
