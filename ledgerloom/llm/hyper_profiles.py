@@ -24,6 +24,8 @@ DIMENSIONS = 1024
 MAX_LEARNING_ROWS = 60_000  # labelled rows that the profiles learn from, chosen by a hash of the id
 GAP = 32  # stands for everything between words
 _TEXTS_AT_ONCE = 128
+_CHARS_AT_ONCE = 200_000  # bounds the table of counts by text and trigram; a longer text stands alone
+_TRIGRAMS_AT_ONCE = 8192  # bounds the table of trigram vectors
 
 
 @lru_cache(maxsize=1)
@@ -76,6 +78,28 @@ def trigram_vectors(spelled: np.ndarray) -> np.ndarray:
     return bound.astype(np.float32)
 
 
+def bundle(spelled: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of the trigram vectors of each row of ``counts``."""
+    total = np.zeros((len(counts), DIMENSIONS), dtype=counts.dtype)
+    for at in range(0, len(spelled), _TRIGRAMS_AT_ONCE):
+        part = slice(at, at + _TRIGRAMS_AT_ONCE)
+        total += counts[:, part] @ trigram_vectors(spelled[part]).astype(counts.dtype, copy=False)
+    return total
+
+
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    group: list[str] = []
+    size = 0
+    for text in texts:
+        if group and (len(group) == _TEXTS_AT_ONCE or size + len(text) > _CHARS_AT_ONCE):
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows that are never learned from: a remainder of 2, or no id."""
     return F.coalesce(F.crc32(quoted(id_col).cast("string")) % 4 == 2, F.lit(True))
@@ -100,7 +124,7 @@ def learn(docs: DataFrame, most: int = MAX_LEARNING_ROWS, id_col: str = "doc_id"
             names = sorted(set(langs))
             by_lang = [" ".join(t for t, x in zip(batch.column(1).to_pylist(), langs) if x == name) for name in names]
             spelled, counts, _ = trigrams(by_lang)
-            for name, vector in zip(names, counts.astype(np.float64) @ trigram_vectors(spelled).astype(np.float64)):
+            for name, vector in zip(names, bundle(spelled, counts.astype(np.float64))):
                 sums[name] = sums.get(name, 0) + vector
         for name, vector in sums.items():
             yield pa.RecordBatch.from_arrays(
@@ -120,9 +144,9 @@ def _judge(profiles: dict[str, np.ndarray]) -> Callable[[list[str | None]], list
     def judge(texts: list[str | None]) -> list:
         found: list[str] = []
         scores: list[float] = []
-        for at in range(0, len(texts), _TEXTS_AT_ONCE):
-            spelled, counts, lettered = trigrams([t or "" for t in texts[at : at + _TEXTS_AT_ONCE]])
-            vectors = counts.astype(np.float32) @ trigram_vectors(spelled)
+        for group in _groups([t or "" for t in texts]):
+            spelled, counts, lettered = trigrams(group)
+            vectors = bundle(spelled, counts.astype(np.float32))
             size = np.linalg.norm(vectors, axis=1)
             cosines = (vectors @ matrix.T) / np.where(size > 0, size, 1)[:, None]
             for has, row in zip(lettered, cosines):

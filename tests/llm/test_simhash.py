@@ -6,16 +6,20 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import multi_index
+from ledgerloom.llm import multi_index, simhash
 from ledgerloom.llm.common import table
 from ledgerloom.llm.components import components
 from ledgerloom.llm.simhash import fingerprints_of
 from tests.llm.plain import ODD_TEXTS, SMALL, component_ids, empty, fingerprint, odd_rows
 
 
-def test_fingerprints():
+def test_fingerprints(monkeypatch):
     texts = [t or "" for t in ODD_TEXTS]
-    assert [int(f) for f in fingerprints_of(texts)] == [fingerprint(t) for t in texts]
+    want = [fingerprint(t) for t in texts]
+    assert [int(f) for f in fingerprints_of(texts)] == want
+    monkeypatch.setattr(simhash, "_LONG_TEXT", 0)
+    monkeypatch.setattr(simhash, "_WORDS_AT_ONCE", 7)
+    assert [int(f) for f in fingerprints_of(texts)] == want
 
 
 @pytest.mark.parametrize("which", ["documents", "odd"])

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from ledgerloom.llm import piece_codec, separator_scan, token_table
 from ledgerloom.llm.common import WordCache, table
 from ledgerloom.storage import new_folder
-from tests.llm.plain import ODD_TEXTS, SMALL, empty, odd_rows, sha
+from tests.llm.plain import SMALL, empty, odd_rows, sha
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
