@@ -12,7 +12,7 @@ from ledgerloom.llm import feistel_shards, hyper_profiles, isolation_rules, lice
 from ledgerloom.llm.common import table
 from ledgerloom.storage import new_folder
 
-END_OF_TEXT = 49407  # of the word_bpe_49k vocabulary
+END_OF_DOCUMENT = 49408  # first id behind the word_bpe_49k vocabulary: no text gives it, not even a literal '<|endoftext|>' (49407)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -37,7 +37,7 @@ def sql() -> dict[str, str]:
 @query
 def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "flat")
-    return separator_scan.counts(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), END_OF_TEXT)
+    return separator_scan.counts(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), END_OF_DOCUMENT)
 
 
 @query

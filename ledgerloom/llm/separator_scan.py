@@ -1,7 +1,7 @@
 """Token counts of the documents in flat token files (operator 1).
 
-A flat file holds fixed-width ids and nothing else; each document ends with the end id.  The files
-are read in blocks of equal size by many tasks, one vectorised comparison finds the end ids of a
+A flat file holds fixed-width ids and nothing else; each document ends with the end id, which no text
+may give.  The files are read in blocks of equal size by many tasks, one vectorised comparison finds the end ids of a
 block, and a prefix scan over one small row per block stitches what crosses block boundaries:
 
 * the last end id before a block says how much of its first document lies in earlier blocks;
@@ -36,8 +36,9 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str, end_id: int, dtype:
     """One flat file per partition of ``docs``, in the order of its rows; returns which document stands where.
 
     A task writes under a name of its own attempt and renames at the end, so a repeated task leaves
-    the same file.  Null text counts as empty.  The result (doc_id, part, row) is stored, which
-    writes the files.
+    the same file.  Null text counts as empty.  A text that gives the end id itself is an error, as the
+    scan would take it for several documents.  The result (doc_id, part, row) is stored, which writes
+    the files.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,8 +49,10 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str, end_id: int, dtype:
         name = f"{base}/.part-{part:06d}-{task.taskAttemptId()}"
         with files.open_output_stream(name) as out:
             for batch in slices(batches, 1):
-                out.write(b"".join(words.encode(texts_of(batch), end_id)))
-                n = batch.num_rows
+                n, packed = batch.num_rows, b"".join(words.encode(texts_of(batch), end_id))
+                if np.count_nonzero(np.frombuffer(packed, dtype) == end_id) != n:
+                    raise ValueError(f"a text gives the end id {end_id} itself; take an id outside the vocabulary")
+                out.write(packed)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([part] * n, pa.int32()), pa.array(range(row, row + n), pa.int64())],
                     ["doc_id", "part", "row"],

@@ -10,6 +10,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from ledgerloom.llm import piece_codec, separator_scan, token_table
+from ledgerloom.llm import queries as llm_queries
 from ledgerloom.llm.common import WordCache, table
 from ledgerloom.storage import new_folder
 from tests.llm.plain import SMALL, empty, odd_rows, sha
@@ -135,3 +136,13 @@ def test_counts_from_flat_files(spark, documents, which):
     assert _sorted((r["doc_id"], r["n_tokens"]) for r in found.collect()) == _sorted(want)
 
 
+def test_a_literal_end_of_text_is_no_separator(spark, tmp_path):
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>", "plain words", None, "last"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    tokenizer = Tokenizer.from_file(WORDS)
+    want = [(i, len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1) for i, t in enumerate(texts)]
+    found = llm_queries.all_queries()["op1_separator_scan"](spark, str(tmp_path)).collect()
+    assert _sorted((r["doc_id"], r["n_tokens"]) for r in found) == want
+    with pytest.raises(Exception, match="gives the end id 49407 itself"):
+        separator_scan.counts(rows, new_folder(spark, "flat"), WORDS, 49407)
