@@ -8,14 +8,28 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import hyper_profiles, line_spread, multi_index, piece_codec, window_join
 from ledgerloom.llm.common import fresh, quoted, table
-from ledgerloom.storage import new_folder
+from ledgerloom.storage import new_folder, stored
+
+
+LOW_SHARE = 0.001  # share of each language's calibration rows that may lie below its least cosine
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told; texts without a letter (or null) go."""
+    """Documents in which a language can be told; texts without a letter (or null) go, and those far from every language.
+
+    The least cosine of a language is a low quantile over all labelled rows that are not held out and
+    that get this language.  A language that none of them gets has no least cosine.
+    """
     name, score = fresh(docs, "_language"), fresh(docs, "_score")
-    found = hyper_profiles.predict(docs, hyper_profiles.learn(docs), lang_name=name, score_name=score)
-    return found.where(quoted(name) != "und").select(*map(quoted, docs.columns))
+    found = stored(hyper_profiles.predict(docs, hyper_profiles.learn(docs), lang_name=name, score_name=score), "languages")
+    told = found.where(quoted(name) != "und")
+    known = told.where(~hyper_profiles.held_out() & F.col("lang").isNotNull())
+    low = known.groupBy(quoted(name).alias("lang")).agg(F.percentile_approx(quoted(score), LOW_SHARE, 100_000).alias("least"))
+    least = {r["lang"]: r["least"] for r in low.collect()}  # one row a language
+    if least:
+        bound = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
+        told = told.where(quoted(score) >= F.coalesce(F.try_element_at(bound, quoted(name)), F.lit(0.0)))
+    return told.select(*map(quoted, docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """The pipeline, stage by stage, against plain versions."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -7,6 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import Row
 
 import __spark_entry__ as entry
 from ledgerloom.llm.common import table
@@ -73,3 +75,13 @@ def test_stages_stand_hard_rows(spark):
             if at < 4:
                 assert docs.columns == columns
                 docs = spark.createDataFrame(rows, docs.schema)
+
+
+def test_letter_noise_has_no_language(spark):
+    docs = table(spark, SMALL, "documents")
+    chance = random.Random(5)
+    noise = ["".join(chance.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n)) for n in (20, 60, 200)] + ["私は学生です。" * 30]
+    rows = [Row(**{c: None for c in docs.columns} | {"doc_id": 10**9 + i, "text": t}) for i, t in enumerate(noise)]
+    mixed = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, mixed, SMALL).select("doc_id").collect()}
+    assert kept == {r["doc_id"] for r in docs.collect() if re.search(r"[^\W\d_]", r["text"] or "")}
