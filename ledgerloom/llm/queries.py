@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import feistel_shards, hyper_profiles, isolation_rules, license_scan, line_spread, multi_index, piece_codec, separator_scan, token_table, window_join
+from ledgerloom.llm import byte_codec, feistel_shards, hyper_profiles, isolation_rules, license_scan, line_spread, multi_index, piece_codec, separator_scan, token_table, window_join
 from ledgerloom.llm.common import table
 from ledgerloom.storage import new_folder
 
@@ -88,6 +88,11 @@ def op10_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_byte_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_codec.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
