@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import byte_codec, feistel_shards, hyper_profiles, isolation_rules, license_scan, line_spread, multi_index, piece_codec, separator_scan, token_table, window_join
+from ledgerloom.llm import byte_codec, feistel_shards, hyper_profiles, isolation_rules, license_scan, line_spread, multi_index, piece_codec, separator_scan, token_table, turn_repair, window_join
 from ledgerloom.llm.common import table
 from ledgerloom.storage import new_folder
 
@@ -31,6 +31,7 @@ def sql() -> dict[str, str]:
         "op2_feistel_shards": feistel_shards.sql(),
         "op4_line_spread": line_spread.sql(),
         "op7_window_join": window_join.sql(),
+        "op12_turn_repair": turn_repair.sql(),
     }
 
 
@@ -93,6 +94,11 @@ def op11_byte_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_codec.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+@query
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.report(table(spark, sf_dir, "conversations"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
