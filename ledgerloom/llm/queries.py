@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import byte_codec, feistel_shards, hyper_profiles, isolation_rules, license_scan, line_spread, multi_index, piece_codec, separator_scan, token_table, turn_repair, window_join
+from ledgerloom.llm import byte_codec, feistel_shards, hyper_profiles, impact_grid, isolation_rules, license_scan, line_spread, multi_index, piece_codec, separator_scan, token_table, turn_repair, window_join
 from ledgerloom.llm.common import table
 from ledgerloom.storage import new_folder
 
@@ -32,6 +32,7 @@ def sql() -> dict[str, str]:
         "op4_line_spread": line_spread.sql(),
         "op7_window_join": window_join.sql(),
         "op12_turn_repair": turn_repair.sql(),
+        "op13_impact_grid": impact_grid.sql(),
     }
 
 
@@ -99,6 +100,11 @@ def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turn_repair.report(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op13_impact_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impact_grid.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
