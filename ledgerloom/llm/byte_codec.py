@@ -17,7 +17,6 @@ Null text counts as empty; repeated rows stay, and equal long rows are encoded o
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,7 +35,6 @@ from ledgerloom.storage import stored
 
 CHUNK = 1 << 15  # characters
 OVERLAP = 1 << 10
-_SHORT = 64  # bytes of a piece up to which a plain search for the best pair is the quickest
 _TOKENS = "doc_id long, ids array<int>"
 # What public_tokenizers.PATTERN cuts, where the classes of Python's own engine are right.
 _PLAIN = re.compile(r""" ?[^\W\d_]+|'(?:s|t|re|ve|m|ll|d)| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+""")
@@ -67,7 +65,7 @@ class Cutter:
         letters, numbers, spaces = (_members(c) for c in (r"\p{L}", r"\p{N}", r"\s"))
         own = [set(re.findall(c, _EVERY)) for c in (r"[^\W\d_]", r"\d", r"\s")]
         odd = (letters ^ own[0]) | (numbers ^ own[1]) | (spaces ^ own[2])
-        self.odd = regex.compile(f"[{_ranges(odd)}]")
+        self.odd = odd
         self.odd_ascii = [c for c in odd if c.isascii()]
         pattern = public_tokenizers.PATTERN
         for name, chars in ((r"\p{L}", letters), (r"\p{N}", numbers)):
@@ -78,7 +76,7 @@ class Cutter:
         if text.isascii():
             odd = any(c in text for c in self.odd_ascii)
         else:
-            odd = self.odd.search(text)
+            odd = not self.odd.isdisjoint(text)
         return (self.exact if odd else _PLAIN).findall(text)
 
 
@@ -93,60 +91,15 @@ def boundaries(words: list[str]) -> np.ndarray:
 
 
 class ByteEncoder:
-    """Ids of pre-tokens by merge ranks, and their bytes back."""
+    """Ids of pre-tokens by merge ranks, each new one once while it is kept, and their bytes back."""
 
     def __init__(self, path: str):
         with open(path, "rb") as lines:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.bytes = {i: token for token, i in self.ranks.items()}
-        self.words = WordCache(lambda words: [np.array(self.ids(w.encode()), "<i4").tobytes() for w in words], 200_000)
-
-    def ids(self, piece: bytes) -> list[int]:
-        """The ids of one pre-token: always the pair of least rank is merged, the leftmost among equals."""
-        if piece in self.ranks:
-            return [self.ranks[piece]]
-        parts = self._merged(piece) if len(piece) <= _SHORT else self._merged_long(piece)
-        return [self.ranks[p] for p in parts]
-
-    def _merged(self, piece: bytes) -> list[bytes]:
-        ranks, beyond = self.ranks, len(self.ranks)
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(piece[i : i + 2], beyond) for i in range(len(piece) - 1)]
-        while pairs and (best := min(pairs)) < beyond:
-            i = pairs.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1], beyond)
-            if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], beyond)
-        return parts
-
-    def _merged_long(self, piece: bytes) -> list[bytes]:
-        """The same with a heap of the pairs, for pieces of any length."""
-        ranks, n = self.ranks, len(piece)
-        parts: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(ranks[piece[i : i + 2]], i, 2) for i in range(n - 1) if piece[i : i + 2] in ranks]
-        heapq.heapify(heap)
-        while heap:
-            _, i, size = heapq.heappop(heap)
-            j = after[i]
-            if parts[i] is None or j >= n or len(parts[i]) + len(parts[j]) != size:
-                continue  # one of the two has been merged since
-            parts[i], parts[j] = parts[i] + parts[j], None
-            after[i] = k = after[j]
-            if k < n:
-                before[k] = i
-                self._push(heap, parts, i, k)
-            if before[i] >= 0:
-                self._push(heap, parts, before[i], i)
-        return [p for p in parts if p is not None]
-
-    def _push(self, heap: list, parts: list, i: int, j: int) -> None:
-        pair = parts[i] + parts[j]
-        if pair in self.ranks:
-            heapq.heappush(heap, (self.ranks[pair], i, len(pair)))
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.bytes = {i: token for token, i in ranks.items()}
+        # The merges of one pre-token; as a text of its own it is cut no further.
+        merges = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.words = WordCache(lambda words: [np.array(merges(w), "<i4").tobytes() for w in words], 200_000)
 
     def packed(self, cut: list[list[str]]) -> list[bytes]:
         """32-bit ids of texts that are cut already."""

@@ -70,12 +70,11 @@ def test_every_character_has_the_class_of_the_library():
     assert encoder.packed([byte_codec.cutter()(text)])[0] == np.array(LIBRARY.encode_ordinary(text), "<i4").tobytes()
 
 
-def test_long_pieces():
-    encoder, draw = byte_codec._encoder(RANKS), random.Random(1)
-    for n in (65, 1000, 20_000):
-        for letters in ("a", "ab", "abcdefghijklmnopqrstuvwxyz", "aé日"):
-            piece = "".join(draw.choices(letters, k=n))
-            assert encoder.ids(piece.encode()) == LIBRARY.encode_ordinary(piece)
+def test_long_pieces(spark):
+    draw = random.Random(1)
+    texts = ["".join(draw.choices(letters, k=n)) for n in (65, 1000, 70_000) for letters in ("a", "abcdefghijklmnopqrstuvwxyz", "aé日", " ", "?!")]
+    docs = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    assert found(byte_codec.round_trip(docs, RANKS)) == expected(enumerate(texts))
 
 
 def test_digest(spark):
