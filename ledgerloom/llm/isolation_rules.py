@@ -176,7 +176,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if n > MAX_LEARNING_ROWS:
         sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int((1 << 20) * MAX_LEARNING_ROWS / n))
     learned = sorted((r["doc_id"], *r["features"]) for r in sample.select("doc_id", "features").collect())
-    forest = IsolationForest(np.array([r[1:] for r in learned], dtype=np.float64).reshape(len(learned), -1))
+    forest = IsolationForest(np.array([r[1:] for r in learned], dtype=np.float64).reshape(len(learned), len(features())))
     scored = labelled.groupBy("quality", F.round(_score(forest)(F.col("features")) * _STEPS).cast("int").alias("step")).count()
     limit = threshold({(r["quality"], r["step"]): r["count"] for r in scored.collect()})
     step = F.round(_score(forest)(F.col("features")) * _STEPS) / _STEPS
