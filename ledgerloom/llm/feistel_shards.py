@@ -21,12 +21,14 @@ from ledgerloom.operators.windows import global_row_number
 
 PRIME = 2**31 - 1  # round values stay below it, so that products fit in a long
 ROUNDS = 8
+SIDES = 4096
 
 
 def domain(n: int) -> tuple[int, int]:
-    """Sides (a, b) of a nearly square domain with few numbers beyond ``n``."""
+    """Sides (a, b) of a domain with few numbers beyond ``n``: the best of ``SIDES`` with ``a`` up to twice the root."""
     root = math.isqrt(max(n, 1) - 1) + 1
-    return min(((a, -(-n // a) or 1) for a in range(root, root + 64)), key=lambda side: side[0] * side[1])
+    tried = (root + j * (root // SIDES + 1) for j in range(SIDES))
+    return min(((a, -(-n // a) or 1) for a in tried), key=lambda side: side[0] * side[1])
 
 
 def _mix(value: Column, step: Column, seed: int) -> Column:
@@ -54,14 +56,15 @@ def permuted(x: Column, n: int, seed: int = 0) -> Column:
     """Place of row number ``x`` (0..n-1) in the shuffled order.
 
     A walk leaves 0..n-1 for at most ``a * b - n`` steps, as a cycle has no number twice, so that
-    many steps always bring it back.
+    many steps always bring it back.  Only the few numbers that leave it walk at all.
     """
     a, b = domain(n)
     once = _network(x, a, b, seed)
     if a * b == n:
         return once
     steps = F.sequence(F.lit(1), F.lit(a * b - n))
-    return F.aggregate(steps, once, lambda at, _: F.when(at < n, at).otherwise(_network(at, a, b, seed)))
+    walked = F.aggregate(steps, once, lambda at, _: F.when(at < n, at).otherwise(_network(at, a, b, seed)))
+    return F.when(once < n, once).otherwise(walked)
 
 
 def shards(docs: DataFrame, shard_count: int = 40, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -127,7 +130,7 @@ WITH RECURSIVE crc AS (
   SELECT greatest(count(*), 1) AS n FROM documents
 ), sides AS (
   SELECT n, a, greatest((n + a - 1) // a, 1) AS b
-  FROM (SELECT n, unnest(range(root, root + 64)) AS a FROM (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS root FROM total))
+  FROM (SELECT n, root + unnest(range({SIDES})) * (root // {SIDES} + 1) AS a FROM (SELECT n, CAST(ceil(sqrt(n)) AS BIGINT) AS root FROM total))
   ORDER BY a * b, a LIMIT 1
 ), numbered AS (
   SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS number FROM sized

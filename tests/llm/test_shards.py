@@ -1,5 +1,7 @@
 """Operator 2."""
 
+import math
+import time
 from collections import Counter
 
 import pytest
@@ -42,6 +44,22 @@ def test_placement(spark, which):
     assert {r["law"] for r in found} == {"rows"} and {r["grown_shard"] for r in found} == {None}
 
 
+def test_few_rows_walk():
+    for n in (10**6, 10**8, 10**9, 10**10, 10**12):
+        a, b = feistel_shards.domain(n)
+        assert 0 <= a * b - n < 10 * math.isqrt(n) ** 0.5 and a < 3 * b * 2
+
+
+def test_work_per_row_does_not_grow(spark):
+    def seconds(n):
+        start = time.perf_counter()
+        spark.range(500_000).select(F.max(feistel_shards.permuted(F.col("id"), n))).collect()
+        return time.perf_counter() - start
+
+    seconds(10**6)
+    assert seconds(10**9) < 2 * max(seconds(10**6) for _ in range(2)) + 0.5
+
+
 def test_no_python_in_the_plan(spark):
     plan = feistel_shards.placement(table(spark, SMALL, "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
