@@ -17,6 +17,7 @@ from ledgerloom.queries import query, rpt_rakuten_full
 from ledgerloom.sources import feeds
 from ledgerloom.sources.files import read_json_pages
 from ledgerloom.streaming import jobs
+from ledgerloom.streaming.keyed_table import KeyedTable
 
 LOADED_AT = "2023-01-01 00:00:00"
 
@@ -125,11 +126,29 @@ def stream_replace_by_key(c: Catalog) -> DataFrame:
     """The stored lines first, then a file with the newer half of the orders under a new status."""
     rows = c.orders_master.select("id", "lineitem_sku", "financial_status", "created_at")
     source, target, state = _stage(c, "replace", rows)
-    jobs.replace_versions(jobs.file_stream(c.spark, source, rows.schema).drop("FILE_NAME"), "id", target, state)
+    jobs.replace_keys(jobs.file_stream(c.spark, source, rows.schema).drop("FILE_NAME"), "id", target, state)
     newer = rows.where(F.col("created_at") >= dates.ntz("2001-02-01")).withColumn("financial_status", F.lit("archived"))
     newer.write.mode("append").parquet(source)
-    jobs.replace_versions(jobs.file_stream(c.spark, source, rows.schema).drop("FILE_NAME"), "id", target, state)
-    return jobs.latest_version(c.spark, target)
+    jobs.replace_keys(jobs.file_stream(c.spark, source, rows.schema).drop("FILE_NAME"), "id", target, state)
+    return KeyedTable(c.spark, target, "id").read()
+
+
+@query
+def stream_distinct_records(c: Catalog) -> DataFrame:
+    """A job stops and starts again; the second run gets the last two weeks once more, each record twice, and what is new."""
+    rows = c.stripe_payouts.select("balance_transaction_id", "created_utc", "gross")
+    stop = dates.ntz("1997-01-01")
+    source, target, state = _stage(c, "distinct", rows.where(F.col("created_utc") < stop))
+
+    def run() -> None:
+        stream = jobs.file_stream(c.spark, source, rows.schema).drop("FILE_NAME")
+        jobs.load_new_files(jobs.distinct_records(stream, "created_utc", ["balance_transaction_id"]), target, state)
+
+    run()
+    tail = rows.where((F.col("created_utc") >= stop - F.expr("interval '13' day")) & (F.col("created_utc") < stop))
+    tail.unionAll(tail).unionAll(rows.where(F.col("created_utc") >= stop)).write.mode("append").parquet(source)
+    run()
+    return c.spark.read.schema(rows.schema).parquet(target)
 
 
 @query

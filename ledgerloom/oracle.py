@@ -724,6 +724,7 @@ QUERIES["stream_load_files"] = "SELECT balance_transaction_id, created_utc, gros
 QUERIES["stream_replace_by_key"] = """
 SELECT id, lineitem_sku, CASE WHEN created_at >= '2001-02-01' THEN 'archived' ELSE financial_status END AS financial_status, created_at FROM {orders_master}
 """
+QUERIES["stream_distinct_records"] = "SELECT DISTINCT balance_transaction_id, created_utc, gross FROM {stripe_payouts}"
 QUERIES["stream_book_once"] = "SELECT control_number, order_id, item, amount FROM {rpt_rakuten_full}"
 QUERIES["stream_daily_totals"] = """
 SELECT cast(created_at as date) AS day, payment_gateway_names, sum(lineitem_price*lineitem_quantity) AS total FROM {orders_master}

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ledgerloom.functions.dates import instant_to_ntz
 from ledgerloom.operators.joins import not_booked
-from ledgerloom.operators.maintenance import replace_by_key
+from ledgerloom.streaming.keyed_table import BUCKETS, KeyedTable
 
 
 def file_stream(
@@ -44,12 +44,9 @@ def _each_batch(stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, i
 
 
 def read_versions(spark: SparkSession, target: str, name: str, upto: int | None = None) -> DataFrame | None:
-    """A table kept in numbered folders, or None before the first write."""
-    numbers = _version_numbers(spark, target, name)
-    if not any(upto is None or n < upto for n in numbers):
-        return None
-    rows = spark.read.parquet(target)
-    return rows if upto is None else rows.where(F.col(name) < upto)
+    """The finished folders of a table kept in numbered ones, or None before the first; unfinished ones stay unread."""
+    numbers = [n for n in _version_numbers(spark, target, name) if upto is None or n < upto]
+    return spark.read.option("basePath", target).parquet(*[f"{target}/{name}={n}" for n in sorted(numbers)]) if numbers else None
 
 
 def _version_numbers(spark: SparkSession, target: str, name: str) -> list[int]:
@@ -63,28 +60,18 @@ def _version_numbers(spark: SparkSession, target: str, name: str) -> list[int]:
     return [int(p.getName().split("=")[1]) for p in names if files.exists(done(p, "_SUCCESS"))]
 
 
-def replace_versions(stream: DataFrame, key: str, target: str, checkpoint: str) -> None:
-    """Keep the latest rows per key: each batch replaces the keys it brings.
-
-    Batch ``n`` writes folder ``version=n`` from the version before it and only then counts as
-    done, so a repeated batch rewrites its own folder and readers see whole versions.  Use
-    :func:`latest_version` to read.
-    """
+def replace_keys(stream: DataFrame, key: str, target: str, checkpoint: str, buckets: int = BUCKETS) -> None:
+    """Keep the latest rows per key in a :class:`KeyedTable`: a batch rewrites the buckets of its own keys only."""
     def step(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        current = latest_version(spark, target, before=number)
-        rows = batch if current is None else replace_by_key(current, batch, key)
-        rows.write.mode("overwrite").parquet(f"{target}/version={number}")
+        batch.persist()  # read for its buckets, its keys and its rows
+        try:
+            KeyedTable(batch.sparkSession, target, key, buckets).replace(batch, number)
+        finally:
+            batch.unpersist()
 
     _each_batch(stream, checkpoint, step)
 
 
-def latest_version(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """Newest version of a table written by :func:`replace_versions`."""
-    numbers = [n for n in _version_numbers(spark, target, "version") if before is None or n < before]
-    return spark.read.parquet(f"{target}/version={max(numbers)}") if numbers else None
-
-
 def book_once(stream: DataFrame, key: str, ledger: str, checkpoint: str) -> None:
     """Append the rows of settlements that no earlier batch has booked.
 

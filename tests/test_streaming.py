@@ -3,17 +3,78 @@ import datetime as dt
 import pytest
 
 from ledgerloom.streaming import jobs
+from ledgerloom.streaming.keyed_table import KeyedTable
 
 SCHEMA = "id string, v string"
 
 
-def test_replace_versions_over_runs(spark, frame, tmp_path):
+def files_of(folder):
+    """Name, size and time of every data file, by bucket folder."""
+    return {str(p.relative_to(folder)): (p.stat().st_size, p.stat().st_mtime_ns) for p in folder.rglob("*.parquet")}
+
+
+def rows_of(table, before=None):
+    return sorted(map(tuple, table.read(before).select("id", "v").collect()), key=str)
+
+
+def test_keys_are_replaced_over_runs(spark, frame, tmp_path):
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    for batch in ([("1", "a"), ("2", "b")], [("1", "c")], [("3", "d")]):
+    table = KeyedTable(spark, target, "id")
+    assert table.read() is None and table.commits() == []
+    for batch in ([("1", "a"), ("2", "b"), (None, "n")], [("1", "c"), ("1", "d")], [("3", "d"), (None, "m")]):
         df = frame(batch, SCHEMA)
         df.write.mode("append").parquet(source)
-        jobs.replace_versions(jobs.file_stream(spark, source, df.schema).drop("FILE_NAME"), "id", target, state)
-    assert sorted(map(tuple, jobs.latest_version(spark, target).select("id", "v").collect())) == [("1", "c"), ("2", "b"), ("3", "d")]
+        jobs.replace_keys(jobs.file_stream(spark, source, df.schema).drop("FILE_NAME"), "id", target, state)
+    # rows without a key are never replaced
+    assert rows_of(table) == [("1", "c"), ("1", "d"), ("2", "b"), ("3", "d"), (None, "m"), (None, "n")]
+    assert rows_of(table, before=1) == [("1", "a"), ("2", "b"), (None, "n")]
+
+
+def test_a_batch_leaves_other_buckets_alone(spark, frame, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), "id", buckets=8)
+    table.replace(frame([(str(i), "a") for i in range(200)], SCHEMA), 0)
+    before = files_of(tmp_path)
+    assert len(before) == 8
+    table.replace(frame([("7", "b")], SCHEMA), 1)
+    after = files_of(tmp_path)
+    assert {f: after[f] for f in before} == before and len(after) == len(before) + 1
+    read = {r[0].split("/batch=")[1] for r in table.read().select("_metadata.file_path").distinct().collect()}
+    assert sum(f.startswith("0/") for f in read) == 7 and sum(f.startswith("1/") for f in read) == 1
+    assert rows_of(table) == sorted([(str(i), "b" if i == 7 else "a") for i in range(200)], key=str)
+
+
+def test_a_repeated_batch_gives_the_same_table(spark, frame, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), "id", buckets=4)
+    table.replace(frame([("1", "a"), ("2", "b")], SCHEMA), 0)
+    for _ in range(2):
+        table.replace(frame([("1", "c"), ("5", "e")], SCHEMA), 1)
+        assert rows_of(table) == [("1", "c"), ("2", "b"), ("5", "e")] and table.commits() == [0, 1]
+    # a batch that was written without its commit doesn't count, and is written again
+    frame([("2", "lost")], SCHEMA).write.parquet(f"{tmp_path}/batch=2/_bucket=0")
+    (tmp_path / "_commits" / ".2").touch()
+    assert rows_of(table) == [("1", "c"), ("2", "b"), ("5", "e")]
+    table.replace(frame([("2", "z")], SCHEMA), 2)
+    assert rows_of(table) == [("1", "c"), ("2", "z"), ("5", "e")]
+    # an empty batch changes nothing
+    table.replace(frame([], SCHEMA), 3)
+    assert rows_of(table) == [("1", "c"), ("2", "z"), ("5", "e")] and table.commits() == [0, 1, 2, 3]
+
+
+def test_superseded_folders_go(spark, frame, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), "id", buckets=2)
+    for number, value in enumerate("abc"):
+        table.replace(frame([(str(i), value) for i in range(20)], SCHEMA), number)
+    assert table.drop_superseded(keep=2) == 2 and table.commits() == [1, 2]
+    assert {v for _, v in rows_of(table, before=2)} == {"b"} and {v for _, v in rows_of(table)} == {"c"}
+    assert table.drop_superseded() == 2 and len(files_of(tmp_path)) == 2
+    with pytest.raises(ValueError):
+        table.drop_superseded(keep=0)
+
+
+def test_another_bucket_count_is_an_error(spark, frame, tmp_path):
+    KeyedTable(spark, str(tmp_path), "id", buckets=2).replace(frame([("1", "a")], SCHEMA), 0)
+    with pytest.raises(ValueError, match="2 buckets by id"):
+        KeyedTable(spark, str(tmp_path), "id", buckets=4).read()
 
 
 def test_files_are_loaded_once(spark, frame, tmp_path):
@@ -66,6 +127,26 @@ def test_a_damaged_ledger_is_an_error(spark, frame, tmp_path):
         jobs.read_versions(spark, str(ledger), "batch").count()
 
 
+def test_an_unfinished_folder_stays_unread(spark, frame, tmp_path):
+    ledger = str(tmp_path)
+    for number in (0, 1):
+        frame([(str(number), "a")], SCHEMA).write.parquet(f"{ledger}/batch={number}")
+    (tmp_path / "batch=1" / "_SUCCESS").unlink()
+    assert [r["id"] for r in jobs.read_versions(spark, ledger, "batch").collect()] == ["0"]
+    assert jobs.read_versions(spark, ledger, "batch", upto=0) is None
+
+
+def test_repeated_records_count_once_after_a_restart(spark, frame, tmp_path):
+    source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    day = lambda d: dt.datetime(2024, 1, d)
+    schema = "id string, at timestamp_ntz"
+    for batch in ([("k", day(1)), ("m", day(10))], [("k", day(1)), ("m", day(10)), ("n", day(12)), ("n", day(12))], [("n", day(12)), ("o", day(13))]):
+        df = frame(batch, schema).coalesce(1)
+        df.write.mode("append").parquet(source)
+        jobs.load_new_files(jobs.distinct_records(jobs.file_stream(spark, source, df.schema), "at", ["id"]), target, state)
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == ["k", "m", "n", "o"]
+
+
 def test_repeated_records_count_once(spark, frame, tmp_path):
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     df = frame([("k", dt.datetime(2024, 1, 1)), ("k", dt.datetime(2024, 1, 2)), ("m", dt.datetime(2024, 1, 2))], "id string, at timestamp_ntz")
