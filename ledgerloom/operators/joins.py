@@ -220,16 +220,19 @@ def semi_in(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
     return df.join(wanted, df[column] == wanted["_wanted"], "left_semi")
 
 
-def not_booked(df: DataFrame, ledger: DataFrame | None, key: str, ledger_key: str | None = None) -> DataFrame:
+def not_booked(
+    df: DataFrame, ledger: DataFrame | None, key: str, ledger_key: str | None = None, null_keys_stay: bool = False
+) -> DataFrame:
     """Rows whose key is not in the ledger, with the NULL rules of SQL ``NOT IN``.
 
     Keys already in the ledger drop out.  A NULL key drops out too, unless the ledger holds no
-    key at all.  This is a plain anti join, so a large ledger is shuffled, not broadcast.
+    key at all, or ``null_keys_stay``.  This is a plain anti join: a large ledger is not broadcast, and
+    one that is bucketed by its key, of the key's type, is not shuffled either.
     """
     if ledger is None:
         return df
     booked = ledger.select(F.col(ledger_key or key).alias("_booked")).where("_booked IS NOT NULL")
-    kept = df.where(F.col(key).isNotNull() | ~booked.exists())
+    kept = df if null_keys_stay else df.where(F.col(key).isNotNull() | ~booked.exists())
     keys = booked.distinct()
     return kept.join(keys, kept[key] == keys["_booked"], "left_anti")
 

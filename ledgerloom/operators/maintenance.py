@@ -144,9 +144,10 @@ def adjust_rows(df: DataFrame, predicate: Column, assignments: dict[str, Column]
     )
 
 
-def append_table(df: DataFrame, table: str) -> None:
-    """Append by column name; an empty frame appends nothing."""
-    df.write.mode("append").saveAsTable(table)
+def append_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Append by column name; an empty frame appends nothing.  A new table lies at ``path``, else in the warehouse."""
+    writer = df.write.mode("append")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 def load_batch(frames: Sequence[DataFrame], path: str) -> None:

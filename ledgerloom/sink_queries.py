@@ -45,8 +45,9 @@ def append_table(c: Catalog) -> DataFrame:
     """Two appends to one table; the second frame has its columns in another order."""
     name = f"appended_{uuid.uuid4().hex}"
     older, newer = _halves(_payouts(c), "created_utc")
-    maintenance.append_table(older, name)
-    maintenance.append_table(newer.select("gross", "balance_transaction_id", "created_utc"), name)
+    folder = landing.new_folder(c, "appended")
+    maintenance.append_table(older, name, folder)
+    maintenance.append_table(newer.select("gross", "balance_transaction_id", "created_utc"), name, folder)
     return c.spark.table(name)
 
 

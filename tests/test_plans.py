@@ -1,12 +1,14 @@
 """Report behaviour on tiny inputs, and the shape of the large plans."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ledgerloom.catalog import catalog
+from ledgerloom.operators import joins, ledgers
 from ledgerloom.plans import amazon, shopify
 from ledgerloom.queries import AS_OF
 from tests.compare import TESTDATA
@@ -117,3 +119,50 @@ def test_payout_ids_that_are_no_numbers_stay(frame):
     full = shopify.shopify_settlement(payouts, orders)
     ledger = frame([(1,)], "control_number bigint")
     assert shopify.shopify_settlement(payouts, orders, ledger).count() == full.count() > 0
+
+
+def ancestors(plan, word):
+    """For each line of the plan tree with ``word``: the operators above it, nearest first."""
+    plain = [re.sub(r"^[\s:+-]*", "", line) for line in plan.split("\n")]
+    depth = [len(line) - len(text) for line, text in zip(plan.split("\n"), plain)]
+    for at, text in enumerate(plain):
+        if word in text:
+            found, deep = [], depth[at]
+            for i in range(at - 1, -1, -1):
+                if depth[i] < deep:
+                    found.append(plain[i])
+                    deep = depth[i]
+            yield found
+
+
+@pytest.mark.parametrize("name", ["rpt_shopify", "rpt_stripe", "rpt_amazonpay", "rpt_amazon", "rpt_rakuten"])
+def test_the_ledger_is_not_shuffled(spark, name):
+    """Between the stored ledger and the join that drops booked settlements nothing moves."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = entry.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joined = 0
+    for above in ancestors(plan, "spark_catalog.default.ledger_"):
+        until = next(i for i, text in enumerate(above) if text.startswith(("SortMergeJoin", "Subquery")))
+        if above[until].startswith("SortMergeJoin"):
+            joined += 1
+            assert "LeftAnti" in above[until] and not any("Exchange" in text for text in above[:until]), above[:until]
+    assert joined
+
+
+def test_a_ledger_grows_by_key_and_is_opened_again(spark, frame, tmp_path):
+    path = f"{tmp_path}/ledger"
+    rows = frame([("s1", 1.0), (None, 2.0)], "settlement string, total double")
+    name = ledgers.open_ledger(spark, path, "settlement", rows.schema, buckets=4)
+    assert spark.table(name).count() == 0
+    ledgers.book(rows, name)
+    ledgers.book(frame([(3.0, "s2"), (4.0, "s1")], "total double, settlement string"), name)
+    assert sorted(map(tuple, spark.table(name).collect()), key=str) == [("s1", 1.0), ("s1", 4.0), ("s2", 3.0), (None, 2.0)]
+    assert ledgers.open_ledger(spark, path, "settlement", rows.schema, buckets=4) == name
+    spark.sql(f"DROP TABLE {name}")  # a new session knows nothing of the table, only its files are there
+    again = ledgers.open_ledger(spark, path, "settlement", rows.schema, buckets=4)
+    new = frame([("s1",), ("s3",), (None,)], "settlement string")
+    assert [r[0] for r in joins.not_booked(new, spark.table(again), "settlement").collect()] == ["s3"]
