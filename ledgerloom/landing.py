@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from ledgerloom.catalog import Catalog
 from ledgerloom.storage import checkpoint_dir
 from ledgerloom.schemas import STRIPE_PAYOUTS
-from ledgerloom.sources.files import JAPANESE, allow_encoding
+from ledgerloom.sources.files import allow_encoding
+from ledgerloom.sources.heads import JAPANESE
 from ledgerloom.sources.rakuten_headers import ORDER_HEADERS
 
 

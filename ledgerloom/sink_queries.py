@@ -19,6 +19,7 @@ from ledgerloom.operators import maintenance
 from ledgerloom.plans import amazon
 from ledgerloom.queries import booked, query, rpt_amazon_full, rpt_shopify_full
 from ledgerloom.sources import feeds, files
+from ledgerloom.sources.heads import JAPANESE
 from ledgerloom.sources.rakuten_headers import BULK_COLUMN_COUNT, ORDER_HEADERS
 
 LOADED_AT = "2023-01-01 00:00:00"
@@ -171,8 +172,8 @@ def feed_rakuten_bulk(c: Catalog) -> DataFrame:
     rows = c.rakuten_orders.unionByName(c.rakuten_2020, allowMissingColumns=True)
     text = rows.withColumn("order_date_time", F.date_format("order_date_time", "yyyy-MM-dd HH:mm:ss"))
     text = text.select(*[(F.col(n) if n in rows.columns else F.lit(None)).cast("string").alias(f"c{i}") for i, n in enumerate(names)])
-    files.allow_encoding(c.spark, files.JAPANESE)
-    folder = _text_csv(c, text, "bulk", encoding=files.JAPANESE)
+    files.allow_encoding(c.spark, JAPANESE)
+    folder = _text_csv(c, text, "bulk", encoding=JAPANESE)
     return feeds.read_rakuten_bulk(c.spark, folder).select("order_number", "order_date_time", "item_number", "unit_price", "quantity")
 
 
@@ -198,11 +199,11 @@ def feed_report_sheet(c: Catalog) -> DataFrame:
 def feed_mixed_headers(c: Catalog) -> DataFrame:
     """Order lists whose files differ in the order and number of their columns."""
     base = landing.new_folder(c, "mixed")
-    files.allow_encoding(c.spark, files.JAPANESE)
+    files.allow_encoding(c.spark, JAPANESE)
     older, newer = _halves(c.order_central, "purchase_date")
     for name, half, columns in (("a", older, ["amazon_order_id", "sku", "quantity"]), ("b", newer, ["quantity", "ship_postal_code", "amazon_order_id", "sku"])):
         rows = half.select(*[F.col(x).cast("string").alias(x.replace("_", "-")) for x in columns])
-        rows.write.option("header", True).option("sep", "\t").option("encoding", files.JAPANESE).csv(f"{base}/{name}")
+        rows.write.option("header", True).option("sep", "\t").option("encoding", JAPANESE).csv(f"{base}/{name}")
     found = feeds.read_marketplace_tsv(c.spark, f"{base}/*", kind="oc")
     return found.select("amazon_order_id", "sku", "quantity", "ship_postal_code")
 

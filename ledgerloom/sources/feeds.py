@@ -14,9 +14,10 @@ from ledgerloom.functions.text import (
 )
 from ledgerloom.operators.maintenance import conform
 from ledgerloom.sources.files import (
-    JAPANESE, first_pos, numbered_lines, per_file, read_delimited, read_delimited_apart, read_headed_text,
-    read_preamble, split_cells, typed,
+    greatest, numbered_lines, per_file, read_delimited, read_delimited_apart, read_headed_text, read_preamble,
+    section_marks, sections, split_cells, typed,
 )
+from ledgerloom.sources.heads import JAPANESE
 from ledgerloom.sources.rakuten_headers import BULK_COLUMN_COUNT, NUMBER_COLUMNS, ORDER_HEADERS, TIME_COLUMNS
 
 MARKETPLACE_SCHEMAS = {"tv": schemas.TRANSACTION_VIEW, "oc": schemas.ORDER_CENTRAL}
@@ -45,9 +46,13 @@ def read_marketplace_tsv(
     spark: SparkSession, path: str | Sequence[str], kind: str | None = None, encoding: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Marketplace report: transaction view (UTF-8) or order list (Japanese, unless ``encoding`` says otherwise)."""
-    kind = kind or classify_marketplace(read_headed_text(spark, path, "\t", encoding or JAPANESE).columns)
-    encoding = encoding or {"tv": "UTF-8", "oc": JAPANESE}[kind]
+    """Marketplace report: transaction view or order list.
+
+    Unless ``encoding`` says otherwise, each file is read in UTF-8 or the Japanese encoding, whichever fits it;
+    plain files as UTF-8 for the transaction view and as Japanese for the order list.
+    """
+    kind = kind or classify_marketplace(read_headed_text(spark, path, "\t", encoding or (JAPANESE, "UTF-8")).columns)
+    encoding = encoding or {"tv": ("UTF-8", JAPANESE), "oc": (JAPANESE, "UTF-8")}[kind]
     raw = normalize_headers(read_headed_text(spark, path, "\t", encoding, multi_line=multi_line).withColumnRenamed("FILE_NAME", "_f"))
     return _coerce(
         raw.withColumnRenamed("_f", "FILE_NAME"),
@@ -78,11 +83,11 @@ def read_preamble_tsv(
 def read_settlement_txt(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Payment settlement text: end date in the preamble, quoted cells, thousands separators."""
     end_line = F.when(F.contains("line", F.lit("SettlementEndDate")), F.col("line"))
-    end_date = F.replace(F.split_part(F.max(end_line), F.lit(","), F.lit(2)), F.lit('"'), F.lit(""))
+    end_date = F.replace(F.split_part("settlement_end_date", F.lit(","), F.lit(2)), F.lit('"'), F.lit(""))
     text = schemas.as_text(T.StructType(schemas.AMAZON_PAY.fields[:-1]))
     rows = read_preamble(
-        spark, path, text, "TransactionPostedDate", ",", ("",), (), {"settlement_end_date": end_date}
-    )
+        spark, path, text, "TransactionPostedDate", ",", ("",), (), {"settlement_end_date": greatest(end_line)}
+    ).withColumn("settlement_end_date", end_date)
 
     def column(field: T.StructField) -> Column:
         raw = F.col(field.name)
@@ -103,19 +108,12 @@ def read_payment_sections(spark: SparkSession, path: str | Sequence[str]) -> tup
     lead = F.replace(F.split_part("line", F.lit(","), F.lit(1)), F.lit('"'), F.lit(""))
     lines = lines.withColumn("_lead", lead)
     is_header, is_total = F.col("_lead") == schemas.SECTION_HEADER, F.col("_lead") == schemas.SECTION_TOTAL
-    one = per_file(lines, _main=first_pos(is_header), _total=first_pos(is_total))
-    in_coupon = is_header & (F.col("pos") > F.col("_total"))
     translation = F.create_map(*[F.lit(x) for pair in schemas.COUPON_HEADERS.items() for x in pair])
     names = F.transform(
-        split_cells(F.col("_coupon_header"), ","), lambda name: F.coalesce(F.element_at(translation, name), F.lit("error"))
-    )
-    two = per_file(
-        one,
-        {"_names": names},
-        _coupon=first_pos(in_coupon),
-        _coupon_header=F.min_by(F.when(in_coupon, F.col("line")), F.when(in_coupon, F.col("pos"))),
+        split_cells(F.col("_coupon.line"), ","), lambda name: F.coalesce(F.element_at(translation, name), F.lit("error"))
     )
-    three = per_file(two, _end=first_pos(is_total & (F.col("pos") > F.col("_coupon"))))
+    bounds = {f"_{name}": mark for name, mark in sections("_marks").items()}
+    placed = per_file(lines, {"_marks": section_marks(is_header, is_total)}, {**bounds, "_names": names}).drop("_marks")
     width = len(schemas.PAYMENT_MAIN.fields)
 
     def cell(raw: Column, field: T.StructField) -> Column:
@@ -126,8 +124,8 @@ def read_payment_sections(spark: SparkSession, path: str | Sequence[str]) -> tup
             return strip_dot_zero(raw).alias(field.name)
         return typed(raw, field.dataType, ("yyyy/MM/dd", "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss")).alias(field.name)
 
-    data = three.where(F.col("line") != "").withColumn("_cells", split_cells(F.col("line"), ","))
-    main = data.where((F.col("pos") > F.col("_main")) & (F.col("pos") < F.col("_total"))).select(
+    data = placed.where(F.col("line") != "").withColumn("_cells", split_cells(F.col("line"), ","))
+    main = data.where((F.col("pos") > F.col("_main.pos")) & (F.col("pos") < F.col("_total.pos"))).select(
         *[cell(F.get("_cells", F.lit(i)), f) for i, f in enumerate(schemas.PAYMENT_MAIN.fields) if f.name != "number"],
         "FILE_NAME",
     )
@@ -136,8 +134,8 @@ def read_payment_sections(spark: SparkSession, path: str | Sequence[str]) -> tup
         at = F.lit(width) if field.name == "report_id" else F.array_position("_names", field.name)
         return cell(F.when(at > 0, F.get("_cells", (at - 1).cast("int"))), field)
 
-    after = F.col("_coupon").isNotNull() & (F.col("pos") > F.col("_coupon"))
-    before = F.col("_end").isNull() | (F.col("pos") < F.col("_end"))
+    after = F.col("_coupon").isNotNull() & (F.col("pos") > F.col("_coupon.pos"))
+    before = F.col("_end").isNull() | (F.col("pos") < F.col("_end.pos"))
     coupon = data.where(after & before).select(
         *[coupon_cell(f) for f in schemas.PAYMENT_COUPON.fields], "FILE_NAME"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 from collections.abc import Callable, Sequence
 from functools import reduce
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -14,10 +15,8 @@ from pyspark.sql import types as T
 from ledgerloom.functions.text import null_token
 from ledgerloom.functions.dates import parse_ts
 from ledgerloom.operators.maintenance import quarantine
-from ledgerloom.storage import checkpoint_dir
-
-# Spark decodes this name right; its aliases map some vendor characters wrongly.
-JAPANESE = "windows-31j"
+from ledgerloom.sources.heads import decode, file_heads
+from ledgerloom.storage import checkpoint_dir, stored
 
 
 def allow_encoding(spark: SparkSession, encoding: str) -> None:
@@ -65,28 +64,19 @@ def _delimited(spark: SparkSession, sep: str, encoding: str, multi_line: bool, o
     return reader.option("multiLine", multi_line).option("escape", '"').options(**options)
 
 
-def _header_groups(spark: SparkSession, path: str | Sequence[str]) -> list[tuple[bytes, list[str]]]:
-    """(first line, files that begin with it); the driver gets file names, which it lists for any read anyway."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-        F.col("value").cast("binary").alias("line"),
-    ).where("block = 0")
-    heads = lines.groupBy("file").agg(F.min_by("line", "row").alias("line")).groupBy("line").agg(F.collect_list("file").alias("files"))
-    return sorted((bytes(r["line"]), sorted(unquote(f) for f in r["files"])) for r in heads.collect())
-
-
-def _decoded(head: bytes, encodings: Sequence[str], expect: str | None) -> tuple[str, str]:
-    """(header, its encoding): the first encoding that can decode it and, if asked, shows ``expect``."""
-    for encoding in encodings:
-        try:
-            text = head.decode("cp932" if encoding == JAPANESE else encoding).lstrip("\ufeff").rstrip("\r\n")
-        except UnicodeDecodeError:
-            continue
+def _header_groups(spark: SparkSession, path: str | Sequence[str], encodings: Sequence[str]) -> list[tuple[bytes, list[str], list[str]]]:
+    """(first line, encodings that fit, files) of the files that share both; the driver gets file names, which it lists for any read anyway."""
+    heads = file_heads(spark, path, encodings).groupBy("head", "encodings").agg(F.collect_list("file").alias("files"))
+    return sorted((bytes(r["head"]), r["encodings"], sorted(unquote(f) for f in r["files"])) for r in heads.collect())
+
+
+def _header(head: bytes, fitting: Sequence[str], expect: str | None) -> tuple[str, str]:
+    """(header, encoding): the first encoding that fits the file and, if asked, shows ``expect`` in its header."""
+    for encoding in fitting:
+        text = decode(head, encoding).lstrip("\ufeff")
         if expect is None or expect in text:
             return text, encoding
-    raise ValueError(f"no header in any of {list(encodings)}: {head[:80]!r}")
+    raise ValueError(f"no encoding fits a file that begins with {head[:80]!r}")
 
 
 def _names(cells: Sequence[str]) -> list[str]:
@@ -105,13 +95,13 @@ def read_headed_text(
     """Headed files with every column as text under its own header name; plus ``FILE_NAME``.
 
     Each file goes by its own header, so files may differ in columns and their order; a column that a file
-    lacks is NULL there.  Of several encodings a file gets the first that decodes its header and, if
-    ``expect`` is given, shows that name in it.
+    lacks is NULL there.  Of several encodings a file gets the first that fits its header and samples of its
+    body and, if ``expect`` is given, shows that name in the header.
     """
     encodings = [encoding] if isinstance(encoding, str) else list(encoding)
     parts = []
-    for head, files in _header_groups(spark, path):
-        text, own = _decoded(head, encodings, expect)
+    for head, fitting, files in _header_groups(spark, path, encodings):
+        text, own = _header(head, fitting, expect)
         names = _names(next(csv.reader([text], delimiter=sep), []))
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
         reader = _delimited(spark, sep, own, multi_line, {}).schema(schema)
@@ -143,15 +133,73 @@ def numbered_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     )
 
 
-def per_file(lines: DataFrame, derived: dict[str, Column] | None = None, **facts: Column) -> DataFrame:
-    """Attach aggregates of each file's lines to its lines (one small row per file).
+class Fact(NamedTuple):
+    """Something about a file that comes together from its blocks: an aggregate over lines, and one over the blocks' values."""
+
+    of_block: Column
+    merged: Callable[[Column], Column]
+
+
+def first_line(condition: Column) -> Fact:
+    """(pos, line) of the first line that meets the condition."""
+    return Fact(F.min(F.when(condition, F.struct("pos", "line"))), F.min)
+
 
-    ``derived`` columns are computed from the aggregates, once per file.
+def greatest(value: Column) -> Fact:
+    return Fact(F.max(value), F.max)
+
+
+def per_file(lines: DataFrame, facts: dict[str, Fact], derived: dict[str, Column] | None = None) -> DataFrame:
+    """Attach facts about each file to its lines, by block: a large file's lines stay spread over its blocks.
+
+    One row per block is stored; the files' facts come from these rows, go back to them, and only then meet
+    the lines, in one join on file and block.  ``derived`` columns are computed from the facts, once per file.
     """
-    summary = lines.groupBy(F.col("file_path").alias("_path")).agg(*[c.alias(n) for n, c in facts.items()])
+    block = F.col("pos.block")
+    blocks = lines.groupBy(F.col("file_path").alias("_path"), block.alias("_block")).agg(*[f.of_block.alias(n) for n, f in facts.items()])
+    blocks = stored(blocks, "blocks")
+    files = blocks.groupBy("_path").agg(*[f.merged(F.col(n)).alias(n) for n, f in facts.items()])
     for name, column in (derived or {}).items():
-        summary = summary.withColumn(name, column)
-    return lines.join(summary, F.col("file_path") == F.col("_path")).drop("_path")
+        files = files.withColumn(name, column)
+    known = blocks.select("_path", "_block").join(files, "_path")
+    return lines.join(known, (F.col("file_path") == F.col("_path")) & (block == F.col("_block"))).drop("_path", "_block")
+
+
+def _sections_of(marks: Column) -> dict[str, Column]:
+    """Bounds of two sections among marks (pos, total, line) in order: each starts behind a header and ends at a total.
+
+    ``main`` is the first header, ``total`` the first total, ``coupon`` the first header behind that, ``end`` the
+    first total behind that; ``other`` the first total behind the first header.
+    """
+    def first(total: bool, behind: Column | None = None) -> Column:
+        def wanted(mark: Column) -> Column:
+            kind = mark["total"] if total else ~mark["total"]
+            return kind if behind is None else kind & (mark["pos"] > behind["pos"])
+
+        return F.get(F.filter(marks, wanted), 0)
+
+    found = {"main": first(False), "total": first(True)}
+    found["coupon"] = first(False, found["total"])
+    return found | {"end": first(True, found["coupon"]), "other": first(True, found["main"])}
+
+
+def section_marks(is_header: Column, is_total: Column) -> Fact:
+    """The marks of a file that bound its two sections.
+
+    A block keeps at most five of its marks, whatever state the blocks before it leave the file in: its first
+    header and total, and what follows each.
+    """
+    mark = F.when(is_header | is_total, F.struct("pos", is_total.alias("total"), "line"))
+
+    def kept(marks: Column) -> Column:
+        return F.array_compact(F.array(*_sections_of(F.array_sort(marks)).values()))
+
+    return Fact(kept(F.collect_list(mark)), lambda column: F.array_sort(F.flatten(F.collect_list(column))))
+
+
+def sections(marks: str) -> dict[str, Column]:
+    """Bounds of the sections from the column of :func:`section_marks`."""
+    return {name: mark for name, mark in _sections_of(F.col(marks)).items() if name != "other"}
 
 
 _QUOTED_CELLS = r'(?:^|,)("(?:[^"]|"")*"|[^,"]*)'
@@ -170,10 +218,6 @@ def split_cells(line: Column, sep: str) -> Column:
     return F.transform(cells, unquote)
 
 
-def first_pos(condition: Column) -> Column:
-    return F.min(F.when(condition, F.col("pos")))
-
-
 def typed(column: Column, data_type: T.DataType, formats: Sequence[str] = ()) -> Column:
     """Read a text value as the declared type; NULL where that fails."""
     if isinstance(data_type, T.TimestampNTZType) and formats:
@@ -191,30 +235,26 @@ def read_preamble(
     sep: str = "\t",
     nulls: Sequence[str] = (),
     formats: Sequence[str] = (),
-    facts: dict[str, Column] | None = None,
+    facts: dict[str, Fact] | None = None,
 ) -> DataFrame:
     """Delimited files with a preamble of any length before the header line.
 
     The header is the first line that contains ``header_key``.  Columns are found by the
     header of each file, so optional columns may be missing and files may differ.  ``facts``
-    are extra aggregates over all lines of a file, kept as columns.
+    about each file are kept as columns.
     """
     wanted = [f.name for f in columns.fields]
     lines = numbered_lines(spark, path)
-    is_header = F.contains(F.col("line"), F.lit(header_key))
-    header = F.min_by(F.when(is_header, F.col("line")), F.when(is_header, F.col("pos")))
+    header = first_line(F.contains(F.col("line"), F.lit(header_key)))
 
     def clean_header(name: Column) -> Column:
         return F.replace(F.lower(F.trim(F.replace(name, F.lit(","), F.lit("")))), F.lit("-"), F.lit("_"))
 
-    names = F.transform(split_cells(F.col("_header"), sep), clean_header)
+    names = F.transform(split_cells(F.col("_header.line"), sep), clean_header)
     places = F.struct(*[F.array_position("_names", n).alias(n) for n in wanted])
     rows = (
-        per_file(
-            lines, {"_names": names, "_places": places},
-            _header_pos=first_pos(is_header), _header=header, **(facts or {}),
-        )
-        .where((F.col("pos") > F.col("_header_pos")) & (F.trim("line") != ""))
+        per_file(lines, {"_header": header, **(facts or {})}, {"_names": names, "_places": places})
+        .where((F.col("pos") > F.col("_header.pos")) & (F.trim("line") != ""))
         .withColumn("_cells", split_cells(F.col("line"), sep))
     )
 

@@ -1,12 +1,14 @@
 """Readers on small hand-written files."""
 
 import datetime as dt
+import random
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import schemas
-from ledgerloom.sources import feeds, files
+from ledgerloom.sources import feeds, files, heads
 from ledgerloom.sources.rakuten_headers import ORDER_HEADERS
 
 
@@ -150,3 +152,119 @@ def test_quoted_breaks_and_unreadable_values(spark, tmp_path):
     quoted = write(tmp_path / "q.txt", 'amazon-order-id\tproduct-name\nA\t"two\nlines ""x"""\nB\tp\n')
     got = feeds.read_marketplace_tsv(spark, quoted, kind="oc", encoding="UTF-8", multi_line=True).collect()
     assert sorted((r.amazon_order_id, r.product_name) for r in got) == [("A", 'two\nlines "x"'), ("B", "p")]
+
+
+# ---------------------------------------------------------------- blocks and heads
+
+
+@pytest.fixture
+def small_blocks(spark):
+    """Files are cut into blocks of 200 bytes."""
+    keys = {"spark.sql.files.maxPartitionBytes": "200b", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def plain_sections(lines):
+    """Rows between the first header and the first total, and between the next header and the next total."""
+    lead = [x.split(",")[0] for x in lines]
+    at = lambda word, start: next((i for i in range(start, len(lead)) if lead[i] == word), None)
+    main, total = at(schemas.SECTION_HEADER, 0), at(schemas.SECTION_TOTAL, 0)
+    coupon = None if total is None else at(schemas.SECTION_HEADER, total + 1)
+    end = None if coupon is None else at(schemas.SECTION_TOTAL, coupon + 1)
+    first = lines[main + 1 : total] if main is not None and total is not None else []
+    return first, [] if coupon is None else lines[coupon + 1 : end]
+
+
+def test_sections_over_many_blocks(spark, tmp_path, small_blocks):
+    """Files whose headers and totals stand anywhere, often blocks apart, or are missing."""
+    draw = random.Random(2)
+    want = {}
+    for number in range(12):
+        kinds = [schemas.SECTION_HEADER] * draw.randrange(4) + [schemas.SECTION_TOTAL] * draw.randrange(4) + ["row"] * draw.randrange(1, 60)
+        draw.shuffle(kinds)
+        lines = [f"{k},{number}-{i},{'x' * draw.randrange(30)}" for i, k in enumerate(kinds)]
+        write(tmp_path / f"f{number}.csv", "\n".join(lines) + "\n")
+        want[f"f{number}.csv"] = plain_sections(lines)
+    lines = files.numbered_lines(spark, str(tmp_path))
+    assert lines.select("pos.block").distinct().count() > 5
+    lead = F.split_part("line", F.lit(","), F.lit(1))
+    marks = files.section_marks(lead == schemas.SECTION_HEADER, lead == schemas.SECTION_TOTAL)
+    rows = files.per_file(lines, {"_marks": marks}, files.sections("_marks")).orderBy("FILE_NAME", "pos").collect()
+    for name, (first, second) in want.items():
+        own = [r for r in rows if r["FILE_NAME"] == name]
+        assert [r["line"] for r in own if r["main"] and r["total"] and r["main"]["pos"] < r["pos"] < r["total"]["pos"]] == first
+        assert [r["line"] for r in own if r["coupon"] and r["coupon"]["pos"] < r["pos"] and (r["end"] is None or r["pos"] < r["end"]["pos"])] == second
+
+
+def test_a_preamble_in_another_block_than_its_rows(spark, tmp_path, small_blocks):
+    head = "settlement-id\tdeposit-date\ttransaction-type\tamount"
+    text = "".join(f"about {i}\n" for i in range(40)) + head + "\n" + "".join(f"{i}\t01.02.2024 10:00:00 UTC\tOrder\t{i}.5\n" for i in range(300))
+    write(tmp_path / "a.txt", text)
+    rows = feeds.read_preamble_tsv(spark, str(tmp_path)).select("settlement_id", "amount").collect()
+    assert sorted(map(tuple, rows)) == [(float(i), i + 0.5) for i in range(300)]
+
+
+@pytest.mark.parametrize("reader", [feeds.read_preamble_tsv, feeds.read_settlement_txt, lambda s, p: feeds.read_payment_sections(s, p)[0], lambda s, p: feeds.read_payment_sections(s, p)[1]])
+def test_lines_meet_their_file_in_one_join_by_block(spark, tmp_path, reader):
+    write(tmp_path / "a.csv", "settlement-id\tTransactionPostedDate\n1\t2\n")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = reader(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    joins = [line for line in plan.split("\n") if "Join" in line]
+    assert plan.count("Scan ExistingRDD") == 1 and len(joins) == 2  # the lines are read once; the other join is among block rows
+    assert sum("_block" in line and "pos" in line for line in joins) == 1 and "Window" not in plan
+
+
+class Counted:
+    """A file that counts the bytes read from it."""
+
+    def __init__(self, source):
+        self.source, self.read_bytes = source, 0
+
+    def seek(self, *at):
+        return self.source.seek(*at)
+
+    def read(self, n):
+        found = self.source.read(n)
+        self.read_bytes += len(found)
+        return found
+
+
+def test_few_bytes_of_a_large_file_are_read(tmp_path):
+    path = tmp_path / "large.tsv"
+    path.write_bytes(b"head\tline\r\n" + b"0123456789\tabcdefghij\n" * 1_000_000)
+    with open(path, "rb") as source:
+        counted = Counted(source)
+        assert heads.first_line(counted) == b"head\tline"
+        parts = heads.samples(counted, path.stat().st_size)
+    assert len(parts) == heads.SLICES and counted.read_bytes <= (heads.SLICES + 1) * heads.SLICE_BYTES
+    assert all(line == b"0123456789\tabcdefghij" for part in parts[1:] for line in part.split(b"\n") if line)
+
+
+def test_heads_of_files(spark, tmp_path):
+    (tmp_path / "empty file.csv").write_bytes(b"")
+    (tmp_path / "注文 100%.csv").write_bytes("a,b\r\nあ,い\r\n".encode("cp932"))
+    (tmp_path / "plain.csv").write_bytes(b"a,b")
+    (tmp_path / "wide.csv").write_bytes(b"x" * 100_000 + "\n日本\n".encode())
+    found = {unquote(r["file"]).rsplit("/", 1)[1]: (bytes(r["head"]), r["encodings"]) for r in heads.file_heads(spark, str(tmp_path), (heads.JAPANESE, "UTF-8")).collect()}
+    both = [heads.JAPANESE, "UTF-8"]
+    assert found["empty file.csv"] == (b"", both) and found["plain.csv"] == (b"a,b", both)
+    assert found["注文 100%.csv"] == (b"a,b", [heads.JAPANESE])
+    assert found["wide.csv"][0] == b"x" * 100_000 and found["wide.csv"][1][0] == "UTF-8"
+
+
+@pytest.mark.parametrize("encoding", ["cp932", "utf-8"])
+def test_the_body_decides_the_encoding(spark, tmp_path, encoding):
+    """The header is plain, and so are the first ten thousand rows."""
+    body = "".join(f"{i}\tplain\n" for i in range(10_000)) + "".join(f"{i}\t健康サプリ\n" for i in range(10_000, 30_000))
+    write(tmp_path / "oc.txt", "amazon-order-id\tproduct-name\n" + body, encoding)
+    rows = feeds.read_marketplace_tsv(spark, str(tmp_path))
+    assert {(r[0], r[1]) for r in rows.groupBy("product_name").count().collect()} == {("plain", 10_000), ("健康サプリ", 20_000)}
