@@ -27,6 +27,10 @@ BLOCK_BYTES = 4 << 20
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a URI of Spark's, by the name that Arrow has for its scheme."""
+    for spark_scheme in ("s3a:", "s3n:"):
+        if uri.startswith(spark_scheme):
+            uri = "s3:" + uri[len(spark_scheme) :]
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:") :]
     return fs.FileSystem.from_uri(uri)
@@ -58,9 +62,12 @@ def write_flat(docs: DataFrame, folder: str, tokenizer: str, end_id: int, dtype:
                     ["doc_id", "part", "row"],
                 )
                 row += n
-        words.words.clear()
         files.move(name, f"{base}/part-{part:06d}.ids")
 
+    # A frame that Spark plans without any partition runs no task, so the driver makes the folder.
+    context = docs.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).mkdirs(path)
     return stored(id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, part int, row long"), "flat-rows")
 
 

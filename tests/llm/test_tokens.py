@@ -1,5 +1,6 @@
 """Operators 1, 3 and 5 against their libraries."""
 
+import random
 import struct
 import zlib
 
@@ -9,7 +10,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from ledgerloom.llm import piece_codec, separator_scan, token_table
+from ledgerloom.llm import piece_codec, separator_scan, token_table, word_tokens
 from ledgerloom.llm import queries as llm_queries
 from ledgerloom.llm.common import WordCache, table
 from ledgerloom.storage import new_folder
@@ -146,3 +147,26 @@ def test_a_literal_end_of_text_is_no_separator(spark, tmp_path):
     assert _sorted((r["doc_id"], r["n_tokens"]) for r in found) == want
     with pytest.raises(Exception, match="gives the end id 49407 itself"):
         separator_scan.counts(rows, new_folder(spark, "flat"), WORDS, 49407)
+
+
+def test_flat_files_of_empty_tables(spark, documents, tmp_path):
+    """A frame that Spark plans without a partition, and a table without rows."""
+    assert separator_scan.counts(documents.where("false"), new_folder(spark, "flat"), WORDS, 49408).count() == 0
+    assert separator_scan.counts(empty(spark), new_folder(spark, "flat"), WORDS, 49408).count() == 0
+    documents.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert llm_queries.all_queries()["op1_separator_scan"](spark, str(tmp_path)).collect() == []
+
+
+def test_names_of_file_systems():
+    assert separator_scan._open("file:/tmp/a")[1] == "/tmp/a" == separator_scan._open("file:///tmp/a")[1]
+
+
+def test_new_words_equal_the_library():
+    """Words of many scripts, in both cases, with letters that have odd lower cases."""
+    draw, tokenizer = random.Random(6), Tokenizer.from_file(WORDS)
+    letters = [c for c in map(chr, range(0x500)) if c.isalpha()]
+    words = ["".join(draw.choices(part, k=draw.randrange(1, 12))) for part in (letters[:52], letters[:200], letters[:400], letters) for _ in range(3000)]
+    words += ["\u0130", "a\u0130b", "\u00aa", "\u00df", "STRASSE", "\u03a3\u03a3", "\u0149", "\u01c5"]
+    encoder = word_tokens.WordTokens(WORDS, "<i4")
+    for word, packed in zip(words, encoder._encode(words)):
+        assert np.frombuffer(packed, "<i4").tolist() == tokenizer.encode(word, add_special_tokens=False).ids, word
