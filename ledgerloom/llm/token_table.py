@@ -30,7 +30,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, start = encoder(tokenizer, "<i4"), TaskContext.get().partitionId(), 0
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 2 << 20):
             packed = words.encode(texts_of(batch), end_id)
             counts = [len(p) // 4 for p in packed]
             starts = []
@@ -42,7 +42,6 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_i
                  pa.array(counts, pa.int64()), list_array(packed)],
                 ["doc_id", "part", "part_start", "n_tokens", "ids"],
             )
-        words.words.clear()
 
     return in_order(docs, id_col, text_col).mapInArrow(run, SCHEMA)
 

@@ -1,4 +1,4 @@
-"""Token ids of texts through the tokenizers library, each new word encoded once per task while it is kept."""
+"""Token ids of texts through the tokenizers library, each new word encoded once per worker while it is kept."""
 
 from __future__ import annotations
 
@@ -43,7 +43,7 @@ class WordTokens:
         self.ends = np.zeros(max(known.values()) + 1, dtype=bool)
         for word, i in known.items():
             self.ends[i] = word.endswith("</w>")
-        self.words = WordCache(self._encode, 1_000_000)
+        self.words = WordCache(self._encode, 600_000)  # kept from task to task, as most words of a task stand in others too
 
     def _alone(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, self.dtype).tobytes()
