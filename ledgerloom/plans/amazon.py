@@ -56,15 +56,18 @@ def _text_id() -> Column:
     return F.round("settlement_id").cast("bigint").cast("string")
 
 
-def _core(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, as_of: date) -> DataFrame:
-    """Report lines with the deposit date; several deposit dates of a settlement repeat its lines."""
+def _core(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, as_of: date, dated: DataFrame | None = None) -> DataFrame:
+    """Report lines with the deposit date; several deposit dates of a settlement repeat its lines.
+
+    ``dated``: the rows that give the deposit dates, where ``tv`` comes from a join that need not run twice.
+    """
     keys = ["settlement_id", "main_time", "account", "tax_distiction", "remarks", "item", "DATE_TYPE", "sku",
             "order_id", "posted_date_time", "total_purchased"]
     lines = report_agg(classified_lines(tv, oc, nomenclature), keys, "total_amount").withColumn(
         "settlement_id", F.col("settlement_id").cast("string")
     )
     deposits = (
-        tv.where(F.col("deposit_date").isNotNull())
+        (tv if dated is None else dated).where(F.col("deposit_date").isNotNull())
         .select(F.col("settlement_id").alias("sett"), F.col("deposit_date").alias("deposit_full_date"))
         .distinct()
     )
@@ -95,7 +98,7 @@ def amazon_report(
     The settlement is part of every key that follows, so booked ones drop out at the scan.
     """
     fresh = not_booked(tv.withColumn("_sett", _text_id()), ledger, "_sett", "settlement_id").drop("_sett")
-    return _core(fresh, oc, nomenclature, as_of)
+    return _core(fresh, oc, nomenclature, as_of, dated=tv)
 
 
 def amazon_report_latest(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, k: int = 5, *, as_of: date) -> DataFrame:
