@@ -1,12 +1,16 @@
 """Licence notices by conditional compression (operator 6).
 
-A notice may differ from its template in a tenth of the template's words.  A template is cut into one
-piece more than the words that may differ, so at least one piece stands unchanged in every notice.
-These pieces are looked up in the words of the whole text, and around each hit the wording is compared
-word by word, whatever the line breaks.  That comparison alone decides.
+Candidate blocks: a notice may differ from its template in a tenth of the template's words.  A template
+is cut into one piece more than the words that may differ, so at least one piece stands unchanged in
+every notice.  The stretches of text around such pieces, whichever template they come from, are the blocks.
 
-Each confirmed wording is compressed plainly and with its template as a raw dictionary; what the
-dictionary saves ranks templates that fit the same words equally well.
+Ranking: a block is cut into overlapping windows twice as long as a notice, and each window is compressed
+plainly and with every template as a raw zstandard dictionary.  The bytes that a dictionary saves, as a
+share of what it saves on its own template, rank the templates.  Blocks and templates are compressed as
+lower-case words with single spaces, so line breaks, case and marks don't count, and with literals as they
+are (negative level), so the bytes saved are the bytes that stand in the template.
+
+Confirmation: the templates above ``LEAST_SAVED`` are compared word by word, best first.
 """
 
 from __future__ import annotations
@@ -25,6 +29,10 @@ from ledgerloom.llm.common import append, id_and_text
 from ledgerloom.llm.license_templates import TEMPLATES
 
 MAX_CHANGED = 0.1  # share of the template's words that may differ
+# Notices with as many changed words as may be, anywhere, save 0.6 at least (a test holds random ones above
+# 0.5); prose mostly stays below 0.4, and what passes is refused by its wording.
+LEAST_SAVED = 0.4
+_LEVEL = -1  # negative levels leave literals uncompressed
 _WORD = re.compile(r"[^\W_]+(?:\.\d+)*")
 
 FOUND = "array<struct<first_line:int,last_line:int,license:string,saved:double,n_differences:int,differences:string,first_word:int,last_word:int>>"
@@ -45,14 +53,21 @@ def places_of(text: str) -> tuple[list[str], list[tuple[int, int]]]:
     return [m.group() for m in found], spans
 
 
+def exact(words: list[str], text: list[str]) -> tuple[int, int, int, str] | None:
+    """What ``align`` gives for the first place where the words stand unchanged; None without such a place."""
+    for at in range(len(text) - len(words) + 1):
+        if text[at] == words[0] and text[at : at + len(words)] == words:
+            return at, at + len(words), 0, ""
+    return None
+
+
 def align(words: list[str], text: list[str], most: int) -> tuple[int, int, int, str] | None:
     """(first, behind the last, differences, both in writing) of the part of ``text`` nearest to ``words``.
 
     Differences are words replaced, missing or too many; words around the part don't count.  None where
     there are more than ``most`` of them everywhere.
     """
-    if (n := len(words)) == len(text) and words == text:
-        return 0, n, 0, ""
+    n = len(words)
     rows = [[0] * (len(text) + 1)]
     for i, word in enumerate(words, 1):
         above, row = rows[-1], [i]
@@ -93,7 +108,8 @@ def align(words: list[str], text: list[str], most: int) -> tuple[int, int, int,
 
 
 class Match(NamedTuple):
-    """A template confirmed at the words ``start`` to ``end`` (behind the last); ``fit`` of its words stand there."""
+    """A template confirmed at the words ``start`` to ``end`` (behind the last); ``fit`` of its words stand there,
+    ``saved`` is what it saved on the window they were found in."""
 
     start: int
     end: int
@@ -107,51 +123,104 @@ class Match(NamedTuple):
         return -self.fit, self.n, -self.saved, self.license, self.start
 
 
+class Template(NamedTuple):
+    license: str
+    words: list[str]
+    most: int  # words that may differ
+    compressor: zstandard.ZstdCompressor  # with the template as dictionary
+    own: int  # bytes that the dictionary saves on the template itself
+
+
+def block_of(words: list[str]) -> bytes:
+    """Words as they are compressed."""
+    return " ".join(words).encode("utf-8", "surrogatepass")
+
+
 class Templates:
     """Compressors with each template as dictionary, the templates' words and the pieces of them."""
 
     def __init__(self, templates: dict[str, list[str]] = TEMPLATES):
-        self.plain = zstandard.ZstdCompressor(level=3, write_content_size=False)
-        self.known = []
+        self.plain = zstandard.ZstdCompressor(level=_LEVEL, write_content_size=False)
+        self.known: list[Template] = []
         self.pieces: dict[str, list[tuple[list[str], int, int]]] = defaultdict(list)  # by first word: words, template, place in it
         for name, texts in templates.items():
             for text in texts:
-                content = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 words = words_of(text)
+                content = block_of(words)
+                dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                compressor = zstandard.ZstdCompressor(level=_LEVEL, dict_data=dictionary, write_content_size=False)
                 most = int(MAX_CHANGED * len(words))
                 cuts = [len(words) * k // (most + 1) for k in range(most + 2)]
                 for a, b in zip(cuts, cuts[1:]):
                     self.pieces[words[a]].append((words[a:b], len(self.known), a))
-                self.known.append((name, words, most, zstandard.ZstdCompressor(level=3, dict_data=content, write_content_size=False)))
+                own = len(self.plain.compress(content)) - len(compressor.compress(content))
+                self.known.append(Template(name, words, most, compressor, own))
 
-    def matches(self, text: str) -> Iterator[tuple[Match, list[tuple[int, int]]]]:
-        """Every template at every place where its wording is confirmed, and where the text's words stand."""
-        words = words_of(text)
-        if self.pieces.keys().isdisjoint(words):
-            return
-        hits: dict[tuple[int, int], None] = {}  # (template, place of its first word), each once
+    def blocks(self, words: list[str]) -> list[tuple[int, int]]:
+        """Stretches of the text, apart from each other, that hold all its notices whole."""
+        reach = []
         for at, word in enumerate(words):
             for piece, which, a in self.pieces.get(word, ()):
                 if words[at : at + len(piece)] == piece:
-                    hits[which, at - a] = None
-        if not hits:
-            return
-        _, spans = places_of(text)
-        seen = set()
-        for which, at in hits:
-            name, known, most, compressor = self.known[which]
-            if words[max(at, 0) : max(at, 0) + len(known)] == known:
-                low, found = max(at, 0), (0, len(known), 0, "")
+                    t = self.known[which]
+                    reach.append((max(at - a - t.most, 0), min(at - a + len(t.words) + t.most, len(words))))
+        joined: list[tuple[int, int]] = []
+        for low, high in sorted(reach):
+            if joined and low <= joined[-1][1]:
+                joined[-1] = joined[-1][0], max(joined[-1][1], high)
             else:
-                low = max(at - most, 0)
-                found = align(known, words[low : at + len(known) + most], most)
-            if not found or (which, low + found[0], low + found[1]) in seen:
+                joined.append((low, high))
+        return joined
+
+    def saved(self, words: list[str], low: int, high: int, sizes: dict[tuple[int, int], int]) -> Callable[[Template], float]:
+        """What a template saves on these words, as a share of what it saves on itself; ``sizes`` keeps plain sizes."""
+        content = block_of(words[low:high])
+        if (low, high) not in sizes:
+            sizes[low, high] = len(self.plain.compress(content))
+        return lambda t: (sizes[low, high] - len(t.compressor.compress(content))) / t.own
+
+    def ranked(self, words: list[str], low: int, high: int, sizes: dict[tuple[int, int], int]) -> list[tuple[float, int, int, int]]:
+        """(saved, template, first word, behind the last) of a block's windows, the best first, down to ``LEAST_SAVED``."""
+        found = []
+        for which, t in enumerate(self.known):
+            if high - low < len(t.words) - t.most:
+                continue
+            step = len(t.words) + t.most  # of two windows' overlap, so that each notice lies whole in one
+            for start in range(low, max(high - step, low + 1), step):
+                end = min(start + 2 * step, high)
+                share = self.saved(words, start, end, sizes)(t)
+                if share >= LEAST_SAVED:
+                    found.append((share, which, start, end))
+        return sorted(found, key=lambda f: (-f[0], *f[1:]))
+
+    def confirmed(self, words: list[str], which: int, share: float, low: int, high: int, sizes: dict[tuple[int, int], int]) -> Iterator[Match]:
+        """The places within a window where the template's wording stands, apart from each other."""
+        t = self.known[which]
+        open_parts = [(share, low, high)]
+        while open_parts:
+            share, low, high = open_parts.pop()
+            found = exact(t.words, words[low:high]) or align(t.words, words[low:high], t.most)
+            if not found:
                 continue
             start, end, n, written = low + found[0], low + found[1], *found[2:]
-            seen.add((which, start, end))
-            raw = text[spans[start][0] : spans[end - 1][1]].encode("utf-8", "surrogatepass")
-            saved = 1 - len(compressor.compress(raw)) / len(self.plain.compress(raw))
-            yield Match(start, end, len(known) - n, saved, name, n, written), spans
+            yield Match(start, end, len(t.words) - n, share, t.license, n, written)
+            for a, b in ((low, start), (end, high)):
+                if b - a >= len(t.words) - t.most:
+                    rest = self.saved(words, a, b, sizes)(t)
+                    if rest >= LEAST_SAVED:
+                        open_parts.append((rest, a, b))
+
+    def matches(self, words: list[str]) -> list[tuple[int, Match]]:
+        """Each template at the places where its wording is confirmed."""
+        if self.pieces.keys().isdisjoint(words):
+            return []
+        found = {}
+        for low, high in self.blocks(words):
+            sizes: dict[tuple[int, int], int] = {}
+            for share, which, start, end in self.ranked(words, low, high, sizes):
+                for m in self.confirmed(words, which, share, start, end, sizes):
+                    found.setdefault((which, m.start, m.end), m)  # overlapping windows give a place twice
+        return [(which, m) for (which, _, _), m in found.items()]
 
     def find(self, text: str | None) -> list[dict]:
         """Confirmed notices of a text, in order.
@@ -160,18 +229,19 @@ class Templates:
         a better match of the same licence; all others are given, on shared lines too.
         """
         text = text or ""
-        found = list(self.matches(text))
+        found = [m for _, m in self.matches(words_of(text))]
         if not found:
             return []
         breaks = [m.start() for m in re.finditer("\n", text)]
         line = lambda place: bisect_right(breaks, place)
         given: dict[int, list[Match]] = defaultdict(list)  # by word
-        for match, _ in sorted(found, key=lambda f: f[0].rank()):
+        for match in sorted(found, key=Match.rank):
             if any(g.end >= match.end for g in given[match.start]) or any(g.license == match.license for i in range(match.start, match.end) for g in given[i]):
                 continue
             for i in range(match.start, match.end):
                 given[i].append(match)
-        spans, kept = found[0][1], sorted({g for here in given.values() for g in here})
+        _, spans = places_of(text)
+        kept = sorted({g for here in given.values() for g in here})
         return [
             {
                 "first_line": line(spans[m.start][0]),
@@ -195,7 +265,8 @@ def _finder() -> Callable[[list], list]:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per notice: (doc_id, first_line, last_line, license, saved, n_differences, differences, first_word, last_word).
 
-    Lines and words of the text count from 0; a text has as many rows as notices stand in it.  Null and
+    Lines and words of the text count from 0; ``saved`` is the share of its own saving that the template reached
+    on the window (above 1 where the notice stands twice).  A text has as many rows as notices stand in it.  Null and
     empty texts have none; repeated rows give repeated notices.
     """
     found = append(id_and_text(docs, id_col, text_col), "text", f"found {FOUND}", _finder)

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import xxhash
 
 SMALL = "/root/testdata/sf0.001"
@@ -135,3 +136,13 @@ def boilerplate_removed(rows: list[tuple], min_sites: int) -> list[tuple]:
 
 def xxhash_free(text: str) -> str:
     return text
+
+
+def nearest(words: list[str], text: np.ndarray, codes: dict[str, int]) -> np.ndarray:
+    """Edit distance in words from ``words`` to the best part of the text that ends at each place."""
+    place = np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, dtype=np.int64)
+    for i, word in enumerate(words, 1):
+        step = np.minimum(row[:-1] + (text != codes.get(word, -1)), row[1:] + 1)
+        row = np.minimum.accumulate(np.concatenate(([i], step)) - place) + place
+    return row[1:]
