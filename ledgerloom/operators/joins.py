@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import epoch_second
 from ledgerloom.functions.rules import MISSING_RULE
-from ledgerloom.operators.windows import global_row_number
+from ledgerloom.operators.windows import numbered_sides
 
 
 def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -142,8 +142,7 @@ def positional_join(
     ``verify`` is ``WRONG_UNION`` where the ``check`` columns differ and NULL otherwise (also
     when one is NULL).  The orders must be total: add a tie-break column.
     """
-    numbered_left = global_row_number(left, left_order, "_ln")
-    numbered_right = global_row_number(right, right_order, "_rn")
+    numbered_left, numbered_right = numbered_sides(left, right, left_order, right_order)
     joined = numbered_left.join(numbered_right, F.col("_ln") == F.col("_rn"), "left")
     wrong = F.when(F.col(check[0]) != F.col(check[1]), F.lit("WRONG_UNION"))
     return joined.withColumn("verify", wrong).drop("_ln", "_rn")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.storage import checkpoint_dir
+from ledgerloom.storage import checkpoint_dir, stored
 
 _POSITION_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -56,6 +56,38 @@ def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_numb
     )
 
 
+def numbered_sides(
+    left: DataFrame, right: DataFrame, left_order: Sequence[str], right_order: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Both frames with the 1-based position of each row in its own order, as ``_ln`` and ``_rn``.
+
+    The two share one range partitioning, tagged by side: the left rows come first, so a right row's
+    position is its place in the whole less the number of left rows.  Eager: writes one table, in which
+    each side is a struct, so that a later stage reads the columns of one side only.
+    """
+    tagged = left.select(F.lit(0).alias("_side"), F.struct(*_quoted(left.columns)).alias("_l")).unionByName(
+        right.select(F.lit(1).alias("_side"), F.struct(*_quoted(right.columns)).alias("_r")), allowMissingColumns=True
+    )
+    order = [F.col("_side"), *[F.col("_l")[c] for c in left_order], *[F.col("_r")[c] for c in right_order]]
+    slot = F.monotonically_increasing_id()
+    rows = stored(tagged.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_slot", slot), "sides")
+    rows = rows.withColumn("_part", F.shiftright("_slot", _POSITION_BITS))
+    place = F.col("_slot").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)) + F.lit(1)
+    offsets = _before(rows.groupBy("_part").agg(F.count("*").alias("_n")), ["_n"])
+    lefts = rows.where(F.col("_side") == 0).agg(F.count("*")).scalar()
+
+    def side(tag: int, struct: str, columns: Sequence[str], name: str) -> DataFrame:
+        number = F.col("_n_before") + place - (lefts if tag else F.lit(0))
+        own = rows.where(F.col("_side") == tag).join(offsets, F.col("_part") == F.col("_at"))
+        return own.select(*[F.col(struct)[c].alias(c) for c in columns], number.alias(name))
+
+    return side(0, "_l", left.columns, "_ln"), side(1, "_r", right.columns, "_rn")
+
+
+def _quoted(names: Sequence[str]) -> list[Column]:
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def running_sum(df: DataFrame, order_col: str, value_col: str, name: str = "running_sum") -> DataFrame:
     """Running total in ``order_col`` order; rows with equal order values share one total.
 

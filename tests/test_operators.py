@@ -84,6 +84,36 @@ def test_positional_join_marks_wrong_mail(frame):
         ("c1", "o1", None), ("c2", "o2", "WRONG_UNION"), ("c3", "o3", None), ("c4", None, None)]
 
 
+def test_positional_join_over_many_partitions(frame):
+    random.seed(4)
+    lefts = [(f"c{i}", random.randint(0, 40), i) for i in range(700)]  # ties, told apart by the second key
+    rights = [(f"o{i}", float(random.randint(0, 9)), f"n{i:04}") for i in range(500)]
+    left = frame(lefts, "charge string, at int, tie int").repartition(7)
+    right = frame(rights, "name string, at double, tie string").repartition(5)
+    got = joins.positional_join(left, right.withColumnsRenamed({"at": "placed", "tie": "last"}), ["at", "tie"], ["placed", "last"], ("charge", "name"))
+    by_left, by_right = sorted(lefts, key=lambda r: r[1:]), sorted(rights, key=lambda r: r[1:])
+    assert sorted((r.charge, r.name) for r in got.collect()) == sorted(
+        (c[0], by_right[i][0] if i < len(by_right) else None) for i, c in enumerate(by_left))
+
+
+@pytest.mark.parametrize("n_left, n_right", [(0, 3), (3, 0), (0, 0), (2, 5)])
+def test_positional_join_with_an_empty_side(frame, n_left, n_right):
+    left = frame([(i,) for i in range(n_left)], "a int")
+    right = frame([(i * 10,) for i in range(n_right)], "b int")
+    got = joins.positional_join(left, right, ["a"], ["b"], ("a", "a"))
+    assert sorted((r.a, r.b) for r in got.collect()) == [(i, i * 10 if n_right else None) for i in range(n_left)]
+
+
+def test_positional_join_partitions_both_sides_at_once(frame, monkeypatch):
+    plans = []
+    keep = windows.stored
+    monkeypatch.setattr(windows, "stored", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or keep(df, name))
+    left, right = frame([(1,)], "a int"), frame([(2,)], "b int")
+    joined = joins.positional_join(left, right, ["a"], ["b"], ("a", "b"))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plans) == 1 and plans[0].count("RepartitionByExpression") == 1
+    assert "RepartitionByExpression" not in joined
+
+
 def test_join_distinct_fans_out_on_different_rows(frame):
     left = frame([("p",)], "k string")
     dim = frame([("p", 1), ("p", 1), ("p", 2)], "k2 string, v int")
