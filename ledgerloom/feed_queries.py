@@ -5,6 +5,8 @@ Each writes a canonical table out the way the outside system delivers it and rea
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from ledgerloom.sources import feeds
 from ledgerloom.sources.files import read_json_pages
 from ledgerloom.streaming import jobs
 from ledgerloom.streaming.keyed_table import KeyedTable
+from ledgerloom.streaming.range_table import RangeTable
 
 LOADED_AT = "2023-01-01 00:00:00"
 
@@ -133,6 +136,26 @@ def stream_replace_by_key(c: Catalog) -> DataFrame:
     return KeyedTable(c.spark, target, "id").read()
 
 
+@query
+def trim_recent_stored(c: Catalog) -> DataFrame:
+    """Orders stored in ranges of their number; the tail that will be loaded again goes."""
+    table = RangeTable(c.spark, landing.new_folder(c, "orders"), "order_number", width=10_000)
+    table.replace(c.orders_master.select("id", "order_number", "created_at", "lineitem_sku"), 0)
+    table.trim_recent(1, 1500, date(2001, 8, 1))
+    return table.read()
+
+
+@query
+def trim_from_first_pending_stored(c: Catalog) -> DataFrame:
+    """Payouts stored in ranges of their id, down to the first open one, and loaded again up to their end."""
+    rows = c.shopify_payouts.select("id", "payout_status", "amount")
+    table = RangeTable(c.spark, landing.new_folder(c, "payouts"), "id", width=1_000_000)
+    for number in (0, 2):
+        table.replace(rows, number)
+        table.trim_from_first_pending(number + 1)
+    return table.read()
+
+
 @query
 def stream_distinct_records(c: Catalog) -> DataFrame:
     """A job stops and starts again; the second run gets the last two weeks once more, each record twice, and what is new."""

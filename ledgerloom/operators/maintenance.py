@@ -93,23 +93,31 @@ def replace_by_key(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(batch)
 
 
+def last_settled(target: DataFrame, days: int, as_of: date, number: str = "order_number", created: str = "created_at") -> DataFrame:
+    """One row: the greatest number created more than ``days`` ago, NULL if no row is that old."""
+    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"interval '{days}' day")
+    return target.where(F.col(created) < cutoff).agg(F.max(F.col(number).try_cast("bigint")))
+
+
+def first_open(target: DataFrame, key: str = "id", status: str = "payout_status") -> DataFrame:
+    """One row: the smallest open payout id, NULL if all are closed."""
+    return target.where(F.col(status).isin(*OPEN_PAYOUT_STATES)).agg(F.min(F.col(key).try_cast("bigint")))
+
+
 def trim_recent(target: DataFrame, days: int, as_of: date, number: str = "order_number",
                 created: str = "created_at") -> DataFrame:
     """Drop rows numbered above the greatest number created more than ``days`` ago.
 
     Rows without a number stay; so does everything if no row is that old.
     """
-    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.expr(f"interval '{days}' day")
-    settled = target.where(F.col(created) < cutoff).agg(F.max(F.col(number).try_cast("bigint"))).scalar()
+    settled = last_settled(target, days, as_of, number, created).scalar()
     return target.where(~F.coalesce(F.col(number).try_cast("bigint") > settled, F.lit(False)))
 
 
 def trim_from_first_pending(target: DataFrame, key: str = "id", status: str = "payout_status") -> DataFrame:
     """Drop every row from the smallest open payout id on."""
-    first_open = target.where(F.col(status).isin(*OPEN_PAYOUT_STATES)).agg(
-        F.min(F.col(key).try_cast("bigint"))
-    ).scalar()
-    return target.where(~F.coalesce(F.col(key).try_cast("bigint") >= first_open, F.lit(False)))
+    opened = first_open(target, key, status).scalar()
+    return target.where(~F.coalesce(F.col(key).try_cast("bigint") >= opened, F.lit(False)))
 
 
 def high_water_mark(target: DataFrame, order_col: str, return_col: str, default: str | None = None) -> DataFrame:

@@ -594,6 +594,8 @@ SELECT id, order_number, created_at, lineitem_sku FROM {orders_master} WHERE cas
 QUERIES["trim_from_first_pending"] = """
 SELECT id, payout_status, amount FROM {shopify_payouts} WHERE cast(id as bigint) < (SELECT min(cast(id as bigint)) FROM {shopify_payouts} WHERE payout_status IN ('pending','in_transit'))
 """
+for _name in ("trim_recent", "trim_from_first_pending"):
+    QUERIES[f"{_name}_stored"] = QUERIES[_name]
 QUERIES["new_files_only"] = """
 SELECT l_orderkey, l_linenumber, 'TV_' || strftime(l_shipdate,'%Y_%m') || '.txt' AS FILE_NAME FROM {lineitem} WHERE l_shipdate >= '1999-01-01'
 """

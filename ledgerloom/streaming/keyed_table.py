@@ -39,6 +39,9 @@ class KeyedTable:
         path = self._path(target)
         self._files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _place(self) -> Column:
+        return bucket_of(self.key, self.buckets)
+
     def _path(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(name)
 
@@ -87,13 +90,13 @@ class KeyedTable:
     def replace(self, batch: DataFrame, number: int) -> None:
         """Replace the batch's keys; batch ``number`` counts once, however often it comes."""
         table = self._at(number)
-        placed = batch.withColumn(_BUCKET, bucket_of(self.key, self.buckets))
+        placed = batch.withColumn(_BUCKET, self._place())
         touched = sorted(r[0] for r in placed.select(_BUCKET).distinct().collect())  # at most the number of buckets
         current = self._rows({b: table[b] for b in touched if b in table})
         if touched:
             rows = batch if current is None else replace_by_key(current, batch, self.key)
             # One file a bucket, or several where a bucket is large.
-            spread = rows.withColumn(_BUCKET, bucket_of(self.key, self.buckets)).hint("rebalance", _BUCKET)
+            spread = rows.withColumn(_BUCKET, self._place()).hint("rebalance", _BUCKET)
             spread.write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self.target}/batch={number}")
         self._write_commit(number, table | dict.fromkeys(touched, number))
 

@@ -2,8 +2,10 @@ import datetime as dt
 
 import pytest
 
+from ledgerloom.operators import maintenance
 from ledgerloom.streaming import jobs
 from ledgerloom.streaming.keyed_table import KeyedTable
+from ledgerloom.streaming.range_table import RangeTable
 
 SCHEMA = "id string, v string"
 
@@ -77,6 +79,59 @@ def test_another_bucket_count_is_an_error(spark, frame, tmp_path):
         KeyedTable(spark, str(tmp_path), "id", buckets=4).read()
 
 
+ORDERS = "order_number string, created_at timestamp_ntz, v int"
+
+
+def all_rows(table):
+    return sorted(map(tuple, table.read().collect()), key=repr)
+
+
+def _orders(frame, numbers):
+    return frame([(n, dt.datetime(2024, 1, 1) + dt.timedelta(days=int(n)) if n and n.lstrip("-").isdigit() else None, i) for i, n in enumerate(numbers)], ORDERS)
+
+
+def test_a_stored_trim_rewrites_one_range(spark, frame, tmp_path):
+    table = RangeTable(spark, str(tmp_path), "order_number", width=10)
+    everything = _orders(frame, [str(n) for n in range(-25, 60)] + [None, "x7", "0012"])
+    table.replace(everything, 0)
+    before = files_of(tmp_path)
+    assert len(before) == 10  # nine ranges and the rows without a number
+    table.trim_recent(1, 14, dt.date(2024, 2, 20))
+    want = maintenance.trim_recent(everything, 14, dt.date(2024, 2, 20))
+    assert all_rows(table) == sorted(map(tuple, want.collect()), key=repr)
+    after = files_of(tmp_path)
+    assert all(after[f] == time for f, time in before.items())  # nothing that was there has been touched
+    assert {f.split("/")[-2] for f in after.keys() - before.keys()} == {"_bucket=3"}
+    table.trim_recent(1, 14, dt.date(2024, 2, 20))  # the batch comes again
+    assert all_rows(table) == sorted(map(tuple, want.collect()), key=repr) and table.commits() == [0, 1]
+
+
+def test_a_stored_trim_at_the_edge_of_a_range(spark, frame, tmp_path):
+    schema = "id string, payout_status string"
+    payouts = frame([(str(n), "pending" if n in (20, 35) else "paid") for n in range(40)] + [(None, "paid")], schema)
+    table = RangeTable(spark, str(tmp_path), "id", width=10)
+    table.replace(payouts, 0)
+    before = files_of(tmp_path)
+    table.trim_from_first_pending(1)
+    assert all_rows(table) == sorted(map(tuple, maintenance.trim_from_first_pending(payouts).collect()), key=repr)
+    # 19 is the last number of its range; the whole range is kept as rewritten rows, all later ones are gone
+    assert {f.split("/")[-2] for f in files_of(tmp_path).keys() - before.keys()} <= {"_bucket=1"}
+    table.trim_from_first_pending(2)  # nothing is open any more
+    assert len(all_rows(table)) == 21
+    table.replace(frame([("19", "paid again"), ("41", "pending")], schema), 3)
+    table.trim_from_first_pending(4)
+    assert ("19", "paid again") in all_rows(table) and len(all_rows(table)) == 21
+
+
+def test_stored_trims_of_nothing(spark, frame, tmp_path):
+    table = RangeTable(spark, str(tmp_path), "id")
+    table.trim_from_first_pending(0)
+    assert table.read() is None
+    table.replace(frame([("7", "pending")], "id string, payout_status string"), 1)
+    table.trim_from_first_pending(2)
+    assert table.read() is None
+
+
 def test_files_are_loaded_once(spark, frame, tmp_path):
     source, target, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     df = frame([("1", "a")], SCHEMA)
