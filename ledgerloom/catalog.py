@@ -16,7 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.operators.ledgers import book, open_ledger
-from ledgerloom.storage import checkpoint_dir
+from ledgerloom.operators.months import append_by_month, read_by_month
+from ledgerloom.storage import checkpoint_dir, new_folder
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
                "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -271,6 +272,15 @@ class Catalog:
             self._frames[name] = self._land(name, build())
         return self._frames[name]
 
+    def stored_by_month(self, name: str, ts: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A report that is read by month, in folders by month of ``ts``; its ``ledger_month`` column comes last."""
+        key = f"{name}_by_month"
+        if key not in self._frames:
+            frame, path = build(), new_folder(self.spark, key)
+            append_by_month(frame, ts, path)
+            self._frames[key] = read_by_month(self.spark, path, frame.schema)
+        return self._frames[key]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES and name not in BASE_TABLES:
             raise AttributeError(name)

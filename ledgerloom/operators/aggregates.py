@@ -13,6 +13,7 @@ from ledgerloom.functions.money import REDUCED_TAX, STANDARD_TAX
 from ledgerloom.functions.rules import EXPENSE, INCOME, balance_by_sign
 from ledgerloom.functions.text import canonical_remark, rule_key
 from ledgerloom.functions import first_match
+from ledgerloom.operators.months import MONTH
 
 # Products that are not goods, so their quantity is not counted.
 NOT_GOODS = ("Shipping", "Discount", "Chargeback", "Handling Fee", "partial refund")
@@ -134,7 +135,10 @@ def condensed_monthly(report: DataFrame) -> DataFrame:
 
 
 def sales_by_sku(feed: DataFrame, source: str, year: int, month: int) -> DataFrame:
+    """Sales of one month and source; of a feed that is stored by month only that month is read."""
     when = F.col("transaction_date")
+    if MONTH in feed.columns:
+        feed = feed.where(F.col(MONTH) == f"{year:04}-{month:02}")
     return (
         feed.where((F.col("SOURCE") == source) & (F.year(when) == year) & (F.month(when) == month))
         .groupBy("item_name", "sku")

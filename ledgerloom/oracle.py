@@ -452,6 +452,8 @@ FROM (SELECT *, CASE WHEN remarks LIKE 'Product Charges%' THEN 'Product Charges'
  CASE WHEN product IN ('Shipping','Discount','Chargeback','Handling Fee','partial refund') THEN product END AS kind FROM {{rpt_shopify_full}})
 GROUP BY control_number, sku, 4, account, tax_distinction, remark, item, kind
 """
+for _channel in ("amazon", "rakuten", "shopify"):
+    QUERIES[f"sku_monthly_refresh_{_channel}"] = QUERIES[f"sku_monthly_{_channel}"]
 QUERIES["sales_by_sku"] = """
 SELECT item_name, sku, sum(quantity) AS q_sales, sum(amount) AS sales FROM {rpt_dashboard}
 WHERE SOURCE='Amazon' AND transaction_date >= '1998-01-01' AND transaction_date < '1998-02-01' GROUP BY item_name, sku

@@ -9,10 +9,13 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.catalog import Catalog, catalog
 from ledgerloom.operators import aggregates as agg
+from ledgerloom.operators import months
 from ledgerloom.plans import amazon, amazonpay, dashboard, rakuten, shopify, stripe
+from ledgerloom.storage import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Callable[[Catalog], DataFrame]] = {}
@@ -184,11 +187,45 @@ def sku_monthly_shopify(c: Catalog) -> DataFrame:
     return agg.sku_monthly(booked(c, rpt_shopify_full), "shopify")
 
 
+def _monthly_refresh(c: Catalog, report: Callable[[Catalog], DataFrame], ts: str, channel: str) -> DataFrame:
+    """A ledger whose lines come in two batches, the second from the middle of a month on; its roll-up follows.
+
+    The second batch rolls up its own months again; the months before it keep their files.
+    """
+    lines = booked(c, report)
+    ledger, rollup = (new_folder(c.spark, f"{channel}-{kind}") for kind in ("ledger", "monthly"))
+    newer = F.coalesce(F.col(ts).cast("date") >= F.lit(date(1997, 6, 15)), F.lit(False))
+    for batch in (lines.where(~newer), lines.where(newer)):
+        months.append_by_month(batch, ts, ledger)
+        stored = months.read_by_month(c.spark, ledger, lines.schema)
+        months.refresh_rollup(stored, batch, ts, lambda rows: agg.sku_monthly(rows, channel), "month", rollup)
+    return c.spark.read.parquet(rollup).drop(months.MONTH)
+
+
+@query
+def sku_monthly_refresh_amazon(c: Catalog) -> DataFrame:
+    return _monthly_refresh(c, rpt_amazon_full, "main_date", "amazon")
+
+
+@query
+def sku_monthly_refresh_rakuten(c: Catalog) -> DataFrame:
+    return _monthly_refresh(c, rpt_rakuten_full, "order_date", "rakuten")
+
+
+@query
+def sku_monthly_refresh_shopify(c: Catalog) -> DataFrame:
+    return _monthly_refresh(c, rpt_shopify_full, "transaction_date", "shopify")
+
+
+def _feed_by_month(c: Catalog) -> DataFrame:
+    return c.stored_by_month("booked_rpt_dashboard", "transaction_date", lambda: rpt_dashboard(c))
+
+
 @query
 def sales_by_sku(c: Catalog) -> DataFrame:
-    return agg.sales_by_sku(booked(c, rpt_dashboard), "Amazon", 1998, 1)
+    return agg.sales_by_sku(_feed_by_month(c), "Amazon", 1998, 1)
 
 
 @query
 def yearly_sales_by_source(c: Catalog) -> DataFrame:
-    return agg.yearly_sales_by_source(booked(c, rpt_dashboard))
+    return agg.yearly_sales_by_source(_feed_by_month(c))

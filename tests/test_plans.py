@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ledgerloom.catalog import catalog
-from ledgerloom.operators import joins, ledgers
+from ledgerloom.operators import aggregates, joins, ledgers, months
 from ledgerloom.plans import amazon, shopify
 from ledgerloom.queries import AS_OF
 from tests.compare import TESTDATA
@@ -166,3 +166,70 @@ def test_a_ledger_grows_by_key_and_is_opened_again(spark, frame, tmp_path):
     again = ledgers.open_ledger(spark, path, "settlement", rows.schema, buckets=4)
     new = frame([("s1",), ("s3",), (None,)], "settlement string")
     assert [r[0] for r in joins.not_booked(new, spark.table(again), "settlement").collect()] == ["s3"]
+
+
+# ---------------------------------------------------------------- roll-ups by month
+
+FEED = "SOURCE string, item_name string, sku string, quantity double, amount double, transaction_date timestamp_ntz"
+
+
+def months_read(df):
+    """Folders that a frame's rows come from."""
+    return {r[0].split(f"{months.MONTH}=")[1].split("/")[0] for r in df.select("_metadata.file_path").distinct().collect()}
+
+
+def test_sales_of_a_month_read_that_month_only(spark, frame, tmp_path):
+    at = lambda y, m, d: dt.datetime(y, m, d, 23, 59, 59)
+    rows = [("A", "tea", "s", 1.0, 2.0, at(1998, 1, 1)), ("A", "tea", "s", 1.0, 3.0, at(1998, 1, 31)), ("B", "tea", "s", 1.0, 5.0, at(1998, 1, 9)),
+            ("A", "tea", "s", 1.0, 7.0, at(1998, 2, 1)), ("A", "tea", "s", 1.0, 11.0, at(1997, 1, 5)), ("A", "tea", "s", 1.0, 13.0, None)]
+    feed = frame(rows, FEED)
+    months.append_by_month(feed, "transaction_date", str(tmp_path))
+    stored = months.read_by_month(spark, str(tmp_path), feed.schema)
+    assert months_read(stored) == {"1997-01", "1998-01", "1998-02", months.UNDATED}
+    got = aggregates.sales_by_sku(stored, "A", 1998, 1)
+    assert [tuple(r) for r in got.collect()] == [("tea", "s", 2.0, 5.0)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*ledger_month#\d+ = 1998-01", plan)
+    assert [tuple(r) for r in aggregates.sales_by_sku(feed, "A", 1998, 1).collect()] == [("tea", "s", 2.0, 5.0)]
+    assert sorted((r.year, r.total) for r in aggregates.yearly_sales_by_source(stored.withColumn("item", F.lit("Sales")).where("SOURCE = 'A' AND transaction_date IS NOT NULL")).collect()) == [(1997, 11.0), (1998, 12.0)]
+
+
+def test_a_batch_rolls_up_its_own_months_again(spark, frame, tmp_path):
+    schema = "k string, at timestamp_ntz, v double"
+    day = lambda m, d: dt.datetime(2024, m, d)
+    ledger, rollup = str(tmp_path / "ledger"), str(tmp_path / "rollup")
+
+    def roll_up(rows):
+        lines = rows.select("k", F.trunc("at", "month").alias("month"), "v")
+        return lines.groupBy("k", "month").agg(F.sum("v").alias("v"))
+
+    def add(rows):
+        batch = frame(rows, schema)
+        months.append_by_month(batch, "at", ledger)
+        stored = months.read_by_month(spark, ledger, batch.schema)
+        months.refresh_rollup(stored, batch, "at", roll_up, "month", rollup)
+        return stored, batch
+
+    def result():
+        return sorted(((r.k, r.month and r.month.month, r.v) for r in spark.read.parquet(rollup).collect()), key=repr)
+
+    def files():
+        return {str(p.relative_to(tmp_path)): p.stat().st_mtime_ns for p in (tmp_path / "rollup").rglob("*.parquet")}
+
+    add([("a", day(1, 1), 1.0), ("a", day(1, 31), 2.0), ("b", day(2, 1), 4.0), ("b", None, 8.0), ("c", day(3, 3), 16.0)])
+    assert result() == [("a", 1, 3.0), ("b", 2, 4.0), ("b", None, 8.0), ("c", 3, 16.0)]
+    before = files()
+    stored, batch = add([("a", day(2, 2), 32.0), ("b", None, 64.0), ("d", day(4, 4), 128.0)])
+    want = [("a", 1, 3.0), ("a", 2, 32.0), ("b", 2, 4.0), ("b", None, 72.0), ("c", 3, 16.0), ("d", 4, 128.0)]
+    assert result() == want
+    same = {f for f, time in files().items() if before.get(f) == time}
+    assert {f.split("=")[1].split("/")[0] for f in same} == {"2024-01", "2024-03"}
+    touched = months.in_months_of(stored, batch, "at")
+    assert months_read(touched) == {"2024-02", "2024-04", months.UNDATED}
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\n]*array_contains\([^\n]*subquery[^\n]*ledger_month", plan, re.I)
+    touched.collect()
+    months.refresh_rollup(stored, batch, "at", roll_up, "month", rollup)  # a batch that is repeated
+    assert result() == want
+    months.refresh_rollup(stored, batch.where("false"), "at", roll_up, "month", rollup)
+    assert result() == want
