@@ -72,7 +72,7 @@ def feed_stripe_payouts(c: Catalog) -> DataFrame:
 
 def _documents(c: Catalog) -> DataFrame:
     # the landed pages are read with the full document schema; absent fields are NULL
-    docs = order_documents(c.orders).withColumn("checkout_id", F.col("id"))
+    docs = order_documents(c.orders, c.lineitem).withColumn("checkout_id", F.col("id"))
     return read_json_pages(c.spark, landing.order_pages(c, docs), "orders", schemas.ORDER_DOCUMENT, page_per_file=False)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.catalog import Catalog
-from ledgerloom.documents import order_documents, raw_event_json, transaction_pages
+from ledgerloom.documents import order_documents, order_heads, raw_event_json, transaction_pages
 from ledgerloom.functions import dates, money, rules, text
 from ledgerloom.functions.nested import find_tokens
 from ledgerloom.operators import aggregates as agg
@@ -478,29 +478,29 @@ def epoch_to_ts(c: Catalog) -> DataFrame:
 
 @query
 def explode_lines(c: Catalog) -> DataFrame:
-    docs = order_documents(c.orders).select("id", "name", "line_items")
+    docs = order_documents(c.orders, c.lineitem).select("id", "name", "line_items")
     return nested.explode_lines(docs)
 
 
 @query
 def first_discount(c: Catalog) -> DataFrame:
-    docs = order_documents(c.orders).select("id", "discount_codes", "payment_gateway_names", "note_attributes")
+    docs = order_heads(c.orders).select("id", "discount_codes", "payment_gateway_names", "note_attributes")
     return nested.first_discount(docs)
 
 
 @query
 def refund_total(c: Catalog) -> DataFrame:
-    return nested.with_refund_total(order_documents(c.orders).select("id", "refunds"))
+    return nested.with_refund_total(order_documents(c.orders, c.lineitem).select("id", "refunds"))
 
 
 @query
 def refund_lines(c: Catalog) -> DataFrame:
-    return nested.refund_lines(order_documents(c.orders))
+    return nested.refund_lines(order_documents(c.orders, c.lineitem))
 
 
 @query
 def flatten_prefix(c: Catalog) -> DataFrame:
-    return nested.flatten_order(order_documents(c.orders).select("id", "total_shipping_price_set", "shipping_address"))
+    return nested.flatten_order(order_heads(c.orders).select("id", "total_shipping_price_set", "shipping_address"))
 
 
 @query

@@ -638,30 +638,29 @@ QUERIES["epoch_to_ts"] = "SELECT event_id, date_trunc('second', ts) AS created F
 # ---------------------------------------------------------------- nested documents, from the same formulas without nesting
 
 VIEWS["keys"] = "SELECT o_orderkey AS k, o_custkey, o_orderdate FROM {orders}"
-QUERIES["explode_lines"] = """
-SELECT k AS id, '#' || k AS name, cast((k+i)%5+1 as double) AS lineitem_quantity, 'Item ' || ((k*7+i)%50) AS lineitem_name, cast(100+(k*13+i*17)%900 as double) AS lineitem_price,
- CASE WHEN (k+i)%6<>0 THEN 'SKU' || ((k+i)%90) END AS lineitem_sku,
- CASE WHEN i IS NULL THEN 0 ELSE CASE WHEN (k+i)%3>0 THEN (k+i)%40 ELSE 0 END + CASE WHEN (k+i)%3>1 THEN (k+i+1)%40 ELSE 0 END END::double AS lineitem_discount
-FROM {keys} LEFT JOIN (SELECT unnest([0,1,2]) AS i) ON i < k%4
+_ITEM = "'Item ' || l_partkey"
+_ITEM_SKU = "CASE WHEN l_partkey%17<>0 THEN 'SKU' || l_partkey END"
+QUERIES["explode_lines"] = f"""
+SELECT k AS id, '#' || k AS name, l_quantity AS lineitem_quantity, {_ITEM} AS lineitem_name, round(l_extendedprice/l_quantity) AS lineitem_price, {_ITEM_SKU} AS lineitem_sku,
+ CASE WHEN l_discount>0 THEN round(l_extendedprice*l_discount) ELSE 0 END + CASE WHEN l_discount>0.05 THEN l_linenumber ELSE 0 END AS lineitem_discount
+FROM {{keys}} LEFT JOIN {{lineitem}} ON l_orderkey=k
 """
 QUERIES["first_discount"] = """
 SELECT k AS id, CASE k%4 WHEN 0 THEN 'shopify_payments' WHEN 1 THEN 'stripe, gift_card' WHEN 2 THEN 'Komoju - card' END AS payment_gateway_names,
  CASE WHEN k%5<>0 THEN 'name: gift, value: Its ' || k END AS note_attributes, CASE WHEN k%3>0 THEN 'C' || (k%10) END AS discount_code,
  CASE WHEN k%3>0 THEN (k%500)::double END AS discount_amount, CASE WHEN k%3>0 THEN 'fixed_amount' END AS discount_type FROM {keys}
 """
-VIEWS["refund_rows"] = """
-SELECT * FROM {keys}, (SELECT unnest([0,1]) AS x), (SELECT unnest([0,1]) AS y) WHERE x < k%3 AND y < (k+x)%3
-"""
+VIEWS["refund_rows"] = "SELECT * FROM {keys} JOIN {lineitem} ON l_orderkey=k WHERE l_returnflag='R'"
 QUERIES["refund_total"] = """
-SELECT k AS id, coalesce(s, 0) AS refund FROM {keys} LEFT JOIN (SELECT k, sum(((k*3+x*5+y*7)%1000)::double) AS s FROM {refund_rows} GROUP BY k) USING (k)
+SELECT k AS id, coalesce(s, 0) AS refund FROM {keys} LEFT JOIN (SELECT k, sum(round(l_extendedprice)) AS s FROM {refund_rows} GROUP BY k) USING (k)
 """
-QUERIES["refund_lines"] = """
-SELECT k*100+x*10+y AS id, k*10+y AS line_item_id, CASE WHEN k%4<>0 THEN cast(k%7 as varchar) END AS location_id, ((k+y)%3+1)::double AS quantity, 'return' AS restock_type,
- ((k*3+x*5+y*7)%1000)::double AS subtotal, ((k+y)%80)::double AS total_tax, '#' || k AS name, strftime(o_orderdate,'%Y-%m-%d') || 'T10:00:00Z' AS order_date,
+QUERIES["refund_lines"] = f"""
+SELECT k*100+l_linenumber AS id, k*10+l_linenumber AS line_item_id, CASE WHEN l_suppkey%4<>0 THEN cast(l_suppkey%7 as varchar) END AS location_id, l_quantity AS quantity,
+ 'return' AS restock_type, round(l_extendedprice) AS subtotal, round(l_extendedprice*l_tax) AS total_tax, '#' || k AS name, strftime(o_orderdate,'%Y-%m-%d') || 'T10:00:00Z' AS order_date,
  CASE WHEN k%20=0 THEN strftime(o_orderdate,'%Y-%m-%d') || 'T12:00:00Z' END AS cancel_date, CASE WHEN k%3=0 THEN 'paid' ELSE 'refunded' END AS financial_status,
- CASE WHEN k%9=0 THEN 0 ELSE (k%3)*300 END::double AS shipping_amount, CASE WHEN k%11<>0 AND k%2=0 THEN 'fulfilled' END AS fulfillment_status,
- CASE WHEN k%11<>0 THEN 'Item ' || ((k*7+y)%50) END AS product_name, CASE WHEN k%11<>0 THEN 'SKU' || ((k+y)%90) END AS sku,
- CASE WHEN k%11<>0 THEN 100+k%900 END::double AS line_price, CASE WHEN k%11<>0 THEN k%30 END::double AS line_discount FROM {refund_rows}
+ CASE WHEN k%9=0 THEN 0 ELSE (k%3)*300 END::double AS shipping_amount, CASE WHEN l_partkey%11<>0 AND l_linestatus='F' THEN 'fulfilled' END AS fulfillment_status,
+ CASE WHEN l_partkey%11<>0 THEN {_ITEM} END AS product_name, CASE WHEN l_partkey%11<>0 THEN {_ITEM_SKU} END AS sku,
+ CASE WHEN l_partkey%11<>0 THEN round(l_extendedprice/l_quantity) END AS line_price, CASE WHEN l_partkey%11<>0 THEN round(l_extendedprice*l_discount) END AS line_discount FROM {{refund_rows}}
 """
 QUERIES["flatten_prefix"] = """
 SELECT k AS id, CASE WHEN k%9<>0 THEN cast((k%3)*300 as varchar) END AS shipping_shop_amount, CASE WHEN k%9<>0 THEN cast((k%3)*2 as varchar) END AS shipping_presentment_amount,

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from ledgerloom import documents
 from ledgerloom.catalog import catalog
-from ledgerloom.operators import aggregates, joins, ledgers, months
+from ledgerloom.operators import aggregates, joins, ledgers, months, nested
 from ledgerloom.plans import amazon, shopify
 from ledgerloom.queries import AS_OF
 from tests.compare import TESTDATA
@@ -168,6 +169,29 @@ def test_a_ledger_grows_by_key_and_is_opened_again(spark, frame, tmp_path):
     assert [r[0] for r in joins.not_booked(new, spark.table(again), "settlement").collect()] == ["s3"]
 
 
+# ---------------------------------------------------------------- order documents
+
+
+def test_documents_hold_the_lines_of_their_order(spark):
+    c = catalog(spark, FOLDER)
+    counts = {r["l_orderkey"]: r["count"] for r in c.lineitem.groupBy("l_orderkey").count().collect()}
+    docs = documents.order_documents(c.orders, c.lineitem)
+    found = {r["id"]: (r["n"], r["returned"]) for r in docs.selectExpr("id", "size(line_items) AS n", "size(flatten(refunds.refund_line_items)) AS returned").collect()}
+    assert {k: n for k, (n, _) in found.items()} == {r["o_orderkey"]: counts.get(r["o_orderkey"], 0) for r in c.orders.select("o_orderkey").collect()}
+    assert 0 in {n for n, _ in found.values()}  # orders without lines stay
+    assert sum(n for _, n in found.values()) == c.lineitem.where("l_returnflag = 'R'").count()
+    assert nested.explode_lines(docs.where("size(line_items) = 0").select("id", "line_items")).where("lineitem_name IS NULL").count() == c.orders.count() - len(counts)
+
+
+def test_an_order_with_many_lines_comes_as_several_documents(spark):
+    c = catalog(spark, FOLDER)
+    hot = c.lineitem.select(*[F.lit(1).cast("bigint").alias(x) if x == "l_orderkey" else F.col(x) for x in c.lineitem.columns])
+    orders = c.orders.limit(2).withColumn("o_orderkey", F.monotonically_increasing_id() % 2 + 1).dropDuplicates(["o_orderkey"])
+    sizes = sorted(r[0] for r in documents.order_documents(orders, hot).where("id = 1").selectExpr("size(line_items)").collect())
+    assert sum(sizes) == hot.count() and len(sizes) == -(-hot.count() // documents.LINES_PER_DOCUMENT)
+    assert max(sizes) < 2 * documents.LINES_PER_DOCUMENT
+
+
 # ---------------------------------------------------------------- roll-ups by month
 
 FEED = "SOURCE string, item_name string, sku string, quantity double, amount double, transaction_date timestamp_ntz"
