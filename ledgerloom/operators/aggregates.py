@@ -19,8 +19,24 @@ from ledgerloom.operators.months import MONTH
 NOT_GOODS = ("Shipping", "Discount", "Chargeback", "Handling Fee", "partial refund")
 
 
-def fee_preagg(tv: DataFrame) -> DataFrame:
-    """Amounts and quantities per settlement, local time, type, order and stock code."""
+HOME = "_home"  # the order of a line, or what stands in for it
+
+
+def order_home() -> Column:
+    """What lines of one order share, for shuffling; lines without an order are spread by their settlement, time and stock code.
+
+    The zero character keeps the stand-ins apart from real order ids.
+    """
+    spread = F.xxhash64("settlement_id", "posted_date_time", "sku").cast("string")
+    return F.coalesce(F.col("order_id"), F.concat(F.lit("\0"), spread)).alias(HOME)
+
+
+def fee_preagg(tv: DataFrame, by_order: bool = False) -> DataFrame:
+    """Amounts and quantities per settlement, local time, type, order and stock code.
+
+    ``by_order`` shuffles the lines by :func:`order_home`, which comes as a column more, so that later joins
+    and sums by order need no shuffle of their own.
+    """
     keys = [
         F.round("settlement_id").cast("bigint").alias("settlement_id"),
         to_local(F.col("posted_date_time")).alias("posted_date_time"),
@@ -28,9 +44,11 @@ def fee_preagg(tv: DataFrame) -> DataFrame:
     ]
     names = ["settlement_id", "posted_date_time", "transaction_type", "amount_type",
              "amount_description", "order_id", "sku"]
+    lines = tv.select(*keys, "amount", "quantity_purchased")
+    if by_order:
+        lines, names = lines.select("*", order_home()).repartition(HOME), [*names, HOME]
     return (
-        tv.select(*keys, "amount", "quantity_purchased")
-        .groupBy(*names)
+        lines.groupBy(*names)
         .agg(F.sum("amount").alias("total_amount"), F.sum("quantity_purchased").alias("total_purchased"))
         .withColumn(
             "concat_fields",

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import first_match, null_of
 from ledgerloom.functions.dates import to_local
 from ledgerloom.functions.rules import TAX_INCLUDED
-from ledgerloom.operators.aggregates import fee_preagg, report_agg, sheet_agg
+from ledgerloom.operators.aggregates import HOME, fee_preagg, report_agg, sheet_agg
 from ledgerloom.operators.joins import apply_rules, join_cast_key, join_distinct, not_booked
 from ledgerloom.operators.maintenance import adjust_rows
 from ledgerloom.operators.windows import latest_k, running_sum
+from ledgerloom.storage import stored
 
 SUPPLIER = "Amazon Seller"
 REIMBURSEMENT = "FBA Inventory Reimbursement"
@@ -42,11 +43,12 @@ def business_date(lines: DataFrame) -> DataFrame:
 def classified_lines(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame) -> DataFrame:
     """Pre-aggregated fee lines with order date, business date and accounting labels.
 
-    Adding up comes before the joins, so the joins see far fewer rows.
+    Adding up comes before the joins, so the joins see far fewer rows.  The lines are shuffled once, by order
+    (``HOME``); account-level fees have no order and match none.
     """
+    orders = oc.where(F.col("amazon_order_id").isNotNull())
     dated = join_distinct(
-        fee_preagg(tv), oc, [("order_id", "amazon_order_id")], {"purchase_date": to_local(F.col("purchase_date"))},
-        sparse=True,  # account-level fees have no order
+        fee_preagg(tv, by_order=True), orders, [(HOME, "amazon_order_id")], {"purchase_date": to_local(F.col("purchase_date"))}
     )
     return apply_rules(business_date(dated).where(F.col("main_time").isNotNull()), nomenclature)
 
@@ -63,7 +65,8 @@ def _core(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, as_of: date, da
     """
     keys = ["settlement_id", "main_time", "account", "tax_distiction", "remarks", "item", "DATE_TYPE", "sku",
             "order_id", "posted_date_time", "total_purchased"]
-    lines = report_agg(classified_lines(tv, oc, nomenclature), keys, "total_amount").withColumn(
+    # HOME is a function of other keys; it is named so that the lines stay where they are
+    lines = report_agg(classified_lines(tv, oc, nomenclature), [*keys, HOME], "total_amount").drop(HOME).withColumn(
         "settlement_id", F.col("settlement_id").cast("string")
     )
     deposits = (
@@ -131,9 +134,9 @@ def delivery_lines(
 
 
 def adjust_running_sum(report: DataFrame, predicate: Column) -> DataFrame:
-    """Running total by order time of the selected lines."""
+    """Running total by order time of the selected lines.  Eager: writes them, as a running sum reads its rows twice."""
     lines = report.where(predicate).select("item", "remarks", "account", "order_full_date", "total_real")
-    return running_sum(lines, "order_full_date", "total_real")
+    return running_sum(stored(lines, "adjusted"), "order_full_date", "total_real")
 
 
 def move_back_one_month(report: DataFrame, predicate: Column) -> DataFrame:
