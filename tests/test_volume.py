@@ -17,6 +17,7 @@ SMALL = "/root/testdata/sf0.001"
 # Tables that a query may store: payments, ledgers, and what it reads several times.
 STORED = {
     "adjust_rows": set(),
+    "delivery_lines_of_a_month": {"booked_rpt_amazon_full"},
 }
 
 
