@@ -14,10 +14,13 @@ from ledgerloom.storage import checkpoint_dir
 
 SMALL = "/root/testdata/sf0.001"
 
+PAYMENTS = {"shopify_payouts", "stripe_payouts", "amazon_pay"}
+
 # Tables that a query may store: payments, ledgers, and what it reads several times.
 STORED = {
     "adjust_rows": set(),
     "delivery_lines_of_a_month": {"booked_rpt_amazon_full"},
+    "rpt_dashboard": PAYMENTS | {"order_lines"},
 }
 
 
