@@ -21,6 +21,7 @@ STORED = {
     "adjust_rows": set(),
     "delivery_lines_of_a_month": {"booked_rpt_amazon_full"},
     "rpt_dashboard": PAYMENTS | {"order_lines"},
+    "sales_by_sku": PAYMENTS | {"order_lines"},
 }
 
 
