@@ -22,6 +22,7 @@ STORED = {
     "delivery_lines_of_a_month": {"booked_rpt_amazon_full"},
     "rpt_dashboard": PAYMENTS | {"order_lines"},
     "sales_by_sku": PAYMENTS | {"order_lines"},
+    "sku_monthly_refresh_amazon": {"booked_rpt_amazon_full"},
 }
 
 
