@@ -23,6 +23,7 @@ STORED = {
     "rpt_dashboard": PAYMENTS | {"order_lines"},
     "sales_by_sku": PAYMENTS | {"order_lines"},
     "sku_monthly_refresh_amazon": {"booked_rpt_amazon_full"},
+    "yearly_sales_by_source": PAYMENTS | {"order_lines"},
 }
 
 
