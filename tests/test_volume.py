@@ -24,6 +24,7 @@ STORED = {
     "sales_by_sku": PAYMENTS | {"order_lines"},
     "sku_monthly_refresh_amazon": {"booked_rpt_amazon_full"},
     "yearly_sales_by_source": PAYMENTS | {"order_lines"},
+    "tax_from_label": set(),
 }
 
 
