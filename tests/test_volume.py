@@ -25,6 +25,7 @@ STORED = {
     "sku_monthly_refresh_amazon": {"booked_rpt_amazon_full"},
     "yearly_sales_by_source": PAYMENTS | {"order_lines"},
     "tax_from_label": set(),
+    "control_total": set(),
 }
 
 
