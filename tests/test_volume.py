@@ -26,6 +26,7 @@ STORED = {
     "yearly_sales_by_source": PAYMENTS | {"order_lines"},
     "tax_from_label": set(),
     "control_total": set(),
+    "union_channels": set(),
 }
 
 
