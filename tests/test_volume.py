@@ -27,6 +27,7 @@ STORED = {
     "tax_from_label": set(),
     "control_total": set(),
     "union_channels": set(),
+    "rpt_shopify_v1": {"shopify_payouts"},
 }
 
 
