@@ -28,6 +28,7 @@ STORED = {
     "control_total": set(),
     "union_channels": set(),
     "rpt_shopify_v1": {"shopify_payouts"},
+    "signed_qty": set(),
 }
 
 
