@@ -29,6 +29,7 @@ STORED = {
     "union_channels": set(),
     "rpt_shopify_v1": {"shopify_payouts"},
     "signed_qty": set(),
+    "high_water_mark": set(),
 }
 
 
