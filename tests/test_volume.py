@@ -30,6 +30,7 @@ STORED = {
     "rpt_shopify_v1": {"shopify_payouts"},
     "signed_qty": set(),
     "high_water_mark": set(),
+    "last_seen_by_amount": set(),
 }
 
 
