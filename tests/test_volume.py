@@ -31,6 +31,7 @@ STORED = {
     "signed_qty": set(),
     "high_water_mark": set(),
     "last_seen_by_amount": set(),
+    "expand_sa": {"amazon_pay"},
 }
 
 
