@@ -32,6 +32,7 @@ STORED = {
     "high_water_mark": set(),
     "last_seen_by_amount": set(),
     "expand_sa": {"amazon_pay"},
+    "time_window_join": {"stripe_payouts"},
 }
 
 
