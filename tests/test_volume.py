@@ -33,6 +33,7 @@ STORED = {
     "last_seen_by_amount": set(),
     "expand_sa": {"amazon_pay"},
     "time_window_join": {"stripe_payouts"},
+    "rpt_shopify": {"shopify_payouts", "ledger_shopify"},
 }
 
 
