@@ -34,6 +34,7 @@ STORED = {
     "expand_sa": {"amazon_pay"},
     "time_window_join": {"stripe_payouts"},
     "rpt_shopify": {"shopify_payouts", "ledger_shopify"},
+    "validated_lookup_join": {"stripe_payouts"},
 }
 
 
