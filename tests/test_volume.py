@@ -35,6 +35,7 @@ STORED = {
     "time_window_join": {"stripe_payouts"},
     "rpt_shopify": {"shopify_payouts", "ledger_shopify"},
     "validated_lookup_join": {"stripe_payouts"},
+    "latest_k_settlements": set(),
 }
 
 
