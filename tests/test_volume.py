@@ -36,6 +36,7 @@ STORED = {
     "rpt_shopify": {"shopify_payouts", "ledger_shopify"},
     "validated_lookup_join": {"stripe_payouts"},
     "latest_k_settlements": set(),
+    "running_sum": set(),
 }
 
 
