@@ -37,6 +37,7 @@ STORED = {
     "validated_lookup_join": {"stripe_payouts"},
     "latest_k_settlements": set(),
     "running_sum": set(),
+    "rpt_dashboard_lite": PAYMENTS | {"order_lines"},
 }
 
 
