@@ -38,6 +38,7 @@ STORED = {
     "latest_k_settlements": set(),
     "running_sum": set(),
     "rpt_dashboard_lite": PAYMENTS | {"order_lines"},
+    "sku_monthly_amazon": set(),
 }
 
 
