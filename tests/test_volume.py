@@ -39,6 +39,7 @@ STORED = {
     "running_sum": set(),
     "rpt_dashboard_lite": PAYMENTS | {"order_lines"},
     "sku_monthly_amazon": set(),
+    "sku_monthly_shopify": {"shopify_payouts"},
 }
 
 
