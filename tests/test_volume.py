@@ -40,6 +40,7 @@ STORED = {
     "rpt_dashboard_lite": PAYMENTS | {"order_lines"},
     "sku_monthly_amazon": set(),
     "sku_monthly_shopify": {"shopify_payouts"},
+    "sku_monthly_rakuten": set(),
 }
 
 
