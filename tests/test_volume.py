@@ -73,3 +73,16 @@ def test_lines_without_an_order_are_spread_and_added_up_alike(spark, frame):
     assert sorted(by_order.drop(HOME).collect(), key=key) == sorted(fee_preagg(lines).collect(), key=key)
     homes = by_order.select("order_id", HOME).distinct().groupBy("order_id").agg(F.count("*").alias("n"))
     assert {r.order_id: r.n for r in homes.collect()} == {"A": 1, None: 40}
+
+
+@pytest.mark.parametrize("name", ["orders_master", "rakuten_all"])
+def test_columns_of_the_order_are_shuffled_by_order_only(spark, name):
+    """The lines go to their part without the order's columns, and meet the order afterwards."""
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = catalog(spark, SMALL).table(name)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    joins = re.findall(r"SortMergeJoin[^\n]*", plan)
+    assert "orderkey" in joins[0] and "p_partkey" in joins[1]
