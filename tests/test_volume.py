@@ -86,3 +86,17 @@ def test_columns_of_the_order_are_shuffled_by_order_only(spark, name):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     joins = re.findall(r"SortMergeJoin[^\n]*", plan)
     assert "orderkey" in joins[0] and "p_partkey" in joins[1]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+@pytest.mark.parametrize("name", ["rpt_dashboard_lite", "yearly_sales_by_source"])
+def test_marketplace_lines_meet_their_area_where_they_lie(spark, no_broadcast, name):
+    plan = all_queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert [line for line in re.findall(r"SortMergeJoin[^\n]*", plan) if HOME in line and "effective_id" in line]
