@@ -102,14 +102,28 @@ def _whole(quantity: Column) -> Column:
     return F.round(quantity).cast("bigint")
 
 
-def sku_monthly(ledger: DataFrame, channel: str) -> DataFrame:
-    """Monthly amounts and goods quantities per stock code for one channel's ledger."""
+# What the monthly roll-up reads of a channel's ledger, and its column of the stock code.
+SKU_MONTHLY_INPUT = {
+    "amazon": ("settlement_id", "sku", "main_date", "account", "tax_distiction", "remarks", "item", "total_real", "total_purchased"),
+    "rakuten": ("control_number", "item_number", "order_date", "account", "tax_distinction", "remarks", "item", "real_amount", "quantity"),
+    "shopify": ("control_number", "sku", "transaction_date", "account", "tax_distinction", "remarks", "item", "product", "real_amount",
+                "product_count"),
+}
+SKU_COLUMN = {"amazon": "sku", "rakuten": "item_number", "shopify": "sku"}
+
+
+def sku_monthly(ledger: DataFrame, channel: str, also: Sequence[str] = ()) -> DataFrame:
+    """Monthly amounts and goods quantities per stock code for one channel's ledger.
+
+    ``also``: columns that follow from the keys and stay, such as those that the ledger is spread by.
+    """
     remarks = F.col("remarks")
     if channel == "amazon":
         lines = ledger.select(
             "settlement_id", "sku", month_start(F.col("main_date")).alias("month"), "account", "tax_distiction",
             "remarks", "item", F.col("total_real").alias("amount"),
             F.when(remarks != "Product Charges", None).otherwise(_whole(F.col("total_purchased"))).alias("quantity"),
+            *also,
         )
         keys = ["settlement_id", "sku", "month", "account", "tax_distiction", "remarks", "item"]
     elif channel == "rakuten":
@@ -117,6 +131,7 @@ def sku_monthly(ledger: DataFrame, channel: str) -> DataFrame:
             "control_number", "item_number", month_start(F.col("order_date")).alias("month"), "account",
             "tax_distinction", "remarks", "item", F.col("real_amount").alias("amount"),
             F.when(~remarks.like("Product Charges%"), None).otherwise(_whole(F.col("quantity"))).alias("quantity"),
+            *also,
         )
         keys = ["control_number", "item_number", "month", "account", "tax_distinction", "remarks", "item"]
     elif channel == "shopify":
@@ -127,11 +142,12 @@ def sku_monthly(ledger: DataFrame, channel: str) -> DataFrame:
             F.when(special, F.col("product")).alias("product"), F.col("real_amount").alias("amount"),
             F.when(~remarks.like("Product Charges%") | special, None)
             .otherwise(_whole(F.col("product_count"))).alias("quantity"),
+            *also,
         )
         keys = ["control_number", "sku", "month", "account", "tax_distinction", "remarks", "item", "product"]
     else:
         raise ValueError(f"unknown channel {channel!r}")
-    return _monthly(lines, keys)
+    return _monthly(lines, [*keys, *also])
 
 
 def condensed_monthly(report: DataFrame) -> DataFrame:

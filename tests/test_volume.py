@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import catalog
-from ledgerloom.operators.aggregates import HOME, fee_preagg
+from ledgerloom.operators import months
+from ledgerloom.operators.aggregates import HOME, SKU_COLUMN, SKU_MONTHLY_INPUT, fee_preagg, sku_monthly
 from ledgerloom.queries import all_queries, rpt_amazon_full
 from ledgerloom.storage import checkpoint_dir
 
@@ -100,3 +101,17 @@ def no_broadcast(spark):
 def test_marketplace_lines_meet_their_area_where_they_lie(spark, no_broadcast, name):
     plan = all_queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert [line for line in re.findall(r"SortMergeJoin[^\n]*", plan) if HOME in line and "effective_id" in line]
+
+
+@pytest.mark.parametrize("channel, report", [("amazon", "rpt_amazon_full"), ("rakuten", "rpt_rakuten_full"), ("shopify", "rpt_shopify_full")])
+def test_a_roll_up_by_shards_is_shuffled_once_and_alike(spark, no_broadcast, channel, report):
+    lines = all_queries()[report](spark, SMALL).select(*SKU_MONTHLY_INPUT[channel])
+    ts = {"amazon": "main_date", "rakuten": "order_date", "shopify": "transaction_date"}[channel]
+    stored = lines.withColumn(months.MONTH, months.month_of(ts)).localCheckpoint()
+    roll_up = lambda rows: sku_monthly(rows, channel, (months.MONTH, months.SHARD))
+    rows = months.rolled_up(stored, roll_up, "month", SKU_COLUMN[channel])
+    assert rows._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    plain = months.rolled_up(stored, lambda rows: sku_monthly(rows, channel), "month", None)
+    assert set(rows.columns) == set(plain.columns)
+    picked = sorted(plain.columns)
+    assert rows.select(*picked).exceptAll(plain.select(*picked)).isEmpty() and rows.count() == plain.count()
