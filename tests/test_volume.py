@@ -115,3 +115,12 @@ def test_a_roll_up_by_shards_is_shuffled_once_and_alike(spark, no_broadcast, cha
     assert set(rows.columns) == set(plain.columns)
     picked = sorted(plain.columns)
     assert rows.select(*picked).exceptAll(plain.select(*picked)).isEmpty() and rows.count() == plain.count()
+
+
+def test_the_feed_by_month_is_stored_without_item_names(spark, tmp_path):
+    """A stock code of several items would multiply the stored lines, and all of them would be shuffled by it."""
+    folder = tmp_path / "feed"
+    folder.symlink_to(SMALL)
+    all_queries()["sales_by_sku"](spark, str(folder))
+    by_month = [f for name, f in catalog(spark, str(folder))._frames.items() if name.endswith("_by_month")]
+    assert len(by_month) == 1 and "item_name" not in by_month[0].columns
