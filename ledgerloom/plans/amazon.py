@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import first_match, null_of
 from ledgerloom.functions.dates import to_local
 from ledgerloom.functions.rules import TAX_INCLUDED
+from ledgerloom.functions.text import rule_key
 from ledgerloom.operators.aggregates import HOME, fee_preagg, report_agg, sheet_agg
-from ledgerloom.operators.joins import apply_rules, join_cast_key, join_distinct, not_booked
+from ledgerloom.operators.joins import apply_rules, join_cast_key, join_distinct, not_booked, semi_in
 from ledgerloom.operators.maintenance import adjust_rows
 from ledgerloom.operators.windows import latest_k, running_sum
 from ledgerloom.storage import stored
@@ -40,12 +41,22 @@ def business_date(lines: DataFrame) -> DataFrame:
     )
 
 
-def classified_lines(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame) -> DataFrame:
+def lines_under(tv: DataFrame, nomenclature: DataFrame, labels: Column) -> DataFrame:
+    """Lines that a rule with these labels classifies; a line without a rule is none of them."""
+    key = rule_key(F.col("transaction_type"), F.col("amount_type"), F.col("amount_description"))
+    rules = nomenclature.where(labels).select("concatenated_fields")
+    return semi_in(tv.withColumn("_rule", key), "_rule", rules).drop("_rule")
+
+
+def classified_lines(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, labels: Column | None = None) -> DataFrame:
     """Pre-aggregated fee lines with order date, business date and accounting labels.
 
     Adding up comes before the joins, so the joins see far fewer rows.  The lines are shuffled once, by order
-    (``HOME``); account-level fees have no order and match none.
+    (``HOME``); account-level fees have no order and match none.  ``labels``: only lines whose rule meets it, a
+    condition on columns of the nomenclature; the others drop out before the shuffle.
     """
+    if labels is not None:
+        tv, nomenclature = lines_under(tv, nomenclature, labels), nomenclature.where(labels)
     orders = oc.where(F.col("amazon_order_id").isNotNull())
     dated = join_distinct(
         fee_preagg(tv, by_order=True), orders, [(HOME, "amazon_order_id")], {"purchase_date": to_local(F.col("purchase_date"))}
@@ -59,7 +70,8 @@ def _text_id() -> Column:
 
 
 def _core(
-    tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, as_of: date, dated: DataFrame | None = None, by_order: bool = False
+    tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, as_of: date, dated: DataFrame | None = None, by_order: bool = False,
+    labels: Column | None = None,
 ) -> DataFrame:
     """Report lines with the deposit date; several deposit dates of a settlement repeat its lines.
 
@@ -69,7 +81,7 @@ def _core(
     keys = ["settlement_id", "main_time", "account", "tax_distiction", "remarks", "item", "DATE_TYPE", "sku",
             "order_id", "posted_date_time", "total_purchased"]
     # HOME is a function of other keys; it is named so that the lines stay where they are
-    lines = report_agg(classified_lines(tv, oc, nomenclature), [*keys, HOME], "total_amount").withColumn(
+    lines = report_agg(classified_lines(tv, oc, nomenclature, labels), [*keys, HOME], "total_amount").withColumn(
         "settlement_id", F.col("settlement_id").cast("string")
     )
     deposits = (
@@ -98,15 +110,17 @@ def _core(
 
 
 def amazon_report(
-    tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, ledger: DataFrame | None = None, *, as_of: date, by_order: bool = False
+    tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, ledger: DataFrame | None = None, *, as_of: date, by_order: bool = False,
+    labels: Column | None = None,
 ) -> DataFrame:
     """All settlements not yet booked; ``ledger=None`` rebuilds everything.
 
     The settlement is part of every key that follows, so booked ones drop out at the scan.
-    ``by_order`` keeps the column ``HOME``.
+    ``by_order`` keeps the column ``HOME``.  ``labels``: only the lines whose rule meets this condition on account,
+    item, remarks or tax label.
     """
     fresh = not_booked(tv.withColumn("_sett", _text_id()), ledger, "_sett", "settlement_id").drop("_sett")
-    return _core(fresh, oc, nomenclature, as_of, dated=tv, by_order=by_order)
+    return _core(fresh, oc, nomenclature, as_of, dated=tv, by_order=by_order, labels=labels)
 
 
 def amazon_report_latest(tv: DataFrame, oc: DataFrame, nomenclature: DataFrame, k: int = 5, *, as_of: date) -> DataFrame:

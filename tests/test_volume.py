@@ -1,5 +1,6 @@
 """What a query moves and writes before its result: no whole copy of the order lines."""
 
+import datetime as dt
 import hashlib
 import os
 import re
@@ -8,9 +9,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import catalog
+from ledgerloom.functions.rules import SALES_ACCOUNT
 from ledgerloom.operators import months
 from ledgerloom.operators.aggregates import HOME, SKU_COLUMN, SKU_MONTHLY_INPUT, fee_preagg, sku_monthly
-from ledgerloom.queries import all_queries, rpt_amazon_full
+from ledgerloom.plans import amazon
+from ledgerloom.queries import AS_OF, all_queries, rpt_amazon_full
 from ledgerloom.storage import checkpoint_dir
 
 SMALL = "/root/testdata/sf0.001"
@@ -124,3 +127,34 @@ def test_the_feed_by_month_is_stored_without_item_names(spark, tmp_path):
     all_queries()["sales_by_sku"](spark, str(folder))
     by_month = [f for name, f in catalog(spark, str(folder))._frames.items() if name.endswith("_by_month")]
     assert len(by_month) == 1 and "item_name" not in by_month[0].columns
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["last_seen_by_amount", "control_total"])
+def test_only_lines_of_the_wanted_rules_are_shuffled(spark, name):
+    shuffle = _plan(all_queries()[name](spark, SMALL)).split("REPARTITION_BY_COL")[1]
+    assert "LeftSemi" in shuffle.split("Exchange hashpartitioning")[0]
+
+
+def test_lines_of_some_rules_are_those_of_the_whole_report(spark, frame):
+    """Also with keys that have no rule, two rules or a NULL part, and rules that share their labels."""
+    line = "settlement_id double, deposit_date timestamp_ntz, posted_date_time timestamp_ntz, transaction_type string, amount_type string, amount_description string, order_id string, sku string, amount double, quantity_purchased double"
+    at = dt.datetime(2002, 1, 5)
+    keys = [("Order", "Promotion", "Shipping"), ("Order", "Promotion", "Twice"), ("Order", "Promotion", "Also"),
+            ("Order", "ItemPrice", "Principal"), ("Order", "ItemPrice", "Unknown"), ("Order", None, "Shipping"), (None, None, None)]
+    tv = frame([(float(s), at, at, *key, order, "x", 2.0, 1.0) for s in (1, 2) for key in keys for order in ("A", None)], line)
+    oc = frame([("A", at)], "amazon_order_id string, purchase_date timestamp_ntz")
+    delivery, other = ("Shipping", SALES_ACCOUNT, "Delivery", "t"), ("Charges", SALES_ACCOUNT, "Sales", "t")
+    rules = frame(
+        [("OrderPromotionShipping", *delivery), ("OrderPromotionAlso", *delivery), ("OrderPromotionTwice", *delivery),
+         ("OrderPromotionTwice", *other), ("OrderItemPricePrincipal", *other)],
+        "concatenated_fields string, remarks string, account string, item string, tax_distiction string",
+    )
+    labels = amazon.delivery_lines(SALES_ACCOUNT, "Delivery", "Shipping")
+    whole = amazon.amazon_report(tv, oc, rules, as_of=AS_OF).where(labels)
+    some = amazon.amazon_report(tv, oc, rules, as_of=AS_OF, labels=labels)
+    assert sorted(some.collect(), key=repr) == sorted(whole.collect(), key=repr) and some.count() == 4
+    assert some.agg({"total_real": "sum"}).first()[0] == 24.0
