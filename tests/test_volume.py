@@ -133,7 +133,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["last_seen_by_amount", "control_total"])
+@pytest.mark.parametrize("name", ["last_seen_by_amount", "control_total", "yearly_sales_by_source"])
 def test_only_lines_of_the_wanted_rules_are_shuffled(spark, name):
     shuffle = _plan(all_queries()[name](spark, SMALL)).split("REPARTITION_BY_COL")[1]
     assert "LeftSemi" in shuffle.split("Exchange hashpartitioning")[0]
