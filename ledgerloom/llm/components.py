@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import unsent
 from ledgerloom.storage import stored
 
 
@@ -17,13 +18,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Each node ties its larger neighbours to the least node it sees."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")).withColumnRenamed("a", "n")
-    return both.join(least, F.col("a") == F.col("n")).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(unsent(least), F.col("a") == F.col("n")).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node ties itself and its smaller neighbours to the least of them (links point from ``a`` down to ``b``)."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
-    tied = edges.join(least, F.col("a") == F.col("n")).where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    tied = edges.join(unsent(least), F.col("a") == F.col("n")).where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return tied.unionByName(least.select(F.col("n").alias("a"), F.col("m").alias("b"))).distinct()
 
 

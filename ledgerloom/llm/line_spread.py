@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import fresh, quoted
+from ledgerloom.llm.common import fresh, quoted, unsent
 from ledgerloom.storage import stored
 
 MIN_SITES = 5
@@ -82,7 +82,7 @@ def dedup(docs: DataFrame, site_col: str = "source", min_sites: int = MIN_SITES,
     k1, k2, removed = (fresh(docs, c) for c in ("_k1", "_k2", "_removed"))
     keys = [c.alias(n) for c, n in zip(_row_key(docs, id_col, text_col), (k1, k2))]
     gone = removals(docs, site_col, min_sites, lg_k, id_col, text_col).toDF(k1, k2, removed)
-    joined = docs.select("*", *keys).join(gone, [k1, k2], "left")
+    joined = docs.select("*", *keys).join(unsent(gone), [k1, k2], "left")
     lines, cuts = F.split(quoted(text_col), "\n"), F.col(removed)
     # What stays are the runs between two removed positions, and those at both ends.
     bounds = F.concat(F.array(F.lit(-1)), cuts, F.array(F.size(lines)))

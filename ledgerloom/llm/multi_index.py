@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import fresh, quoted
+from ledgerloom.llm.common import fresh, quoted, unsent
 from ledgerloom.llm.components import components
 from ledgerloom.llm.simhash import fingerprints
 from ledgerloom.storage import stored
@@ -71,7 +71,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, bucket_limit: int = BUCKE
         distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
         pairs = (
             light_probes.select("bucket", "a")
-            .join(light_index.select("bucket", "b"), "bucket")
+            .join(unsent(light_index.select("bucket", "b")), "bucket")
             .where((F.col("a") != F.col("b")) & (distance <= max_bits))
             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         )
@@ -90,7 +90,7 @@ def _rooted(marked: DataFrame, max_bits: int) -> DataFrame:
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")
     prints = stored(marked.groupBy("fp").agg(F.min(row).alias("first")), "prints")
     roots = components(links(prints.select("fp"), max_bits))
-    return prints.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
+    return prints.join(unsent(roots), F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "first")
 
 
 def groups(docs: DataFrame, max_bits: int = MAX_BITS, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,8 +102,8 @@ def groups(docs: DataFrame, max_bits: int = MAX_BITS, width: int = 3, id_col: st
     marked = stored(fingerprints(docs, width, id_col, text_col), "fingerprints")
     rooted = _rooted(marked, max_bits)
     ids = rooted.groupBy("root").agg(F.min("first.doc_id").alias("component_id")).withColumnRenamed("root", "r")
-    named = rooted.join(ids, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
-    return marked.join(named, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
+    named = rooted.join(unsent(ids), F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
+    return marked.join(unsent(named), F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
 def hexed(fp: Column) -> Column:
@@ -119,11 +119,11 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, width: int = 3, id_col:
     chosen = stored(_rooted(marked, max_bits).groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.tie"), "chosen")
     i, t = fresh(docs, "_chosen_id"), fresh(docs, "_chosen_tie")
     here = quoted(id_col).cast("long").eqNullSafe(quoted(i)) & F.xxhash64(quoted(text_col)).eqNullSafe(quoted(t))
-    kept = docs.join(chosen.toDF(i, t), here, "left_semi")
+    kept = docs.join(unsent(chosen.toDF(i, t)), here, "left_semi")
     times = marked.groupBy("doc_id", "tie").agg(F.count("*").alias("n")).where(F.col("n") > 1).alias("m")
-    several = times.join(chosen.alias("c"), F.col("m.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("m.tie") == F.col("c.tie")), "left_semi")
+    several = times.join(unsent(chosen).alias("c"), F.col("m.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("m.tie") == F.col("c.tie")), "left_semi")
     several = stored(several.select("doc_id", "tie").toDF(i, t), "repeated")
     if several.isEmpty():
         return kept
-    one = kept.join(several, here, "left_semi").withColumn(i, quoted(id_col).cast("long")).withColumn(t, F.xxhash64(quoted(text_col)))
-    return kept.join(several, here, "left_anti").unionByName(one.dropDuplicates([i, t]).drop(i, t))
+    one = kept.join(unsent(several), here, "left_semi").withColumn(i, quoted(id_col).cast("long")).withColumn(t, F.xxhash64(quoted(text_col)))
+    return kept.join(unsent(several), here, "left_anti").unionByName(one.dropDuplicates([i, t]).drop(i, t))

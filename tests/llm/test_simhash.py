@@ -1,14 +1,15 @@
 """Operator 8 and its connected components."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import multi_index, simhash
+from ledgerloom.llm import line_spread, multi_index, simhash
 from ledgerloom.llm.common import table
-from ledgerloom.llm.components import components
+from ledgerloom.llm.components import _large_star, components
 from ledgerloom.llm.simhash import fingerprints_of
 from tests.llm.plain import ODD_TEXTS, SMALL, component_ids, empty, fingerprint, odd_rows
 
@@ -74,3 +75,14 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
     stars = spark.range(2000).select((F.col("id") + 1).alias("a"), F.floor("id").alias("b"))
     assert components(stars).where("root <> 0").count() == 0
+
+
+def test_no_side_with_a_row_a_document_is_broadcast(spark):
+    """However small Spark takes it to be: the entries under both halves come from an explode, which its sizes leave out."""
+    docs = table(spark, SMALL, "documents")
+    found = [
+        multi_index.links(spark.range(4).toDF("fp")), multi_index.keep_one(docs), multi_index.groups(docs),
+        _large_star(docs.select(F.col("doc_id").alias("a"), F.col("n_chars").alias("b"))), line_spread.dedup(docs),
+    ]
+    joins = [re.findall(r"(\w*Join) \[(\w*)", df._jdf.queryExecution().executedPlan().toString()) for df in found]
+    assert all(joins) and {how for each in joins for how, key in each if key != "h1"} == {"SortMergeJoin"}
