@@ -8,12 +8,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom import documents, landing
 from ledgerloom.catalog import catalog
 from ledgerloom.functions.rules import SALES_ACCOUNT
 from ledgerloom.operators import months
 from ledgerloom.operators.aggregates import HOME, SKU_COLUMN, SKU_MONTHLY_INPUT, fee_preagg, sku_monthly
 from ledgerloom.plans import amazon
 from ledgerloom.queries import AS_OF, all_queries, rpt_amazon_full
+from ledgerloom.sources.files import read_json_pages
 from ledgerloom.storage import checkpoint_dir
 
 SMALL = "/root/testdata/sf0.001"
@@ -158,3 +160,19 @@ def test_lines_of_some_rules_are_those_of_the_whole_report(spark, frame):
     some = amazon.amazon_report(tv, oc, rules, as_of=AS_OF, labels=labels)
     assert sorted(some.collect(), key=repr) == sorted(whole.collect(), key=repr) and some.count() == 4
     assert some.agg({"total_real": "sum"}).first()[0] == 24.0
+
+
+def test_orders_meet_their_lines_before_the_heads_are_made(spark, no_broadcast):
+    c = catalog(spark, SMALL)
+    plan = _plan(documents.order_documents(c.orders, c.lineitem))
+    assert "note_attributes" in plan.split("SortMergeJoin")[0] and "note_attributes" not in plan.split("SortMergeJoin")[1]
+    assert documents.order_documents(c.orders, c.lineitem).columns == [*documents.order_heads(c.orders).columns, "line_items", "refunds"]
+
+
+def test_pages_take_little_disk_and_give_all_documents(spark, frame):
+    docs = frame([(i, "x" * 50) for i in range(1000)], "id long, name string")
+    folder = landing.order_pages(catalog(spark, SMALL), docs)
+    files = [os.path.join(d, f) for d, _, names in os.walk(folder.removeprefix("file:")) for f in names if f.startswith("part-")]
+    assert sum(map(os.path.getsize, files)) < 20_000  # 67 KB as plain text
+    back = read_json_pages(spark, folder, "orders", "id long, name string", page_per_file=False)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, docs.collect()))
