@@ -176,3 +176,9 @@ def test_pages_take_little_disk_and_give_all_documents(spark, frame):
     assert sum(map(os.path.getsize, files)) < 20_000  # 67 KB as plain text
     back = read_json_pages(spark, folder, "orders", "id long, name string", page_per_file=False)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_preamble_reports_are_landed_compressed(spark):
+    folder = landing.preamble_tsv(catalog(spark, SMALL)).removeprefix("file:").removesuffix("*/")
+    files = [f for _, _, names in os.walk(folder) for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".txt.gz") for f in files)
