@@ -182,3 +182,11 @@ def test_preamble_reports_are_landed_compressed(spark):
     folder = landing.preamble_tsv(catalog(spark, SMALL)).removeprefix("file:").removesuffix("*/")
     files = [f for _, _, names in os.walk(folder) for f in names if f.startswith("part-")]
     assert files and all(f.endswith(".txt.gz") for f in files)
+
+
+def test_refund_lines_read_the_pages_that_were_landed(spark, monkeypatch):
+    landed, write = [], landing.order_pages
+    monkeypatch.setattr(landing, "order_pages", lambda c, docs: landed.append(write(c, docs)) or landed[-1])
+    rows = all_queries()["ingest_refund_lines"](spark, SMALL)
+    files = [f for _, _, names in os.walk(landed[0].removeprefix("file:")) for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files) and rows.count() > 0
