@@ -12,9 +12,9 @@ from ledgerloom import documents, landing
 from ledgerloom.catalog import catalog
 from ledgerloom.functions.rules import SALES_ACCOUNT
 from ledgerloom.operators import months
-from ledgerloom.operators.aggregates import HOME, SKU_COLUMN, SKU_MONTHLY_INPUT, fee_preagg, sku_monthly
-from ledgerloom.plans import amazon
-from ledgerloom.queries import AS_OF, all_queries, rpt_amazon_full
+from ledgerloom.operators.aggregates import HOME, SKU_COLUMN, SKU_MONTHLY_INPUT, fee_preagg, sales_by_sku, sku_monthly
+from ledgerloom.plans import amazon, dashboard
+from ledgerloom.queries import AS_OF, _ledgers, all_queries, rpt_amazon_full
 from ledgerloom.sources.files import read_json_pages
 from ledgerloom.storage import checkpoint_dir
 
@@ -190,3 +190,16 @@ def test_refund_lines_read_the_pages_that_were_landed(spark, monkeypatch):
     rows = all_queries()["ingest_refund_lines"](spark, SMALL)
     files = [f for _, _, names in os.walk(landed[0].removeprefix("file:")) for f in names if f.startswith("part-")]
     assert files and all(f.endswith(".json.gz") for f in files) and rows.count() > 0
+
+
+def test_the_feed_by_month_is_stored_with_what_the_sales_read(spark, tmp_path):
+    folder = tmp_path / "feed"
+    folder.symlink_to(SMALL)
+    all_queries()["sales_by_sku"](spark, str(folder))
+    c = catalog(spark, str(folder))
+    stored = next(f for name, f in c._frames.items() if name.endswith("_by_month"))
+    assert set(stored.columns) == {"transaction_date", "amount", "quantity", "sku", "SOURCE", "item", "account", months.MONTH}
+    whole = dashboard.feed_lines(_ledgers(c)).where("date_format(transaction_date, 'yyyy-MM') = '1998-01'")
+    plain = sales_by_sku(dashboard.named_feed(whole, c.combined_sku, c.full_imported), "Amazon", 1998, 1)
+    key = lambda r: repr(r[:2])
+    assert sorted(all_queries()["sales_by_sku"](spark, str(folder)).collect(), key=key) == sorted(plain.collect(), key=key)
